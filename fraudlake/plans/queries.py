@@ -1,7 +1,7 @@
 """The registered queries: each operator over the whole of the given tables.
 
 Every query takes the session and the folder of the tables. Run times that would differ from
-run to run are fixed to ``RUN_AT``, and report days are counted back from ``AS_OF``.
+run to run are fixed, and report days are counted back from ``AS_OF``.
 """
 
 from __future__ import annotations
@@ -36,7 +36,6 @@ from fraudlake.synth.patterns import EVENT, VELOCITY_ACCOUNT, VELOCITY_AMOUNTS
 
 AS_OF = "2024-01-03"
 RUN_AT_TEXT = "2024-01-04 01:00:00"
-RUN_AT = RUN_AT_TEXT  # turned into a column where a session exists
 DAYS = FraudConfig(isolate_days=True)
 SEED = 42
 
@@ -225,7 +224,9 @@ def dim_city_coords(spark, sf_dir):
     )
     cities = F.broadcast(city_table(spark))
     here = (F.col("lat") == F.col("location_lat")) & (F.col("lon") == F.col("location_lon"))
-    return cities.join(counts, here, "right").select("city_id", "city", "location_lat", "location_lon", "txn_count")
+    return cities.join(counts, here, "right").select(
+        F.coalesce("city_id", F.lit(-1)).alias("city_id"), "city", "location_lat", "location_lon", "txn_count"
+    )
 
 
 # ---- rules ----------------------------------------------------------------------------------
@@ -261,7 +262,7 @@ def rule_geo_anomaly(spark, sf_dir):
     return flagged.select(
         "transaction_id",
         F.round("geo_distance_km", 4).alias("geo_distance_km"),
-        "time_diff_sec",
+        F.col("time_diff_sec").cast("double").alias("time_diff_sec"),
         "fraud_flag_geo_anomaly",
     )
 
@@ -283,7 +284,7 @@ def prev_transaction(spark, sf_dir):
 @query
 def time_since_previous(spark, sf_dir):
     flagged = flag_geo_anomaly(bridge.transactions(spark, sf_dir))
-    return flagged.select("transaction_id", "time_diff_sec")
+    return flagged.select("transaction_id", F.col("time_diff_sec").cast("double").alias("time_diff_sec"))
 
 
 @query
@@ -294,18 +295,25 @@ def haversine_distance(spark, sf_dir):
     return bridge.transactions(spark, sf_dir).select("transaction_id", F.round(away, 4).alias("distance_km"))
 
 
-def _rounded(df: DataFrame) -> DataFrame:
-    return df.withColumn("geo_distance_km", F.round("geo_distance_km", 4))
+def _comparable(df: DataFrame) -> DataFrame:
+    """Distance rounded, since engines differ in the last bit; the nullable integer as double,
+    since data frames of other engines have no nullable integer."""
+    return df.withColumns(
+        {
+            "geo_distance_km": F.round("geo_distance_km", 4),
+            "time_diff_sec": F.col("time_diff_sec").cast("double"),
+        }
+    )
 
 
 @query
 def score_transactions_daily(spark, sf_dir):
-    return _rounded(scored(spark, sf_dir))
+    return _comparable(scored(spark, sf_dir))
 
 
 @query
 def score_transactions_across_days(spark, sf_dir):
-    return _rounded(scored(spark, sf_dir, FraudConfig()))
+    return _comparable(scored(spark, sf_dir, FraudConfig()))
 
 
 @query
@@ -314,7 +322,7 @@ def score_transactions_hot_account(spark, sf_dir):
     number = F.col("transaction_id").cast("long")
     account = F.when(number % 3 == 0, F.lit("ACC_HOT")).when(number % 11 != 0, F.col("account_id"))
     txns = bridge.transactions(spark, sf_dir).withColumn("account_id", account)
-    return _rounded(score_transactions(txns, FraudConfig(slice_rows=500)))
+    return _comparable(score_transactions(txns, FraudConfig(slice_rows=500)))
 
 
 @query
@@ -324,7 +332,7 @@ def score_transactions_null_accounts_apart(spark, sf_dir):
     txns = bridge.transactions(spark, sf_dir).withColumn(
         "account_id", F.when(number % 5 != 0, F.col("account_id"))
     )
-    return _rounded(score_transactions(txns, FraudConfig(exempt_null_accounts=True)))
+    return _comparable(score_transactions(txns, FraudConfig(exempt_null_accounts=True)))
 
 
 @query
@@ -404,7 +412,7 @@ def ddl_bootstrap(spark, sf_dir):
         lake.truncate(table)
     counted += [(2, "truncated", t, lake.read(t).count(), True) for t in lake.tables()]
     lake.drop()
-    counted += [(3, "dropped", t, None, spark.catalog.tableExists(t)) for t in lake.tables()]
+    counted += [(3, "dropped", t, 0, spark.catalog.tableExists(t)) for t in lake.tables()]
     suffix = lake.raw_db.removeprefix("raw")
     rows = [(n, step, t.replace(f"{suffix}.", "."), count, exists) for n, step, t, count, exists in counted]
     return spark.createDataFrame(
