@@ -104,7 +104,8 @@ class Lake:
         """Remove all rows. Spark refuses TRUNCATE on external tables, so these are overwritten
         by nothing."""
         if self.spark.catalog.getTable(name).tableType == "EXTERNAL":
-            self.spark.sql(f"INSERT OVERWRITE TABLE {name} SELECT * FROM {name} WHERE false")
+            nothing = self.spark.createDataFrame([], self.spark.table(name).schema)
+            _static_overwrite(nothing).write.insertInto(name, overwrite=True)
         else:
             self.spark.sql(f"TRUNCATE TABLE {name}")
 

@@ -112,5 +112,10 @@ def ingest(
         .trigger(availableNow=True)
         .start()
     )
-    query.awaitTermination()
+    try:
+        query.awaitTermination()
+    finally:
+        # the stream writes in a session of its own; this one may hold an older file listing
+        for table in (lake.raw, lake.quarantine):
+            lake.spark.catalog.refreshTable(table)
     return sum(p["numInputRows"] for p in query.recentProgress)
