@@ -33,7 +33,7 @@ class RecordSource:
     def batch(self, spark: SparkSession, starting_offsets: str = "earliest") -> DataFrame:
         """Everything from ``starting_offsets`` to the present end."""
         if self.format != "kafka":
-            return spark.read.schema(KAFKA_RECORD).format(self.format).load(self.path)
+            return spark.read.schema(KAFKA_RECORD).option("recursiveFileLookup", True).format(self.format).load(self.path)
         options = self._subscription() | {"startingOffsets": starting_offsets, "endingOffsets": "latest"}
         return spark.read.format("kafka").options(**options).load()
 
@@ -42,7 +42,7 @@ class RecordSource:
         topic or in files. A new query starts at the earliest record, later the checkpoint
         decides."""
         if self.format != "kafka":
-            reader = spark.readStream.schema(KAFKA_RECORD).format(self.format)
+            reader = spark.readStream.schema(KAFKA_RECORD).option("recursiveFileLookup", True).format(self.format)
             if max_per_trigger:
                 reader = reader.option("maxFilesPerTrigger", max_per_trigger)
             return reader.load(self.path)
@@ -130,7 +130,7 @@ def replay(
     if target.format == "kafka":
         writer = records.select("key", "value").writeStream.format("kafka").options(**target.options)
     else:
-        writer = records.writeStream.format(target.format).option("path", target.path)
+        writer = records.writeStream.foreachBatch(_folder_per_batch(target))
     writer = writer.option("checkpointLocation", checkpoint)
     if every_seconds is None:
         writer.trigger(availableNow=True).start().awaitTermination()
@@ -142,6 +142,16 @@ def replay(
         query.stop()
 
 
+def _folder_per_batch(target: RecordSource):
+    """Each micro-batch overwrites a folder of its own, so a repeated one leaves no copies."""
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        stream_id = batch.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId")
+        batch.write.mode("overwrite").format(target.format).save(f"{target.path}/{stream_id}-{batch_id:08d}")
+
+    return write
+
+
 def stage(records: DataFrame, path: str, rows_per_file: int) -> RecordSource:
     """Records as files of at most ``rows_per_file`` rows: a replay of one file per second
     then sends that many rows per second."""

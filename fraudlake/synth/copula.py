@@ -131,13 +131,19 @@ def _normal_scores(rows: DataFrame, quantiles: dict, categories: dict) -> DataFr
 
 
 def _correlation(scored: DataFrame) -> np.ndarray:
+    """Correlation from first and second moments, in one aggregate; 0 with a constant column."""
     names = NUMERIC + CATEGORICAL
-    pairs = list(itertools.combinations(range(len(names)), 2))
-    row = scored.agg(*(F.corr(names[i], names[j]).alias(f"c{i}_{j}") for i, j in pairs)).first()
-    matrix = np.eye(len(names))
+    pairs = list(itertools.combinations_with_replacement(range(len(names)), 2))
+    means = [F.avg(n).alias(n) for n in names]
+    products = [F.avg(F.col(names[i]) * F.col(names[j])).alias(f"p{i}_{j}") for i, j in pairs]
+    row = scored.agg(*means, *products).first()
+    covariance = np.zeros((len(names), len(names)))
     for i, j in pairs:
-        value = row[f"c{i}_{j}"]
-        matrix[i, j] = matrix[j, i] = 0.0 if value is None or np.isnan(value) else value
+        covariance[i, j] = covariance[j, i] = row[f"p{i}_{j}"] - row[names[i]] * row[names[j]]
+    variance = np.diag(covariance)
+    spread = np.sqrt(np.where(variance > 1e-12, variance, np.inf))
+    matrix = covariance / np.outer(spread, spread)
+    np.fill_diagonal(matrix, 1.0)
     # nearest matrix that has a Cholesky factor
     values, vectors = np.linalg.eigh(matrix)
     fixed = vectors @ np.diag(np.maximum(values, 1e-6)) @ vectors.T
