@@ -37,6 +37,8 @@ class FraudConfig:
 
     # Accounts with more rows than this are scored in slices (None: never slice).
     slice_rows: int | None = 1_000_000
+    # Inputs that Spark estimates below this size are not searched for such accounts.
+    slice_input_bytes: int = 64 * 1024 * 1024
     # At most this many of the largest accounts are sliced. Any other account then holds
     # at most total_rows / max_heavy_groups rows, so both the list and the rest are bounded.
     max_heavy_groups: int = 100_000

@@ -33,7 +33,7 @@ def run_day(lake: Lake, dt: str, cfg: FraudConfig = FraudConfig(), run_at: Colum
 
     written = scored_day(lake, dt, cfg)
     lake.overwrite_day(lake.alerts, curate.fraud_alerts(written, run_at).hint("rebalance", "fraud_reason"), dt)
-    lake.overwrite_day(lake.summary, curate.fraud_summary(written, run_at).coalesce(1), dt)
+    lake.overwrite_day(lake.summary, curate.fraud_summary(written, run_at).hint("rebalance"), dt)
 
     totals = lake.read(lake.summary).filter(F.col("dt") == dt).agg(F.sum("total_txn"), F.sum("fraud_txn")).first()
     log.info("%s: %s transactions, %s fraudulent", dt, *totals)

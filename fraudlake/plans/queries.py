@@ -322,7 +322,7 @@ def score_transactions_hot_account(spark, sf_dir):
     number = F.col("transaction_id").cast("long")
     account = F.when(number % 3 == 0, F.lit("ACC_HOT")).when(number % 11 != 0, F.col("account_id"))
     txns = bridge.transactions(spark, sf_dir).withColumn("account_id", account)
-    return _comparable(score_transactions(txns, FraudConfig(slice_rows=500)))
+    return _comparable(score_transactions(txns, FraudConfig(slice_rows=500, slice_input_bytes=0)))
 
 
 @query

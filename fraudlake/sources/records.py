@@ -30,6 +30,11 @@ class RecordSource:
     def files(cls, path: str) -> RecordSource:
         return cls("parquet", path=path)
 
+    @property
+    def usual_batch(self) -> int:
+        """Offsets or files of a micro-batch when nothing else is asked for."""
+        return 50_000_000 if self.format == "kafka" else 1_000
+
     def batch(self, spark: SparkSession, starting_offsets: str = "earliest") -> DataFrame:
         """Everything from ``starting_offsets`` to the present end."""
         if self.format != "kafka":

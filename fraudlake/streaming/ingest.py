@@ -23,10 +23,11 @@ def decode(records: DataFrame, ingested_at: Column | None = None) -> DataFrame:
     )
 
 
-def accepted(decoded: DataFrame, *, nan_to_null: bool = False) -> DataFrame:
+def accepted(decoded: DataFrame, *, nan_to_null: bool = False, allow_fraction: bool = False) -> DataFrame:
     """Raw transactions: the decoded records that have a transaction_id.
 
-    An unreadable time is NULL and puts the row under its date of ingestion.
+    An unreadable time is NULL and puts the row under its date of ingestion. On demand NaN is
+    read as NULL, and a time may carry a fraction of a second.
     """
 
     def number(name: str) -> Column:
@@ -35,7 +36,7 @@ def accepted(decoded: DataFrame, *, nan_to_null: bool = False) -> DataFrame:
 
     return (
         decoded.filter(F.col("data.transaction_id").isNotNull())
-        .withColumn("event_timestamp", parse_event_time(F.col("data.timestamp")))
+        .withColumn("event_timestamp", parse_event_time(F.col("data.timestamp"), allow_fraction=allow_fraction))
         .select(
             "data.transaction_id",
             "data.account_id",
@@ -82,31 +83,36 @@ def ingest(
     *,
     max_per_trigger: int | None = None,
     nan_to_null: bool = False,
+    allow_fraction: bool = False,
     ingested_at: Column | None = None,
 ) -> int:
     """Take in everything the source holds beyond the checkpoint, then stop.
 
-    Returns the number of records read. Each micro-batch is read once and split into the raw
-    and the quarantine table. It overwrites only partitions named after the stream and the
-    batch, so a batch that is repeated after a failure leaves each row once.
+    Returns the number of records read. A backlog is taken in micro-batches of bounded size.
+    Each is read once and split into the raw and the quarantine table. It overwrites only
+    partitions named after the stream and the batch, so a batch that is repeated after a
+    failure leaves each row once.
     """
+    read = 0
 
     def write(batch: DataFrame, batch_id: int) -> None:
+        nonlocal read
         session = batch.sparkSession
         session.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
         stream_id = session.sparkContext.getLocalProperty("sql.streaming.queryId")
         label = F.lit(f"{stream_id}-{batch_id:08d}")
         decoded = decode(batch, ingested_at).persist()
         try:
-            good = accepted(decoded, nan_to_null=nan_to_null).withColumn(INGEST_BATCH.name, label)
-            bad = rejected(decoded).withColumn(INGEST_BATCH.name, label)
-            lake.overwrite_batch(lake.raw, good.hint("rebalance", "dt"))
-            lake.overwrite_batch(lake.quarantine, bad)
+            read += decoded.count()
+            good = accepted(decoded, nan_to_null=nan_to_null, allow_fraction=allow_fraction)
+            bad = rejected(decoded)
+            lake.overwrite_batch(lake.raw, good.withColumn(INGEST_BATCH.name, label).hint("rebalance", "dt"))
+            lake.overwrite_batch(lake.quarantine, bad.withColumn(INGEST_BATCH.name, label).hint("rebalance"))
         finally:
             decoded.unpersist()
 
     query = (
-        source.stream(lake.spark, max_per_trigger)
+        source.stream(lake.spark, max_per_trigger or source.usual_batch)
         .writeStream.foreachBatch(write)
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
@@ -118,4 +124,4 @@ def ingest(
         # the stream writes in a session of its own; this one may hold an older file listing
         for table in (lake.raw, lake.quarantine):
             lake.spark.catalog.refreshTable(table)
-    return sum(p["numInputRows"] for p in query.recentProgress)
+    return read

@@ -36,7 +36,7 @@ def _order(row):
 
 
 def history(spark, rows, **options):
-    df = account_history(frame(spark, rows), FraudConfig(**options))
+    df = account_history(frame(spark, rows), FraudConfig(slice_input_bytes=0, **options))
     got = [(r["transaction_id"], r["account_id"], *(r[c] for c in COLUMNS)) for r in df.collect()]
     return sorted(got, key=str)
 
@@ -69,7 +69,7 @@ def test_all_rows_in_one_second(spark):
 
 def test_copies_of_one_record_are_cut_too(spark):
     rows = [txn(1, 7, account="HOT")] * 50 + [txn(2, 9, account="HOT", at=(1.0, 2.0))]
-    df = account_history(frame(spark, rows), FraudConfig(slice_rows=8))
+    df = account_history(frame(spark, rows), FraudConfig(slice_rows=8, slice_input_bytes=0))
     got = df.collect()
     assert len(got) == 51
     copies = [r for r in got if r["transaction_id"] == "t0001"]
@@ -93,11 +93,20 @@ def test_slices_stay_small_and_respect_order(spark):
 def test_only_the_largest_groups_are_listed(spark):
     rows = [txn(i, i, account=a) for i, a in enumerate("AAAAAABBBBCC")]
     df = frame(spark, rows)
-    listed = heavy_groups(df, ["account_id"], FraudConfig(slice_rows=3))
+    listed = heavy_groups(df, ["account_id"], FraudConfig(slice_rows=3, slice_input_bytes=0))
     assert [(r["account_id"], r["_rows"]) for r in listed] == [("A", 6), ("B", 4)]
-    listed = heavy_groups(df, ["account_id"], FraudConfig(slice_rows=3, max_heavy_groups=1))
+    listed = heavy_groups(df, ["account_id"], FraudConfig(slice_rows=3, max_heavy_groups=1, slice_input_bytes=0))
     assert [r["account_id"] for r in listed] == ["A"]
-    assert heavy_groups(df, ["account_id"], FraudConfig(slice_rows=None)) == []
+    assert heavy_groups(df, ["account_id"], FraudConfig(slice_rows=None, slice_input_bytes=0)) == []
+
+
+def test_size_estimate_follows_the_files(spark):
+    from fraudlake.operators.history import _estimated_bytes
+
+    rows = spark.read.parquet("/root/testdata/sf0.1/events.parquet")
+    assert heavy_groups(rows, ["user_id"], FraudConfig(slice_rows=3)) == []
+    assert heavy_groups(rows, ["user_id"], FraudConfig(slice_rows=3, slice_input_bytes=1_000_000)) != []
+    assert 1_000_000 < _estimated_bytes(rows.selectExpr("CAST(user_id AS STRING)", "*")) < 10_000_000
 
 
 def test_groups_left_off_the_list_are_still_right(spark):
