@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
-from fraudlake.plans.queries import AS_OF, RUN_AT_TEXT
+from fraudlake.functions.draws import salt
+from fraudlake.plans.queries import AS_OF, RUN_AT_TEXT, SEED
 from fraudlake.schemas import CURATED_TRANSACTIONS, FRAUD_ALERTS, FRAUD_SUMMARY, QUARANTINE, RAW_TRANSACTIONS, Table
 from fraudlake.sources.lake import INGEST_BATCH
-from fraudlake.sources.reference import CITIES
+from fraudlake.sources.reference import CHANNELS, CITIES, MERCHANT_CATEGORIES
+from fraudlake.synth import seeds
 from fraudlake.synth.patterns import HIGH_AMOUNTS, SAMPLE_SEED
 
 _CITY_VALUES = ", ".join(f"({i}, '{c.name}', {c.lat}, {c.lon})" for i, c in enumerate(CITIES))
@@ -160,7 +162,94 @@ def _checks() -> str:
     return ", ".join(f"('{n}', TRUE)" for n in names)
 
 
+# The 64-bit hash behind the seed rows' draws, spelt out in 128-bit arithmetic: Spark hashes
+# the row id from 42, and then the draw's salt from that result.
+# The five primes of the published XXH64 algorithm.
+PRIMES = (
+    0x9E3779B185EBCA87,
+    0xC2B2AE3D27D4EB4F,
+    0x165667B19E3779F9,
+    0x85EBCA77C2B2AE63,
+    0x27D4EB2F165667C5,
+)
+WORD = 2**64
+SEED_DRAWS = ("fraud", "city", "amount", "time", "lat", "lon", "account", "merchant", "category", "channel")
+
+
+def _wide(number: int) -> str:
+    return f"{number}::UHUGEINT"
+
+
+def _product(value: str, factor: int) -> str:
+    return f"({value} * {_wide(factor)} % {_wide(WORD)})"
+
+
+def _rotated(value: str, bits: int) -> str:
+    return f"({_product(value, 2**bits)} + {value} // {_wide(2 ** (64 - bits))})"
+
+
+def _mixed(value: str, shift: int) -> str:
+    return f"xor({value}, {value} // {_wide(2**shift)})"
+
+
+def _hash_round(name: str, source: str, value: str, start: str) -> str:
+    """CTEs that add column ``name``: the hash of one 64-bit ``value`` from ``start``."""
+    p1, p2, p3, p4, p5 = PRIMES
+    steps = [
+        f"{_product(value, p2)} AS k, ({start} + {_wide(p5 + 8)}) % {_wide(WORD)} AS h",
+        f"xor(h, {_product(_rotated('k', 31), p1)}) AS h1",
+        f"({_rotated('h1', 27)} * {_wide(p1)} + {_wide(p4)}) % {_wide(WORD)} AS h2",
+        f"{_product(_mixed('h2', 33), p2)} AS h3",
+        f"{_product(_mixed('h3', 29), p3)} AS h4",
+        f"{_mixed('h4', 32)} AS {name}",
+    ]
+    ctes = []
+    for i, step in enumerate(steps):
+        ctes.append(f"{name}_{i} AS (SELECT *, {step} FROM {source})")
+        source = f"{name}_{i}"
+    ctes.append(f"{name}_rows AS (SELECT * EXCLUDE (k, h, h1, h2, h3, h4) FROM {source})")
+    return ",\n".join(ctes)
+
+
+def _seed_rows() -> str:
+    salts = ", ".join(f"('{n}', {_wide(salt(SEED, n) % WORD)})" for n in SEED_DRAWS)
+    uniforms = ", ".join(f"MAX(u) FILTER (WHERE draw = '{n}') AS {n}" for n in SEED_DRAWS)
+    (a_low, a_high), (m_low, m_high) = seeds.ACCOUNTS, seeds.MERCHANTS
+    (f_low, f_high), (u_low, u_high) = seeds.FRAUD_AMOUNT, seeds.USUAL_AMOUNT
+    jitter = seeds.JITTER_DEGREES
+    return f"""WITH ids AS (SELECT event_id AS id, CAST(event_id AS UHUGEINT) AS wide_id FROM events),
+        {_hash_round("of_id", "ids", "wide_id", _wide(42))},
+        salted AS (SELECT * FROM of_id_rows CROSS JOIN (VALUES {salts}) AS s(draw, salt)),
+        {_hash_round("of_draw", "salted", "salt", "of_id")},
+        drawn AS (SELECT id, draw, (CAST(of_draw // 2048 AS DOUBLE) + 0.5) * pow(CAST(2 AS DOUBLE), -53) AS u FROM of_draw_rows),
+        wide AS (SELECT id, {uniforms} FROM drawn GROUP BY id),
+        cities AS (SELECT * FROM (VALUES {_CITY_VALUES}) AS c(city_id, city_name, city_lat, city_lon))
+        SELECT id,
+               'ACC' || CAST({a_low} + floor(account * {a_high - a_low + 1}) AS BIGINT) AS account_id,
+               make_timestamp(({seeds.FIRST_SECOND} + CAST(floor("time" * {seeds.SECONDS + 1}) AS BIGINT)) * 1000000) AS event_timestamp,
+               ROUND(CASE WHEN fraud < {seeds.FRAUD_SHARE} THEN {f_low} + amount * {f_high - f_low}
+                          ELSE {u_low} + amount * {u_high - u_low} END, 2) AS amount,
+               'MER' || CAST({m_low} + floor(merchant * {m_high - m_low + 1}) AS BIGINT) AS merchant_id,
+               {list(MERCHANT_CATEGORIES)}[CAST(1 + floor(category * {len(MERCHANT_CATEGORIES)}) AS INT)] AS merchant_cat,
+               ROUND(CAST(city_lat AS DOUBLE) + (-{jitter} + lat), 6) AS location_lat,
+               ROUND(CAST(city_lon AS DOUBLE) + (-{jitter} + lon), 6) AS location_lon,
+               {list(CHANNELS)}[CAST(1 + floor(channel * {len(CHANNELS)}) AS INT)] AS channel,
+               fraud < {seeds.FRAUD_SHARE} AS is_fraud
+        FROM wide JOIN cities ON city_id = floor(city * {len(CITIES)})"""
+
+
 ORACLES: dict[str, str] = {
+    "synth_seed": _seed_rows(),
+    "synth_category_shares": f"""WITH {TXN},
+        total AS (SELECT COUNT(*) AS n FROM txn)
+        SELECT 'merchant_cat' AS column_name, merchant_cat AS "value", COUNT(*) / (SELECT n FROM total) AS share
+        FROM txn GROUP BY merchant_cat
+        UNION ALL SELECT 'channel', channel, COUNT(*) / (SELECT n FROM total) FROM txn GROUP BY channel
+        UNION ALL SELECT 'is_fraud', CAST(is_fraud_label AS VARCHAR), COUNT(*) / (SELECT n FROM total)
+        FROM txn GROUP BY is_fraud_label
+        UNION ALL SELECT 'amount', 'NULL', COUNT(*) FILTER (WHERE amount IS NULL) / (SELECT n FROM total) FROM txn
+        UNION ALL SELECT 'location_lat', 'NULL', COUNT(*) FILTER (WHERE location_lat IS NULL) / (SELECT n FROM total)
+        FROM txn""",
     "ingest_parse_json": f"WITH {TXN} SELECT {RAW_COLUMNS} FROM raw",
     "ingest_available_now": f"WITH {TXN} SELECT {RAW_COLUMNS} FROM raw",
     "replay_stream": f"WITH {TXN} SELECT {RAW_COLUMNS} FROM raw",

@@ -520,6 +520,17 @@ def synth_fit(spark, sf_dir):
     return spark.createDataFrame(rows, "kind STRING, column_name STRING, at STRING, value DOUBLE")
 
 
+@query
+def synth_category_shares(spark, sf_dir):
+    """The part of the fit that is exact: shares of categories and of missing numbers."""
+    model = fit(_labelled(spark, sf_dir))
+    rows = [(c, value, share) for c in CATEGORICAL for value, share in model.categories[c]]
+    rows += [(c, "NULL", model.null_share[c]) for c in ("amount", "location_lat")]
+    return spark.createDataFrame(rows, "column_name STRING, value STRING, share DOUBLE").withColumn(
+        "share", F.round("share", 10)
+    )
+
+
 @query
 def synth_sample(spark, sf_dir):
     """As many events as there are, sampled from a copula of the transactions, with patterns."""
