@@ -241,7 +241,8 @@ def _seed_rows() -> str:
 ORACLES: dict[str, str] = {
     "synth_seed": _seed_rows(),
     "synth_category_shares": f"""WITH {TXN},
-        total AS (SELECT COUNT(*) AS n FROM txn)
+        total AS (SELECT COUNT(*) AS n FROM txn),
+        shares AS (
         SELECT 'merchant_cat' AS column_name, merchant_cat AS "value", COUNT(*) / (SELECT n FROM total) AS share
         FROM txn GROUP BY merchant_cat
         UNION ALL SELECT 'channel', channel, COUNT(*) / (SELECT n FROM total) FROM txn GROUP BY channel
@@ -249,9 +250,11 @@ ORACLES: dict[str, str] = {
         FROM txn GROUP BY is_fraud_label
         UNION ALL SELECT 'amount', 'NULL', COUNT(*) FILTER (WHERE amount IS NULL) / (SELECT n FROM total) FROM txn
         UNION ALL SELECT 'location_lat', 'NULL', COUNT(*) FILTER (WHERE location_lat IS NULL) / (SELECT n FROM total)
-        FROM txn""",
+        FROM txn)
+        SELECT column_name, "value", ROUND(share, 10) AS share FROM shares""",
     "ingest_parse_json": f"WITH {TXN} SELECT {RAW_COLUMNS} FROM raw",
     "ingest_available_now": f"WITH {TXN} SELECT {RAW_COLUMNS} FROM raw",
+    "ingest_batch": f"WITH {TXN} SELECT {RAW_COLUMNS} FROM raw",
     "replay_stream": f"WITH {TXN} SELECT {RAW_COLUMNS} FROM raw",
     "ingest_derive_dt": f"""WITH {TXN}
         SELECT transaction_id,

@@ -163,6 +163,18 @@ def ingest_available_now(spark, sf_dir):
     return lake.read(lake.raw).drop("ingested_at", INGEST_BATCH.name)
 
 
+@query
+def ingest_batch(spark, sf_dir):
+    """Two deliveries, two batch runs with saved offsets; a third run finds nothing."""
+    lake = new_lake(spark)
+    source = RecordSource.files(f"{lake.location}/records")
+    txns = positioned(spark, sf_dir)
+    for delivery in (F.col("dt") < AS_OF, F.col("dt") >= AS_OF, F.lit(False)):
+        source.write(as_records(txns.filter(delivery)))
+        ingesting.ingest_batch(lake, source, f"{lake.location}/offsets", ingested_at=run_at())
+    return lake.read(lake.raw).drop("ingested_at", INGEST_BATCH.name)
+
+
 @query
 def replay_stream(spark, sf_dir):
     """Records staged in files and replayed two files per micro-batch."""

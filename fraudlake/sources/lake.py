@@ -8,11 +8,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from fraudlake.schemas import CURATED_TRANSACTIONS, FRAUD_ALERTS, FRAUD_SUMMARY, QUARANTINE, RAW_TRANSACTIONS, Field, Table
+from fraudlake.session import path_exists
 
 # Which run of the ingest stream wrote a row. As a partition column it makes the append of a
 # micro-batch an overwrite of that batch's own partitions, hence repeatable.
 INGEST_BATCH = Field("ingest_batch", "STRING", "stream and micro-batch that wrote the row")
 
+OVERWRITE_MODE = "spark.sql.sources.partitionOverwriteMode"
+
 
 @dataclass(frozen=True)
 class Lake:
@@ -68,7 +71,7 @@ class Lake:
             if self.spark.catalog.tableExists(name):
                 continue
             path = f"{self.location}/{name.replace('.', '/')}"
-            existing = _exists(self.spark, path)
+            existing = path_exists(self.spark, path)
             self.spark.sql(
                 f"CREATE TABLE {name} ({table.ddl}) USING parquet "
                 f"PARTITIONED BY ({', '.join(table.partitions)}) "
@@ -94,11 +97,16 @@ class Lake:
         )
 
     def overwrite_batch(self, name: str, rows: DataFrame) -> None:
-        """Replace the partitions that ``rows`` fall into; the session must be set to dynamic
-        partition overwrite. Columns are matched by name."""
+        """Replace the partitions that ``rows`` fall into. Columns are matched by name."""
         table = self.tables()[name]
         columns = [c for c in table.columns if c not in table.partitions] + list(table.partitions)
-        rows.select(*columns).write.insertInto(name, overwrite=True)
+        conf = rows.sparkSession.conf
+        usual = conf.get(OVERWRITE_MODE)
+        conf.set(OVERWRITE_MODE, "dynamic")
+        try:
+            rows.select(*columns).write.insertInto(name, overwrite=True)
+        finally:
+            conf.set(OVERWRITE_MODE, usual)
 
     def truncate(self, name: str) -> None:
         """Remove all rows. Spark refuses TRUNCATE on external tables, so these are overwritten
@@ -163,13 +171,8 @@ def append_by_name(old: DataFrame, new: DataFrame) -> DataFrame:
     return old.unionByName(new, allowMissingColumns=True)
 
 
-def _exists(spark: SparkSession, path: str) -> bool:
-    target = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return target.getFileSystem(spark._jsc.hadoopConfiguration()).exists(target)
-
-
 def _static_overwrite(day: DataFrame) -> DataFrame:
-    mode = day.sparkSession.conf.get("spark.sql.sources.partitionOverwriteMode")
+    mode = day.sparkSession.conf.get(OVERWRITE_MODE)
     if mode.lower() != "static":
         raise ValueError("a day is replaced in static partition overwrite mode")
     return day

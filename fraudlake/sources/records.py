@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from fraudlake.functions.times import EVENT_TIME_FORMAT
 from fraudlake.schemas import KAFKA_RECORD
+from fraudlake.session import path_exists
 
 POSITION = ["partition", "offset"]
 
@@ -42,6 +43,21 @@ class RecordSource:
         options = self._subscription() | {"startingOffsets": starting_offsets, "endingOffsets": "latest"}
         return spark.read.format("kafka").options(**options).load()
 
+    def from_offsets(self, spark: SparkSession, offsets: DataFrame | None) -> DataFrame:
+        """Everything from saved offsets on; a partition without an entry from its start.
+
+        Kafka takes the offsets itself. In files, records before them are dropped by a join
+        with the offsets, one row per partition.
+        """
+        if self.format == "kafka":
+            return self.batch(spark, starting_offsets(offsets, self.options["topic"]))
+        if offsets is None:
+            return self.batch(spark)
+        done = F.broadcast(offsets.withColumnRenamed("partition", "_partition"))
+        records = self.batch(spark)
+        seen = (records["partition"] == done["_partition"]) & (records["offset"] < done["next_offset"])
+        return records.join(done, seen, "left_anti")
+
     def stream(self, spark: SparkSession, max_per_trigger: int | None = None) -> DataFrame:
         """Records as they come; ``max_per_trigger`` limits a micro-batch, in offsets of a
         topic or in files. A new query starts at the earliest record, later the checkpoint
@@ -101,6 +117,14 @@ def next_offsets(records: DataFrame, previous: DataFrame | None = None) -> DataF
     return both.groupBy("partition").agg(F.max("next_offset").alias("next_offset"))
 
 
+def saved_offsets(spark: SparkSession, path: str) -> DataFrame | None:
+    """The latest offsets among those saved at ``path``, None before the first run."""
+    if not path_exists(spark, path):
+        return None
+    saved = spark.read.schema("partition INT, next_offset BIGINT").parquet(path)
+    return saved.groupBy("partition").agg(F.max("next_offset").alias("next_offset"))
+
+
 def starting_offsets(offsets: DataFrame | None, topic: str) -> str:
     """Saved offsets as the JSON a Kafka reader takes; 'earliest' if there are none.
 

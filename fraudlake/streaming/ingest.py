@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
+import hashlib
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from fraudlake.functions import day_of, parse_event_time
 from fraudlake.schemas import QUARANTINE, RAW_TRANSACTIONS, WIRE_EVENT
 from fraudlake.sources.lake import INGEST_BATCH, Lake
-from fraudlake.sources.records import RecordSource
+from fraudlake.sources.records import RecordSource, next_offsets, saved_offsets, starting_offsets
 
 
 def decode(records: DataFrame, ingested_at: Column | None = None) -> DataFrame:
@@ -89,27 +91,14 @@ def ingest(
     """Take in everything the source holds beyond the checkpoint, then stop.
 
     Returns the number of records read. A backlog is taken in micro-batches of bounded size.
-    Each is read once and split into the raw and the quarantine table. It overwrites only
-    partitions named after the stream and the batch, so a batch that is repeated after a
-    failure leaves each row once.
     """
     read = 0
 
     def write(batch: DataFrame, batch_id: int) -> None:
         nonlocal read
-        session = batch.sparkSession
-        session.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
-        stream_id = session.sparkContext.getLocalProperty("sql.streaming.queryId")
-        label = F.lit(f"{stream_id}-{batch_id:08d}")
-        decoded = decode(batch, ingested_at).persist()
-        try:
-            read += decoded.count()
-            good = accepted(decoded, nan_to_null=nan_to_null, allow_fraction=allow_fraction)
-            bad = rejected(decoded)
-            lake.overwrite_batch(lake.raw, good.withColumn(INGEST_BATCH.name, label).hint("rebalance", "dt"))
-            lake.overwrite_batch(lake.quarantine, bad.withColumn(INGEST_BATCH.name, label).hint("rebalance"))
-        finally:
-            decoded.unpersist()
+        stream_id = batch.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId")
+        options = {"nan_to_null": nan_to_null, "allow_fraction": allow_fraction}
+        read += _store(lake, decode(batch, ingested_at).persist(), f"{stream_id}-{batch_id:08d}", options)
 
     query = (
         source.stream(lake.spark, max_per_trigger or source.usual_batch)
@@ -125,3 +114,53 @@ def ingest(
         for table in (lake.raw, lake.quarantine):
             lake.spark.catalog.refreshTable(table)
     return read
+
+
+def ingest_batch(
+    lake: Lake,
+    source: RecordSource,
+    offsets_path: str,
+    *,
+    nan_to_null: bool = False,
+    allow_fraction: bool = False,
+    ingested_at: Column | None = None,
+) -> int:
+    """The same as one batch read, for schedulers that run without a stream.
+
+    Offsets are kept as files and saved after the rows are written. A run that broke in
+    between is repeated from the same offsets and overwrites what it had written, since the
+    batch is named after the offsets it starts from.
+    """
+    spark = lake.spark
+    saved = saved_offsets(spark, offsets_path)
+    records = source.from_offsets(spark, saved)
+    decoded = decode(records, ingested_at).persist()
+    label = "start" if saved is None else hashlib.sha256(starting_offsets(saved, "").encode()).hexdigest()[:16]
+    options = {"nan_to_null": nan_to_null, "allow_fraction": allow_fraction}
+    reached = decoded.select(F.col("kafka_partition").alias("partition"), F.col("kafka_offset").alias("offset"))
+    try:
+        if decoded.isEmpty():
+            return 0
+        read = _store(lake, decoded, label, options, release=False)
+        next_offsets(reached, saved).coalesce(1).write.mode("append").parquet(offsets_path)
+        return read
+    finally:
+        decoded.unpersist()
+
+
+def _store(lake: Lake, decoded: DataFrame, label: str, options: dict, *, release: bool = True) -> int:
+    """Split persisted records into raw and quarantine; each is read once and parsed once.
+
+    Only partitions with this label are overwritten, so a repeated batch leaves each row once.
+    """
+    try:
+        count = decoded.count()
+        batch = F.lit(label)
+        good = accepted(decoded, **options).withColumn(INGEST_BATCH.name, batch)
+        bad = rejected(decoded).withColumn(INGEST_BATCH.name, batch)
+        lake.overwrite_batch(lake.raw, good.hint("rebalance", "dt"))
+        lake.overwrite_batch(lake.quarantine, bad.hint("rebalance"))
+        return count
+    finally:
+        if release:
+            decoded.unpersist()

@@ -135,6 +135,40 @@ def test_batch_repeated_after_a_failure_leaves_rows_once(spark, lake, folder, mo
     assert lake.read(lake.quarantine).count() == 1
 
 
+def test_batch_runs_go_on_from_saved_offsets(spark, lake, folder):
+    source = RecordSource.files(f"{folder}/records")
+    offsets = f"{folder}/offsets"
+    source.write(sent(spark, [event(i) for i in range(5)] + ["bad"]))
+    assert ingesting.ingest_batch(lake, source, offsets) == 6
+    assert ingesting.ingest_batch(lake, source, offsets) == 0
+    source.write(sent(spark, [event(6)], first=6))  # partition 0 only
+    assert ingesting.ingest_batch(lake, source, offsets) == 1
+    assert ingesting.ingest_batch(lake, source, offsets) == 0
+    assert sorted(r[0] for r in lake.read(lake.raw).select("transaction_id").collect()) == [
+        "t0", "t1", "t2", "t3", "t4", "t6",
+    ]
+    assert lake.read(lake.quarantine).count() == 1
+    saved = {r["partition"]: r["next_offset"] for r in records.saved_offsets(spark, offsets).collect()}
+    assert saved == {0: 7, 1: 6}
+
+
+def test_batch_run_repeated_after_a_failure(spark, lake, folder, monkeypatch):
+    source = RecordSource.files(f"{folder}/records")
+    offsets = f"{folder}/offsets"
+    source.write(sent(spark, [event(i) for i in range(4)]))
+
+    def lost(*args):
+        raise RuntimeError("lost")
+
+    monkeypatch.setattr(ingesting, "next_offsets", lost)
+    with pytest.raises(RuntimeError, match="lost"):
+        ingesting.ingest_batch(lake, source, offsets)
+    monkeypatch.undo()
+    source.write(sent(spark, [event(4)], first=4))
+    assert ingesting.ingest_batch(lake, source, offsets) == 5
+    assert lake.read(lake.raw).count() == 5
+
+
 def test_offsets_are_merged(spark):
     first = records.next_offsets(sent(spark, ["a", "b", "c"]))
     only_partition_0 = sent(spark, ["d"], first=7)
