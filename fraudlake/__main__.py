@@ -19,7 +19,7 @@ from fraudlake.session import build_session, scratch_dir
 from fraudlake.sources import files, records
 from fraudlake.sources.lake import Lake
 from fraudlake.sources.records import RecordSource
-from fraudlake.streaming.ingest import ingest
+from fraudlake.streaming.ingest import ingest, ingest_batch
 from fraudlake.synth import generate
 
 log = logging.getLogger("fraudlake")
@@ -62,7 +62,11 @@ def _produce(spark: SparkSession, args) -> int:
 
 def _ingest(spark: SparkSession, args) -> int:
     lake = _lake(spark, args)
-    read = ingest(lake, _records(args), args.checkpoint, max_per_trigger=args.max_per_trigger)
+    options = {"nan_to_null": args.nan_to_null, "allow_fraction": args.allow_fraction}
+    if args.checkpoint:
+        read = ingest(lake, _records(args), args.checkpoint, max_per_trigger=args.max_per_trigger, **options)
+    else:
+        read = ingest_batch(lake, _records(args), args.offsets, **options)
     log.info("%d records read", read)
     return 0
 
@@ -167,8 +171,12 @@ def _parser() -> argparse.ArgumentParser:
     sub.add_argument("--seed", type=int, default=42)
 
     sub = job("ingest", _ingest, "take in new records", lake, record_store)
-    sub.add_argument("--checkpoint", required=True)
+    progress = sub.add_mutually_exclusive_group(required=True)
+    progress.add_argument("--checkpoint", help="checkpoint folder; reads as a stream")
+    progress.add_argument("--offsets", help="folder of saved offsets; reads as one batch")
     sub.add_argument("--max-per-trigger", type=int)
+    sub.add_argument("--nan-to-null", action="store_true")
+    sub.add_argument("--allow-fraction", action="store_true", help="accept fractions of a second")
 
     usual = FraudConfig()
     sub = job("day", _day, "score one day", lake)

@@ -19,7 +19,7 @@ from pyspark.sql import types as T
 
 from fraudlake.config import FraudConfig
 from fraudlake.functions import epoch_seconds
-from fraudlake.session import shared_root
+from fraudlake.session import estimated_bytes, shared_root
 
 COUNT_COLUMN = "txn_count_5min"
 # columns of the previous transaction, and what they are taken from
@@ -66,7 +66,7 @@ def heavy_groups(df: DataFrame, keys: list[str], cfg: FraudConfig) -> list[Row]:
     Counted with map-side combine over the key columns alone. A group that does not make the
     list holds at most total_rows / max_heavy_groups rows, and is handled by plain windows.
     """
-    if cfg.slice_rows is None or df.isStreaming or _estimated_bytes(df) < cfg.slice_input_bytes:
+    if cfg.slice_rows is None or df.isStreaming or estimated_bytes(df) < cfg.slice_input_bytes:
         return []
     sizes = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows")).filter(F.col("_rows") > cfg.slice_rows)
     return sizes.orderBy(F.desc("_rows"), *keys).limit(cfg.max_heavy_groups).collect()
@@ -173,11 +173,6 @@ def _with_count(out: DataFrame, placed: DataFrame, keys: list[str], window_s: in
     return out.join(counts, same_second).drop(*(f"_n_{k}" for k in [*keys, "_epoch"]))
 
 
-def _estimated_bytes(df: DataFrame) -> int:
-    """The optimizer's size estimate, from file sizes where df reads files; no job runs."""
-    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-
-
 def _tie_order(df: DataFrame) -> list[str]:
     positions = [c for c in ("kafka_partition", "kafka_offset") if c in df.columns]
     return ["event_timestamp", "transaction_id", *positions]

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from fraudlake.config import FraudConfig
 from fraudlake.operators import curate
 from fraudlake.operators.rules import score_of_reasons, score_transactions
+from fraudlake.session import shuffle_sized_for
 from fraudlake.sources.lake import Lake
 
 log = logging.getLogger(__name__)
@@ -28,8 +29,9 @@ def run_day(lake: Lake, dt: str, cfg: FraudConfig = FraudConfig(), run_at: Colum
         log.warning("no data for %s", dt)
         return False
 
-    scored = score_day(raw, dt, cfg)
-    lake.overwrite_day(lake.transactions, curate.curated_transactions(scored, run_at), dt)
+    with shuffle_sized_for(curate.raw_day(raw, dt)):
+        scored = score_day(raw, dt, cfg)
+        lake.overwrite_day(lake.transactions, curate.curated_transactions(scored, run_at), dt)
 
     written = scored_day(lake, dt, cfg)
     lake.overwrite_day(lake.alerts, curate.fraud_alerts(written, run_at).hint("rebalance", "fraud_reason"), dt)

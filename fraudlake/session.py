@@ -4,15 +4,49 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 TARGET_PARTITION_BYTES = 128 * 1024 * 1024
+# what a byte of compressed columns becomes as shuffled rows, roughly
+ROW_EXPANSION = 4
+# beyond this the driver's bookkeeping per shuffle block costs more than spilling does
+MAX_SHUFFLE_PARTITIONS = 50_000
+MAX_SCAN_TASKS = 200_000
+SHUFFLE_PARTITIONS = "spark.sql.shuffle.partitions"
+UNKNOWN_BYTES = 2**60
 
 
 def shuffle_partitions_for(input_bytes: int, cores: int = 1) -> int:
-    """Enough shuffle partitions for ~128 MB each, and one per core at least."""
-    return max(cores, -(-input_bytes // TARGET_PARTITION_BYTES))
+    """Enough shuffle partitions for ~128 MB each, one per core at least, a bounded number."""
+    return min(MAX_SHUFFLE_PARTITIONS, max(cores, -(-input_bytes // TARGET_PARTITION_BYTES)))
+
+
+def scan_split_bytes_for(input_bytes: int) -> int:
+    """Bytes per scan task: 128 MB, more when that would make too many tasks."""
+    return max(TARGET_PARTITION_BYTES, -(-input_bytes // MAX_SCAN_TASKS))
+
+
+def estimated_bytes(df: DataFrame) -> int:
+    """The optimizer's size estimate, from file sizes where df reads files; no job runs."""
+    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+
+
+@contextmanager
+def shuffle_sized_for(df: DataFrame) -> Iterator[None]:
+    """Within the block, as many shuffle partitions as the input needs, if that is more than
+    the session is set to. AQE merges what turns out small."""
+    conf = df.sparkSession.conf
+    usual = conf.get(SHUFFLE_PARTITIONS)
+    size = estimated_bytes(df)
+    if size < UNKNOWN_BYTES:
+        conf.set(SHUFFLE_PARTITIONS, str(max(int(usual), shuffle_partitions_for(size * ROW_EXPANSION))))
+    try:
+        yield
+    finally:
+        conf.set(SHUFFLE_PARTITIONS, usual)
 
 
 def build_session(
@@ -38,7 +72,9 @@ def build_session(
     if master:
         builder = builder.master(master)
     if input_bytes is not None:
-        builder = builder.config("spark.sql.shuffle.partitions", str(shuffle_partitions_for(input_bytes)))
+        builder = builder.config(
+            SHUFFLE_PARTITIONS, str(shuffle_partitions_for(input_bytes * ROW_EXPANSION))
+        ).config("spark.sql.files.maxPartitionBytes", str(scan_split_bytes_for(input_bytes)))
     for key, value in (conf or {}).items():
         builder = builder.config(key, value)
     return builder.getOrCreate()

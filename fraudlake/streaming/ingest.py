@@ -97,8 +97,11 @@ def ingest(
     def write(batch: DataFrame, batch_id: int) -> None:
         nonlocal read
         stream_id = batch.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId")
-        options = {"nan_to_null": nan_to_null, "allow_fraction": allow_fraction}
-        read += _store(lake, decode(batch, ingested_at).persist(), f"{stream_id}-{batch_id:08d}", options)
+        decoded = decode(batch, ingested_at).persist()
+        try:
+            read += _store(lake, decoded, f"{stream_id}-{batch_id:08d}", nan_to_null, allow_fraction)
+        finally:
+            decoded.unpersist()
 
     query = (
         source.stream(lake.spark, max_per_trigger or source.usual_batch)
@@ -131,36 +134,28 @@ def ingest_batch(
     between is repeated from the same offsets and overwrites what it had written, since the
     batch is named after the offsets it starts from.
     """
-    spark = lake.spark
-    saved = saved_offsets(spark, offsets_path)
-    records = source.from_offsets(spark, saved)
-    decoded = decode(records, ingested_at).persist()
-    label = "start" if saved is None else hashlib.sha256(starting_offsets(saved, "").encode()).hexdigest()[:16]
-    options = {"nan_to_null": nan_to_null, "allow_fraction": allow_fraction}
-    reached = decoded.select(F.col("kafka_partition").alias("partition"), F.col("kafka_offset").alias("offset"))
+    saved = saved_offsets(lake.spark, offsets_path)
+    label = hashlib.sha256(starting_offsets(saved, "").encode()).hexdigest()[:16]
+    decoded = decode(source.from_offsets(lake.spark, saved), ingested_at).persist()
     try:
-        if decoded.isEmpty():
-            return 0
-        read = _store(lake, decoded, label, options, release=False)
-        next_offsets(reached, saved).coalesce(1).write.mode("append").parquet(offsets_path)
+        read = 0 if decoded.isEmpty() else _store(lake, decoded, label, nan_to_null, allow_fraction)
+        if read:
+            reached = decoded.withColumnsRenamed({"kafka_partition": "partition", "kafka_offset": "offset"})
+            next_offsets(reached, saved).coalesce(1).write.mode("append").parquet(offsets_path)
         return read
     finally:
         decoded.unpersist()
 
 
-def _store(lake: Lake, decoded: DataFrame, label: str, options: dict, *, release: bool = True) -> int:
-    """Split persisted records into raw and quarantine; each is read once and parsed once.
+def _store(lake: Lake, decoded: DataFrame, label: str, nan_to_null: bool, allow_fraction: bool) -> int:
+    """Split persisted records into the raw and the quarantine table; their number.
 
     Only partitions with this label are overwritten, so a repeated batch leaves each row once.
     """
-    try:
-        count = decoded.count()
-        batch = F.lit(label)
-        good = accepted(decoded, **options).withColumn(INGEST_BATCH.name, batch)
-        bad = rejected(decoded).withColumn(INGEST_BATCH.name, batch)
-        lake.overwrite_batch(lake.raw, good.hint("rebalance", "dt"))
-        lake.overwrite_batch(lake.quarantine, bad.hint("rebalance"))
-        return count
-    finally:
-        if release:
-            decoded.unpersist()
+    count = decoded.count()
+    batch = F.lit(label)
+    good = accepted(decoded, nan_to_null=nan_to_null, allow_fraction=allow_fraction)
+    lake.overwrite_batch(lake.raw, good.withColumn(INGEST_BATCH.name, batch).hint("rebalance", "dt"))
+    bad = rejected(decoded)
+    lake.overwrite_batch(lake.quarantine, bad.withColumn(INGEST_BATCH.name, batch).hint("rebalance"))
+    return count

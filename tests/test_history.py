@@ -101,12 +101,12 @@ def test_only_the_largest_groups_are_listed(spark):
 
 
 def test_size_estimate_follows_the_files(spark):
-    from fraudlake.operators.history import _estimated_bytes
+    from fraudlake.session import estimated_bytes
 
     rows = spark.read.parquet("/root/testdata/sf0.1/events.parquet")
     assert heavy_groups(rows, ["user_id"], FraudConfig(slice_rows=3)) == []
     assert heavy_groups(rows, ["user_id"], FraudConfig(slice_rows=3, slice_input_bytes=1_000_000)) != []
-    assert 1_000_000 < _estimated_bytes(rows.selectExpr("CAST(user_id AS STRING)", "*")) < 10_000_000
+    assert 1_000_000 < estimated_bytes(rows.selectExpr("CAST(user_id AS STRING)", "*")) < 10_000_000
 
 
 def test_groups_left_off_the_list_are_still_right(spark):

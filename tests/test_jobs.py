@@ -25,6 +25,10 @@ def test_from_generated_events_to_reports(spark, folder, capsys):
     assert main(ingest, spark) == 0
     assert spark.table(f"raw_{suffix}.transactions").count() == 85
 
+    other = ["--lake", f"{folder}/other", "--raw-db", f"raw2_{suffix}", "--curated-db", f"curated2_{suffix}"]
+    assert main(["ingest", *other, *sent, "--offsets", f"{folder}/offsets"], spark) == 0
+    assert spark.table(f"raw2_{suffix}.transactions").count() == 85
+
     assert main(["day", *lake, "--dt", "2024-07-01"], spark) == 0
     assert main(["day", *lake], spark) == 0  # yesterday has no data
     days = spark.table(f"curated_{suffix}.transactions").groupBy("dt").agg(F.count("*").alias("n")).collect()
