@@ -36,7 +36,7 @@ class FraudConfig:
     exempt_null_accounts: bool = False
 
     # Accounts with more rows than this are scored in slices (None: never slice).
-    slice_rows: int | None = 1_000_000
+    slice_rows: int | None = 500_000
     # Inputs that Spark estimates below this size are not searched for such accounts.
     slice_input_bytes: int = 64 * 1024 * 1024
     # At most this many of the largest accounts are sliced. Any other account then holds

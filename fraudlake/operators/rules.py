@@ -21,6 +21,12 @@ from fraudlake.operators.history import COUNT_COLUMN, PREVIOUS, account_history
 
 @dataclass(frozen=True)
 class Rule:
+    """A reason code (no comma), the flag column it fills, its weight and its predicate.
+
+    ``derived`` names columns to add first. With ``trailing`` these and the predicate may use
+    txn_count_5min, with ``previous`` prev_lat, prev_lon and prev_ts.
+    """
+
     reason: str
     flag: str
     weight: Callable[[FraudConfig], float]

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import logging
+from collections.abc import Sequence
 from datetime import date, timedelta
 
 from pyspark.sql import Column, DataFrame
@@ -10,14 +11,20 @@ from pyspark.sql import functions as F
 
 from fraudlake.config import FraudConfig
 from fraudlake.operators import curate
-from fraudlake.operators.rules import score_of_reasons, score_transactions
+from fraudlake.operators.rules import DEFAULT_RULES, Rule, score_of_reasons, score_transactions
 from fraudlake.session import shuffle_sized_for
 from fraudlake.sources.lake import Lake
 
 log = logging.getLogger(__name__)
 
 
-def run_day(lake: Lake, dt: str, cfg: FraudConfig = FraudConfig(), run_at: Column | None = None) -> bool:
+def run_day(
+    lake: Lake,
+    dt: str,
+    cfg: FraudConfig = FraudConfig(),
+    run_at: Column | None = None,
+    rules: Sequence[Rule] = DEFAULT_RULES,
+) -> bool:
     """Score ``dt`` and replace that day in the three curated tables; False if it is empty.
 
     The scored rows are written once, as curated transactions. Alerts and summary are built
@@ -30,10 +37,10 @@ def run_day(lake: Lake, dt: str, cfg: FraudConfig = FraudConfig(), run_at: Colum
         return False
 
     with shuffle_sized_for(curate.raw_day(raw, dt)):
-        scored = score_day(raw, dt, cfg)
+        scored = score_day(raw, dt, cfg, rules)
         lake.overwrite_day(lake.transactions, curate.curated_transactions(scored, run_at), dt)
 
-    written = scored_day(lake, dt, cfg)
+    written = scored_day(lake, dt, cfg, rules)
     lake.overwrite_day(lake.alerts, curate.fraud_alerts(written, run_at).hint("rebalance", "fraud_reason"), dt)
     lake.overwrite_day(lake.summary, curate.fraud_summary(written, run_at).hint("rebalance"), dt)
 
@@ -42,25 +49,29 @@ def run_day(lake: Lake, dt: str, cfg: FraudConfig = FraudConfig(), run_at: Colum
     return True
 
 
-def score_day(raw: DataFrame, dt: str, cfg: FraudConfig = FraudConfig()) -> DataFrame:
+def score_day(
+    raw: DataFrame, dt: str, cfg: FraudConfig = FraudConfig(), rules: Sequence[Rule] = DEFAULT_RULES
+) -> DataFrame:
     """Scored transactions of one day.
 
     With ``lookback`` the rules also see the last part of the day before, as long as the
     longest time window among them.
     """
     if not cfg.lookback:
-        return score_transactions(_prepared(curate.raw_day(raw, dt), cfg), cfg)
+        return score_transactions(_prepared(curate.raw_day(raw, dt), cfg), cfg, rules)
     day_before = str(date.fromisoformat(dt) - timedelta(days=1))
     reach = max(cfg.velocity_window_s, cfg.geo_window_s)
     since = F.lit(f"{dt} 00:00:00").cast("timestamp_ntz") - F.make_dt_interval(secs=F.lit(reach))
     both_days = curate.usable(raw.filter(F.col("dt").isin(day_before, dt) & (F.col("event_timestamp") >= since)))
-    return score_transactions(_prepared(both_days, cfg), cfg).filter(F.col("dt") == dt)
+    return score_transactions(_prepared(both_days, cfg), cfg, rules).filter(F.col("dt") == dt)
 
 
-def scored_day(lake: Lake, dt: str, cfg: FraudConfig = FraudConfig()) -> DataFrame:
+def scored_day(
+    lake: Lake, dt: str, cfg: FraudConfig = FraudConfig(), rules: Sequence[Rule] = DEFAULT_RULES
+) -> DataFrame:
     """A written day with its score, which follows from the stored reasons."""
     day = lake.read(lake.transactions).filter(F.col("dt") == dt)
-    return day.withColumn("fraud_score", score_of_reasons(F.col("fraud_reasons"), cfg))
+    return day.withColumn("fraud_score", score_of_reasons(F.col("fraud_reasons"), cfg, rules))
 
 
 def _prepared(day: DataFrame, cfg: FraudConfig) -> DataFrame:

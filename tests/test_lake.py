@@ -88,6 +88,16 @@ def test_stored_score_equals_scored(spark, lake):
     assert sorted(lake.read(lake.alerts).select(key).collect()) == sorted(direct.select(key).collect())
 
 
+def test_day_with_a_rule_of_ones_own(lake):
+    from fraudlake.operators.rules import DEFAULT_RULES, Rule
+
+    noon = Rule("NOON", "fraud_flag_noon", lambda cfg: 0.2, lambda cfg: F.hour("event_timestamp") == 12)
+    load(lake, [txn(0, 0, amount=6e5), txn(1, 7200)])
+    run_day(lake, "2024-01-01", rules=[*DEFAULT_RULES, noon])
+    assert by_id(lake.read(lake.transactions), "fraud_reasons") == {"t0000": "HIGH_AMOUNT,NOON", "t0001": ""}
+    assert {r["fraud_score"] for r in lake.read(lake.alerts).collect()} == {0.7}
+
+
 def test_lookback_sees_the_end_of_the_day_before(spark):
     midnight = 12 * 3600
     rows = [txn(0, midnight - 120), txn(1, midnight - 60), txn(2, midnight + 60, at=MUMBAI), txn(9, midnight - 9000)]
