@@ -24,6 +24,7 @@ from fraudlake.session import estimated_bytes, shared_root
 COUNT_COLUMN = "txn_count_5min"
 # columns of the previous transaction, and what they are taken from
 PREVIOUS = {"prev_lat": "location_lat", "prev_lon": "location_lon", "prev_ts": "event_timestamp"}
+POSITION = ("kafka_partition", "kafka_offset")
 SECONDS_PER_BLOCK = 86_400
 
 
@@ -99,16 +100,16 @@ def _sliced(
     """The same columns for large accounts, with no task that holds a whole account.
 
     Rows are range-partitioned by account, time and tie order; a slice is what one range
-    holds of one account. ``_row`` keeps identical copies of a record apart, so a range can
-    also cut through them. Both it and the slice number are fixed by a reliable checkpoint:
-    a recomputed task must not number rows differently.
+    holds of one account. Record positions tell copies of a record apart, so that a range can
+    cut through them; where there are none, rows are numbered. Slice and row numbers are
+    fixed by a reliable checkpoint: a recomputed task must not number rows differently.
     """
     shared_root(df.sparkSession)
-    numbered = (
-        df.withColumn("_epoch", epoch_seconds(F.col("event_timestamp")))
-        .withColumn("_row", F.monotonically_increasing_id())
-        .checkpoint()
-    )
+    numbered = df.withColumn("_epoch", epoch_seconds(F.col("event_timestamp")))
+    if set(POSITION) <= set(df.columns):
+        numbered = numbered.withColumn("_row", F.lit(0))
+    else:
+        numbered = numbered.withColumn("_row", F.monotonically_increasing_id()).checkpoint()
     order = ["_epoch", *_tie_order(df), "_row"]
     placed = (
         numbered.repartitionByRange(slices, *keys, *order).withColumn("_slice", F.spark_partition_id()).checkpoint()
@@ -174,8 +175,7 @@ def _with_count(out: DataFrame, placed: DataFrame, keys: list[str], window_s: in
 
 
 def _tie_order(df: DataFrame) -> list[str]:
-    positions = [c for c in ("kafka_partition", "kafka_offset") if c in df.columns]
-    return ["event_timestamp", "transaction_id", *positions]
+    return ["event_timestamp", "transaction_id", *(c for c in POSITION if c in df.columns)]
 
 
 def _all_equal(pairs) -> Column:

@@ -79,6 +79,21 @@ def test_copies_of_one_record_are_cut_too(spark):
     assert (last["txn_count_5min"], last["prev_lat"]) == (51, 28.6139)
 
 
+def test_slices_with_record_positions(spark):
+    """Copies of a record at several positions follow each other in the order of positions."""
+    from pyspark.sql import functions as F
+
+    rows = [txn(i // 3, (i // 30) * 40, account="HOT", at=(float(i), 0.0)) for i in range(120)]
+    df = frame(spark, rows).withColumns(
+        {"kafka_partition": F.lit(0), "kafka_offset": F.col("location_lat").cast("long")}
+    )
+    columns = ["kafka_offset", *COLUMNS]
+    plain = account_history(df, FraudConfig(slice_rows=None)).select(columns).collect()
+    sliced = account_history(df, FraudConfig(slice_rows=7, slice_input_bytes=0)).select(columns).collect()
+    assert sorted(plain, key=str) == sorted(sliced, key=str)
+    assert [r["prev_lat"] for r in sorted(sliced, key=lambda r: r["kafka_offset"])] == [None, *map(float, range(119))]
+
+
 def test_slices_stay_small_and_respect_order(spark):
     """No slice holds much more than its share, even though one account has all rows."""
     from pyspark.sql import functions as F
