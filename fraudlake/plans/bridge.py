@@ -6,15 +6,12 @@ channel and gaps follow from the event's own columns.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
-
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fraudlake.functions import day_of
 from fraudlake.sources.reference import CHANNELS, CITIES
 
-BASE_MICROS = 1_704_067_200_000_000  # 2024-01-01 00:00:00 UTC
+BASE_SECOND = 1_704_067_200  # 2024-01-01 00:00:00 UTC
 
 
 EVENTS = "event_id BIGINT, ts TIMESTAMP_NTZ, user_id BIGINT, event_type STRING, value DOUBLE, props STRING"
@@ -27,28 +24,25 @@ def events(spark: SparkSession, sf_dir: str) -> DataFrame:
 def transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Raw transactions without record position and audit time."""
     # props is a flat object with one number, {"k": n}; cheaper to match than to parse
-    k = F.regexp_extract("props", r'"k"\s*:\s*(\d+)', 1).try_cast("int")
-    src = events(spark, sf_dir).withColumn("_city", k % len(CITIES))
-    event_id = F.col("event_id")
-    elapsed = F.unix_micros(F.col("ts").cast("timestamp")) - F.lit(BASE_MICROS)
-    seconds = F.lit(BASE_MICROS // 1_000_000) + F.call_function("div", elapsed, F.lit(10_000_000))
-    located = event_id % 89 != 0
-    return (
-        src.filter(F.col("_city").isNotNull())
-        .withColumn("event_timestamp", F.timestamp_seconds(seconds).cast("timestamp_ntz"))
-        .select(
-            event_id.cast("string").alias("transaction_id"),
-            F.concat(F.lit("ACC"), (F.lit(10000) + F.col("user_id")).cast("string")).alias("account_id"),
-            "event_timestamp",
-            F.when(event_id % 97 != 0, F.round(F.col("value") * 3000, 2)).alias("amount"),
-            F.concat(F.lit("MER"), (F.lit(1000) + event_id % 9000).cast("string")).alias("merchant_id"),
-            F.upper("event_type").alias("merchant_cat"),
-            F.when(located, _pick([c.lat for c in CITIES], F.col("_city"))).alias("location_lat"),
-            F.when(located, _pick([c.lon for c in CITIES], F.col("_city"))).alias("location_lon"),
-            _pick(CHANNELS, (event_id % 3).cast("int")).alias("channel"),
-            (event_id % 20 == 0).alias("is_fraud_label"),
-            day_of(F.col("event_timestamp"), F.lit(None)).alias("dt"),
-        )
+    city = "TRY_CAST(REGEXP_EXTRACT(props, '\"k\"\\\\s*:\\\\s*(\\\\d+)', 1) AS INT)"
+    seconds = f"{BASE_SECOND} + (UNIX_MICROS(CAST(ts AS TIMESTAMP)) - {BASE_SECOND}000000) DIV 10000000"
+    placed = events(spark, sf_dir).selectExpr(
+        "*",
+        f"{city} % {len(CITIES)} AS _city",
+        f"CAST(TIMESTAMP_SECONDS({seconds}) AS TIMESTAMP_NTZ) AS event_timestamp",
+    )
+    return placed.filter("_city IS NOT NULL").selectExpr(
+        "CAST(event_id AS STRING) AS transaction_id",
+        "CONCAT('ACC', CAST(10000 + user_id AS STRING)) AS account_id",
+        "event_timestamp",
+        "CASE WHEN event_id % 97 <> 0 THEN ROUND(value * 3000, 2) END AS amount",
+        "CONCAT('MER', CAST(1000 + event_id % 9000 AS STRING)) AS merchant_id",
+        "UPPER(event_type) AS merchant_cat",
+        f"CASE WHEN event_id % 89 <> 0 THEN {_pick([f'{c.lat}D' for c in CITIES], '_city')} END AS location_lat",
+        f"CASE WHEN event_id % 89 <> 0 THEN {_pick([f'{c.lon}D' for c in CITIES], '_city')} END AS location_lon",
+        f"{_pick([repr(c) for c in CHANNELS], 'CAST(event_id % 3 AS INT)')} AS channel",
+        "event_id % 20 = 0 AS is_fraud_label",
+        "CAST(CAST(event_timestamp AS DATE) AS STRING) AS dt",
     )
 
 
@@ -63,5 +57,5 @@ def with_positions(txns: DataFrame) -> DataFrame:
     )
 
 
-def _pick(values: Sequence, index: Column) -> Column:
-    return F.element_at(F.array(*(F.lit(v) for v in values)), index + 1)
+def _pick(literals: list[str], index: str) -> str:
+    return f"ELEMENT_AT(ARRAY({', '.join(literals)}), {index} + 1)"

@@ -23,7 +23,8 @@ MERCHANTS = (1_000, 9_999)
 def seed_rows(ids: DataFrame, seed: int = SEED) -> DataFrame:
     """One event per row of ``ids`` (column ``id``), without transaction_id."""
     row = F.col("id")
-    city = F.element_at(F.array(*(F.struct(F.lit(c.lat).alias("lat"), F.lit(c.lon).alias("lon")) for c in CITIES)), F.col("_city"))
+    places = F.array(*(F.struct(F.lit(c.lat).alias("lat"), F.lit(c.lon).alias("lon")) for c in CITIES))
+    city = F.element_at(places, F.col("_city"))
     drawn = ids.select(
         "id",
         (draws.uniform(row, seed, "fraud") < FRAUD_SHARE).alias("is_fraud"),

@@ -65,7 +65,11 @@ def test_draws_are_uniform_and_normal(spark):
     row = F.col("id")
     got = (
         spark.range(N)
-        .select(draws.uniform(row, 1, "u").alias("u"), draws.uniform(row, 1, "v").alias("v"), draws.normal(row, 1, "n").alias("n"))
+        .select(
+            draws.uniform(row, 1, "u").alias("u"),
+            draws.uniform(row, 1, "v").alias("v"),
+            draws.normal(row, 1, "n").alias("n"),
+        )
         .agg(F.avg("u"), F.stddev("u"), F.corr("u", "v"), F.avg("n"), F.stddev("n"), F.min("u"), F.max("u"))
         .first()
     )
