@@ -1,0 +1,156 @@
+import random
+import zlib
+from collections import Counter
+
+import numpy as np
+import public_tokenizers
+import pytest
+from tokenizers import Tokenizer
+
+from fraudlake.llm.packing import CAPACITY, OpenBins, best_fit_runs, place, sequences
+from fraudlake.llm.token_counts import context_limits, length_histogram, quantiles, token_count_query
+from fraudlake.llm.tokens import parts, token_count, token_ids
+from tests.llm import cases
+
+SMALL = "/root/testdata/sf0.001"
+
+
+@pytest.fixture(scope="module")
+def library():
+    tokenizer = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    tokenizer.encode_special_tokens = True
+    return lambda text: tokenizer.encode(text, add_special_tokens=False).ids
+
+
+def test_ids_equal_the_library(spark, library):
+    texts = [r["text"] or "" for r in cases.table_of(spark, SMALL).select("text").collect()]
+    texts += [r[1] or "" for r in cases.ROWS] + ["a" * 200_000, " " * 100_000 + "x", "it's   \n\n  we'll <|endoftext|>", "  a b  c "]
+    for text in texts:
+        assert token_ids(text).tolist() == library(text)
+        assert token_count(text) == len(library(text))
+
+
+def test_parts_do_not_change_ids(library):
+    rng = random.Random(4)
+    text = "".join(rng.choice(["ab", " ", "  ", "'s", "9", "é", "\n", ".", " x"]) for _ in range(5000))
+    for size in (1, 7, 100):
+        cut = list(parts(text, size))
+        assert "".join(cut) == text
+        assert [i for p in cut for i in library(p)] == library(text)
+
+
+def plain_best_fit(lengths, capacity):
+    rest = []
+    for n in sorted(lengths, reverse=True):
+        fits = [k for k, r in enumerate(rest) if r >= n]
+        if fits:
+            rest[min(fits, key=lambda k: rest[k])] -= n
+        else:
+            rest.append(capacity - n)
+    return sorted(rest)
+
+
+@pytest.mark.parametrize("seed", range(30))
+def test_runs_are_best_fit_decreasing(seed):
+    rng = random.Random(seed)
+    capacity = rng.choice([1, 7, 50, 64])
+    lengths = [rng.randint(1, capacity) for _ in range(rng.randint(0, 300))]
+    filled = {}
+    for length, rank, items, first, per, offset in best_fit_runs(Counter(lengths), capacity):
+        for k in range(items):
+            start = offset + k % per * length
+            filled.setdefault(first + k // per, []).append((start, length))
+    rest = []
+    for spans in filled.values():
+        at = 0
+        for start, length in sorted(spans):
+            assert start == at
+            at += length
+        rest.append(capacity - at)
+    assert sorted(rest) == plain_best_fit(lengths, capacity)
+    assert sorted(n for s in filled.values() for _, n in s) == sorted(lengths)
+
+
+def test_segment_tree_finds_the_tightest():
+    rng = random.Random(2)
+    bins, have = OpenBins(100), []
+    for _ in range(500):
+        if have and rng.random() < 0.5:
+            r = rng.choice(have)
+            have.remove(r)
+            bins.take(r)
+        else:
+            r = rng.randint(1, 100)
+            have.append(r)
+            bins.put(r, 0, 1)
+        ask = rng.randint(1, 100)
+        assert bins.tightest(ask) == min((r for r in have if r >= ask), default=None)
+
+
+def check_places(rows, expected):
+    by_doc, by_sequence = {}, {}
+    for r in rows:
+        by_doc.setdefault(r["doc_id"], []).append((r["piece"], r["start"], r["length"], r["ids_crc32"]))
+        by_sequence.setdefault(r["sequence_id"], []).append((r["offset"], r["length"]))
+    assert {k: sorted(v) for k, v in by_doc.items()} == expected
+    for spans in by_sequence.values():
+        at = 0
+        for offset, length in sorted(spans):
+            assert offset == at
+            at += length
+        assert at <= CAPACITY
+    return len(by_sequence)
+
+
+def expected_pieces(docs, library):
+    out = {}
+    for doc_id, text in docs:
+        ids = np.array([*library(text or ""), 0], dtype="<u4")
+        cut = len(ids) % CAPACITY or CAPACITY
+        bounds = [0, *range(cut, len(ids) + 1, CAPACITY)] if len(ids) > CAPACITY else [0, len(ids)]
+        for k, (a, b) in enumerate(zip(bounds[:-1], bounds[1:], strict=True)):
+            out.setdefault(doc_id, []).append((k, a, b - a, zlib.crc32(ids[a:b].tobytes())))
+    return {k: sorted(v) for k, v in out.items()}
+
+
+def test_whole_table_against_the_library(spark, library):
+    docs = cases.table_of(spark, SMALL)
+    want = expected_pieces([(r["doc_id"], r["text"]) for r in docs.collect()], library)
+    used = check_places(place(docs).collect(), want)
+    assert used == len(plain_best_fit([p[2] for v in want.values() for p in v], CAPACITY))
+
+
+def test_odd_rows_and_empty_table(spark, library):
+    check_places(place(cases.documents(spark)).collect(), expected_pieces([r[:2] for r in cases.ROWS], library))
+    assert place(cases.empty(spark)).collect() == []
+    assert token_count_query(cases.empty(spark)).collect() == []
+
+
+def test_sequences_hold_the_ids(spark, library):
+    docs = cases.table_of(spark, SMALL)
+    placed = place(docs)
+    made = {r["sequence_id"]: np.frombuffer(r["ids"], dtype="<u4").tolist() for r in sequences(docs, placed).collect()}
+    texts = {r["doc_id"]: r["text"] for r in docs.collect()}
+    for r in placed.collect():
+        ids = [*library(texts[r["doc_id"]]), 0][r["start"] : r["start"] + r["length"]]
+        assert made[r["sequence_id"]][r["offset"] : r["offset"] + r["length"]] == ids
+
+
+def test_token_counts_against_brute_force(spark, library):
+    docs = cases.documents(spark).unionByName(cases.table_of(spark, SMALL), allowMissingColumns=True)
+    lengths = [len(library(r["text"] or "")) for r in docs.select("text").collect()]
+    rows = token_count_query(docs).collect()
+    assert {r["n_tokens"]: r["n_docs"] for r in rows} == dict(Counter(lengths))
+    for r in rows:
+        limit = r["n_tokens"]
+        assert r["docs_beyond"] == sum(n > limit for n in lengths)
+        assert r["tokens_beyond"] == sum(n for n in lengths if n > limit)
+        assert r["docs_within"] == sum(n <= limit for n in lengths)
+        assert r["truncated_tokens"] == sum(min(n, limit) for n in lengths)
+        assert r["total_tokens"] == sum(lengths)
+
+
+def test_quantiles(spark):
+    lengths = spark.createDataFrame([(n,) for n in [1, 2, 2, 3, 10_000]], "n_tokens long")
+    found = quantiles(context_limits(length_histogram(lengths)), [0.2, 0.5, 0.9, 1.0]).collect()
+    assert {(r["share"], r["n_tokens"]) for r in found} == {(0.2, 1), (0.5, 2), (0.9, 10_000), (1.0, 10_000)}
