@@ -229,7 +229,8 @@ def mask(docs: DataFrame) -> DataFrame:
     same = F.col("doc_id").eqNullSafe(F.col(names["id"])) & (text_key() == F.col(names["key"]))
     joined = docs.join(spans, same, "left")
     text = F.when(F.col(names["spans"]).isNull(), F.col("text")).otherwise(replaced(F.col("text"), F.col(names["spans"])))
-    new = joined.withColumn("text", text).drop(*names.values())
+    new = joined.withColumn("text", text)
     if "n_chars" in docs.columns:
-        new = new.withColumn("n_chars", F.when(F.col("text").isNull(), F.col("n_chars")).otherwise(F.length("text").cast("long")))
+        clean = F.col(names["spans"]).isNull()
+        new = new.withColumn("n_chars", F.when(clean, F.col("n_chars")).otherwise(F.length("text").cast("long")))
     return new.select(docs.columns)

@@ -1,0 +1,109 @@
+import random
+
+import pytest
+
+from fraudlake.llm import decontaminate
+from fraudlake.llm.decontaminate import Matcher, best_distance, clean, leaks, normal
+from tests.llm import cases
+
+
+def plain_distance(item, text):
+    """Least edits of item against any part of text, row by row, and the first end of such a part."""
+    row = [0] * (len(text) + 1)
+    for a in item:
+        new = [row[0] + 1]
+        for k, b in enumerate(text, 1):
+            new.append(min(row[k] + 1, new[-1] + 1, row[k - 1] + (a != b)))
+        row = new
+    return min(row), row.index(min(row))
+
+
+@pytest.mark.parametrize("seed", range(60))
+def test_bit_parallel_distance_is_the_plain_one(seed):
+    rng = random.Random(seed)
+    draw = lambda n: "".join(rng.choice("abc ") for _ in range(n))
+    item, text = draw(rng.randint(1, 90)), draw(rng.randint(0, 120))
+    if rng.random() < 0.5:
+        text += item[: rng.randint(0, len(item))] + draw(5)
+    assert best_distance(item, text) == plain_distance(item, text)
+
+
+def by_hand(item, text):
+    item, text = normal(item), normal(text or "")
+    if not item or not text:
+        return None
+    distance, _ = plain_distance(item, text)
+    return distance if distance <= len(item) // 20 else None
+
+
+def edited(rng, text, edits):
+    chars = list(text)
+    for _ in range(edits):
+        at = rng.randrange(len(chars))
+        kind = rng.randrange(3)
+        chars[at : at + (kind != 0)] = [rng.choice("xyz")] if kind != 1 else []
+    return "".join(chars)
+
+
+def test_every_item_within_its_budget_is_found():
+    rng = random.Random(5)
+    words = lambda n: " ".join(rng.choice(["the", "of", "and", "reed", "thin", "ou", "hand"]) for _ in range(n))
+    items = [words(rng.randint(1, 40)) for _ in range(25)]
+    matcher = Matcher(items)
+    for k in range(120):
+        item = rng.choice(items)
+        text = f"{words(20)} {edited(rng, item, k % 8)} {words(20)}"
+        got = {m.item: m.distance for m in matcher.matches(text)}
+        want = {j: d for j, i in enumerate(items) if (d := by_hand(i, text)) is not None}
+        assert got == want
+
+
+def test_whole_table_against_brute_force(spark):
+    small = "/root/testdata/sf0.001"
+    docs, items = cases.table_of(spark, small).limit(60), cases.table_of(spark, small, "benchmark").limit(12)
+    got = {(r["doc_id"], r["item_id"]): r["distance"] for r in leaks(docs, items).collect()}
+    want = {
+        (d["doc_id"], i["item_id"]): found
+        for d in docs.collect()
+        for i in items.collect()
+        if (found := by_hand(i["text"], d["text"])) is not None
+    }
+    assert got == want
+
+
+def test_planted_items_go_and_clean_documents_stay(spark):
+    items = spark.createDataFrame([(1, "Alpha beta, gamma delta epsilon zeta eta theta!"), (2, None), (3, " ?! "), (None, "short one")], "item_id long, text string")
+    rows = [
+        (1, "before ALPHA beta gamma  delta epsilon zeta eta theta after"),
+        (2, "before alpha bet gamma delta epsilon zetta eta theta after"),  # two edits
+        (3, "before alpha gamma delta eta theta after"),
+        (4, None),
+        (5, "a short one here"),
+        (6, "a short-ones here"),
+    ]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {(r["doc_id"], r["item_id"], r["distance"]) for r in leaks(docs, items).collect()}
+    assert got == {(1, 1, 0), (2, 1, 2), (5, None, 0)}
+    assert sorted(r["doc_id"] for r in clean(docs, items).collect()) == [3, 4, 6]
+
+
+def test_groups_of_items_cover_all(spark, monkeypatch):
+    items = cases.table_of(spark, "/root/testdata/sf0.001", "benchmark")
+    docs = cases.table_of(spark, "/root/testdata/sf0.001")
+    key = lambda df: sorted(map(tuple, df.collect()))
+    whole, kept = key(leaks(docs, items)), sorted(r["doc_id"] for r in clean(docs, items).collect())
+    groups = decontaminate.item_groups
+    monkeypatch.setattr(decontaminate, "item_groups", lambda items: groups(items, 1500))
+    assert len(list(groups(items, 1500))) > 3
+    assert key(leaks(docs, items)) == whole
+    assert sorted(r["doc_id"] for r in clean(docs, items).collect()) == kept
+
+
+def test_odd_rows_and_empty_tables(spark):
+    docs, items = cases.documents(spark), cases.table_of(spark, "/root/testdata/sf0.001", "benchmark")
+    assert leaks(docs, items).collect() == []
+    assert sorted(map(str, clean(docs, items).collect())) == sorted(map(str, docs.collect()))
+    assert clean(docs, items).columns == docs.columns
+    assert leaks(docs, items.limit(0)).collect() == []
+    assert clean(docs, items.limit(0)).count() == len(cases.ROWS)
+    assert leaks(cases.empty(spark), items).collect() == []

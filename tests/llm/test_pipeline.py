@@ -1,0 +1,75 @@
+"""The stages against brute force over one another's outputs."""
+
+import re
+
+import corpus_pipeline
+from fraudlake.llm.packing import place
+from tests.llm import cases
+from tests.llm.test_decontaminate import by_hand as leak
+from tests.llm.test_near_dedup import by_hand as components
+from tests.llm.test_pii import by_hand as personal
+
+SMALL = "/root/testdata/sf0.001"
+
+
+def rows_of(df):
+    return {r["doc_id"]: r["text"] for r in df.collect()}
+
+
+def test_stages_by_hand(spark):
+    docs = cases.table_of(spark, SMALL)
+    stages = dict(corpus_pipeline.STAGES)
+    assert list(stages) == ["language_id", "near_dedup", "decontamination", "pii", "packing"]
+
+    told = stages["language_id"](spark, docs, SMALL)
+    want = {d: t for d, t in rows_of(docs).items() if re.search(r"[^\W\d_]", t or "")}
+    assert rows_of(told) == want
+
+    unique = stages["near_dedup"](spark, told, SMALL)
+    want = {d: want[d] for d, (_, _, kept) in components(list(want.items())).items() if kept}
+    assert rows_of(unique) == want
+
+    clean = stages["decontamination"](spark, unique, SMALL)
+    items = [r["text"] for r in cases.table_of(spark, SMALL, "benchmark").collect()]
+    planted = {d for d, t in want.items() if any(leak(i, t[:3000]) is not None for i in items[:3])}
+    kept = rows_of(clean)
+    assert not planted & kept.keys()
+    normal = corpus_pipeline.clean.__globals__["normal"]
+    exact = {d for d, t in want.items() if any(normal(i) in normal(t) for i in items)}
+    assert exact and not exact & kept.keys()
+    assert len(want) - len(kept) < 2 * len(exact) + 3
+
+    masked = stages["pii"](spark, clean, SMALL)
+    new = rows_of(masked)
+    assert new.keys() == kept.keys()
+    for d, t in new.items():
+        assert not personal(t)
+        if not personal(kept[d]) and "<ID>" not in t:
+            assert t == kept[d]
+    for stage in (told, unique, clean, masked):
+        assert stage.columns == docs.columns
+
+
+def test_run_equals_its_stages(spark):
+    rows = corpus_pipeline.run(spark, SMALL).collect()
+    docs = cases.table_of(spark, SMALL)
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        docs = stage(spark, docs, SMALL)
+    key = lambda r: (r["doc_id"], r["piece"], r["start"], r["length"], r["ids_crc32"])
+    assert sorted(map(key, rows)) == sorted(map(key, place(docs).collect()))
+
+
+def test_odd_rows_and_empty_tables(spark):
+    docs = cases.documents(spark)
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        assert stage(spark, cases.empty(spark), SMALL).collect() == [], name
+        out = stage(spark, docs, SMALL)
+        assert out.columns == docs.columns
+        ids = sorted(r["doc_id"] or 0 for r in out.collect())
+        if name == "language_id":
+            assert ids == [0, 1, 1, 6, 7, 8, 9, 10]
+        elif name == "near_dedup":
+            assert ids == [0, 0, 1, 1, 2, 3, 4, 5, 6, 8, 9, 10]
+        else:
+            assert len(ids) == len(cases.ROWS)
+    assert corpus_pipeline.packing(spark, cases.empty(spark), SMALL).collect() == []

@@ -1,0 +1,84 @@
+import random
+import zlib
+from collections import defaultdict
+
+import pytest
+
+from fraudlake.llm import sharding
+from fraudlake.llm.common import written
+from fraudlake.llm.sharding import differenced, shard, sharding_query, shards_of
+from tests.llm import cases
+
+
+def test_differencing_of_a_known_example():
+    to = differenced([[8, 0], [7, 0], [6, 0], [5, 0], [4, 0]])
+    sums = [0, 0]
+    for (subset, _), weight in zip(to, [8, 7, 6, 5, 4], strict=True):
+        sums[subset] += weight
+    assert sorted(sums) == [14, 16]  # what differencing gives; the best would be 15 and 15
+
+
+@pytest.mark.parametrize("seed", range(5))
+def test_partial_partitions_are_joined_tightly(seed):
+    rng = random.Random(seed)
+    nodes = [[rng.randrange(1000) for _ in range(8)] for _ in range(200)]
+    to = differenced(nodes)
+    sums = [0] * 8
+    for weights, subsets in zip(nodes, to, strict=True):
+        assert sorted(subsets) == list(range(8))
+        for weight, subset in zip(weights, subsets, strict=True):
+            sums[subset] += weight
+    assert max(sums) - min(sums) < 100
+
+
+def check(rows, texts):
+    by_shard, by_text = defaultdict(list), defaultdict(set)
+    assert len(rows) == len(texts)
+    crc = {zlib.crc32((t or "").encode()): t or "" for t in texts}
+    for r in rows:
+        text = crc[r["text_crc32"]]
+        assert r["size"] == len(text.encode()) + 1
+        assert 0 <= r["shard"] < 8
+        by_text[text].add(r["shard"])
+        by_shard[r["shard"]].append((r["slot"], r["size"]))
+    assert all(len(s) == 1 for s in by_text.values())
+    for slots in by_shard.values():
+        assert sorted(s for s, _ in slots) == list(range(len(slots)))
+    return [sum(s for _, s in by_shard[k]) for k in range(8)]
+
+
+def test_whole_table(spark):
+    docs = cases.table_of(spark, "/root/testdata/sf0.01")
+    rows = sharding_query(docs).collect()
+    sums = check(rows, [r["text"] for r in docs.collect()])
+    assert max(sums) - min(sums) < 0.001 * sum(sums) / 8
+    assert {(r["law"], r["grown_shard"]) for r in rows} == {("bytes", None)}
+
+
+def test_levels_of_buckets(spark, monkeypatch):
+    weights = [(bytes([k % 256, k // 256]), random.Random(k).randrange(1, 10_000)) for k in range(3000)]
+    groups = written(spark.createDataFrame(weights, "group binary, weight long"), "groups")
+    rows = shards_of(groups, 8, 32).collect()
+    assert len({bytes(r["group"]) for r in rows}) == len(rows) == 3000
+    weight = dict(weights)
+    sums = defaultdict(int)
+    for r in rows:
+        sums[r["shard"]] += weight[bytes(r["group"])]
+    assert max(sums.values()) - min(sums.values()) < 200
+
+
+def test_a_heavy_group_stays_whole(spark):
+    rows = [(k, "the same text for a third of them" if k % 3 == 0 else f"text {k}") for k in range(900)]
+    check(shard(spark.createDataFrame(rows, "doc_id long, text string")).collect(), [t for _, t in rows])
+
+
+def test_slots_over_many_salts(spark, monkeypatch):
+    plain = sharding.numbered
+    monkeypatch.setattr(sharding, "numbered", lambda *a: plain(*a, rows_per_task=50))
+    docs = cases.table_of(spark, "/root/testdata/sf0.001")
+    check(shard(docs).collect(), [r["text"] for r in docs.collect()])
+
+
+def test_odd_rows_and_empty_table(spark):
+    check(shard(cases.documents(spark)).collect(), [r[1] for r in cases.ROWS])
+    assert sharding_query(cases.empty(spark)).collect() == []
