@@ -35,11 +35,5 @@ class FraudConfig:
     # Rows without an account are never compared with each other.
     exempt_null_accounts: bool = False
 
-    # Accounts with more rows than this are scored in slices (None: never slice).
+    # Accounts with more rows than this are scored in slots of about so many rows (None: never).
     slice_rows: int | None = 500_000
-    # Inputs that Spark estimates below this size are not searched for such accounts.
-    slice_input_bytes: int = 64 * 1024 * 1024
-    # At most this many of the largest accounts are sliced. Any other account then holds
-    # at most total_rows / max_heavy_groups rows, so both the list and the rest are bounded.
-    max_heavy_groups: int = 100_000
-    max_slices: int = 20_000

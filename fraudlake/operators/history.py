@@ -1,10 +1,11 @@
 """What an account did before each transaction: trailing count and previous transaction.
 
 Both come from windows over one account, which Spark evaluates in one task per account. That
-is right for ordinary accounts: one shuffle and one sort. An account that holds a large share
-of all rows is cut into slices of bounded size instead, and what a slice needs from its
-neighbours (the last row before it, the counts per second) is brought in by small joins, so
-the result is the same row for row.
+is right for ordinary accounts: one shuffle and one sort. The rows of an account that holds
+very many are cut into slots of bounded size instead. A slot is a stretch of seconds of one day;
+where it begins follows from the counts per second alone, so each row's slot is a function of the
+row. What a slot needs from its neighbours (the last row before it, the counts per second) is
+brought in by joins, so the result is the same row for row. Nothing is collected.
 """
 
 from __future__ import annotations
@@ -13,13 +14,12 @@ from dataclasses import replace
 from functools import reduce
 from operator import and_
 
-from pyspark.sql import Column, DataFrame, Row, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from fraudlake.config import FraudConfig
 from fraudlake.functions import epoch_seconds
-from fraudlake.session import estimated_bytes, shared_root
+from fraudlake.session import scratch_dir
 
 COUNT_COLUMN = "txn_count_5min"
 # columns of the previous transaction, and what they are taken from
@@ -47,30 +47,31 @@ def account_history(
 
     keys = ["account_id", "dt"] if cfg.isolate_days else ["account_id"]
     heavy = heavy_groups(df, keys, cfg)
-    if not heavy:
+    if heavy is None:
         return _windowed(df, keys, cfg, trailing, previous)
 
-    key_types = T.StructType([T.StructField(f"_heavy_{k}", df.schema[k].dataType) for k in keys])
-    listed = df.sparkSession.createDataFrame([tuple(r[k] for k in keys) for r in heavy], key_types)
+    listed = heavy.select(*(F.col(k).alias(f"_heavy_{k}") for k in keys))
     is_listed = _all_equal((df[k], listed[f"_heavy_{k}"]) for k in keys)
-    ordinary = df.join(F.broadcast(listed), is_listed, "left_anti")
-    large = df.join(F.broadcast(listed), is_listed, "left_semi")
-    slices = min(cfg.max_slices, -(-sum(r["_rows"] for r in heavy) // cfg.slice_rows))
+    ordinary, large = df.join(listed, is_listed, "left_anti"), df.join(listed, is_listed, "left_semi")
     return _windowed(ordinary, keys, cfg, trailing, previous).unionByName(
-        _sliced(large, keys, cfg, slices, trailing, previous)
+        _slotted(large, keys, cfg, trailing, previous)
     )
 
 
-def heavy_groups(df: DataFrame, keys: list[str], cfg: FraudConfig) -> list[Row]:
-    """The largest groups above ``slice_rows``, at most ``max_heavy_groups`` of them.
+def heavy_groups(df: DataFrame, keys: list[str], cfg: FraudConfig) -> DataFrame | None:
+    """The groups of more than ``slice_rows`` rows with their ``_rows``; None if there are none.
 
-    Counted with map-side combine over the key columns alone. A group that does not make the
-    list holds at most total_rows / max_heavy_groups rows, and is handled by plain windows.
+    Counted with map-side combine over the key columns alone, and kept as a table, so that Spark
+    knows its size and broadcasts it only if it is small.
     """
-    if cfg.slice_rows is None or df.isStreaming or estimated_bytes(df) < cfg.slice_input_bytes:
-        return []
+    if cfg.slice_rows is None or df.isStreaming:
+        return None
     sizes = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows")).filter(F.col("_rows") > cfg.slice_rows)
-    return sizes.orderBy(F.desc("_rows"), *keys).limit(cfg.max_heavy_groups).collect()
+    if sizes.isEmpty():
+        return None
+    path = scratch_dir(df.sparkSession, "heavy")
+    sizes.write.parquet(path)
+    return df.sparkSession.read.schema(sizes.schema).parquet(path)
 
 
 def _windowed(df: DataFrame, keys: list[str], cfg: FraudConfig, trailing: bool, previous: bool) -> DataFrame:
@@ -94,84 +95,67 @@ def _without_history(df: DataFrame, trailing: bool, previous: bool) -> DataFrame
     return df
 
 
-def _sliced(
-    df: DataFrame, keys: list[str], cfg: FraudConfig, slices: int, trailing: bool, previous: bool
-) -> DataFrame:
+def _slotted(df: DataFrame, keys: list[str], cfg: FraudConfig, trailing: bool, previous: bool) -> DataFrame:
     """The same columns for large accounts, with no task that holds a whole account.
 
-    Rows are range-partitioned by account, time and tie order; a slice is what one range
-    holds of one account. Record positions tell copies of a record apart, so that a range can
-    cut through them; where there are none, rows are numbered. Slice and row numbers are
-    fixed by a reliable checkpoint: a recomputed task must not number rows differently.
+    A slot goes on from the first second of a day, or of the slot before, until it has
+    ``slice_rows`` rows; the rows of one second stay together.
     """
-    shared_root(df.sparkSession)
-    numbered = df.withColumn("_epoch", epoch_seconds(F.col("event_timestamp")))
-    if set(POSITION) <= set(df.columns):
-        numbered = numbered.withColumn("_row", F.lit(0))
-    else:
-        numbered = numbered.withColumn("_row", F.monotonically_increasing_id()).checkpoint()
-    order = ["_epoch", *_tie_order(df), "_row"]
-    placed = (
-        numbered.repartitionByRange(slices, *keys, *order).withColumn("_slice", F.spark_partition_id()).checkpoint()
-    )
-    out = placed
+    rows = df.withColumn("_epoch", epoch_seconds(F.col("event_timestamp")))
+    seconds = _per_second(rows, keys, cfg, trailing)
+    named = seconds.select(*(F.col(c).alias(f"_s_{c}") if c in (*keys, "_epoch") else c for c in seconds.columns))
+    same_second = _all_equal((rows[k], named[f"_s_{k}"]) for k in (*keys, "_epoch"))
+    out = rows.join(named, same_second).drop(*(f"_s_{k}" for k in (*keys, "_epoch")))
     if previous:
-        out = _with_previous(out, placed, keys, order)
-    if trailing:
-        out = _with_count(out, placed, keys, cfg.velocity_window_s)
-    return out.drop("_epoch", "_row", "_slice")
+        out = _with_previous(out, keys, ["_epoch", *_tie_order(df)])
+    return out.drop("_epoch", "_day", "_slot")
 
 
-def _with_previous(out: DataFrame, placed: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
-    """Lag inside the slice; the first row of a slice takes the last row of the one before.
+def _per_second(rows: DataFrame, keys: list[str], cfg: FraudConfig, trailing: bool) -> DataFrame:
+    """A row for each second of a group that has rows: its slot, and its trailing count.
 
-    There is one last row per account and slice, at most slices + listed accounts, a bounded
-    number, so it is broadcast.
+    Seconds are cut into blocks of a day, for the count each with the tail of the block before,
+    so a window group has a bounded number of rows.
     """
-    place = F.struct(*(F.col(source).alias(name) for name, source in PREVIOUS.items()))
-    last_rows = placed.groupBy(*keys, "_slice").agg(F.max_by(place, F.struct(*order)).alias("_last"))
-    before = Window.partitionBy(*keys).orderBy("_slice")
-    carried = last_rows.select(
-        *(F.col(k).alias(f"_c_{k}") for k in [*keys, "_slice"]), F.lag("_last").over(before).alias("_carried")
-    )
-    in_slice = Window.partitionBy(*keys, "_slice").orderBy(*order)
-    lagged = out.withColumns(
-        {name: F.lag(source).over(in_slice) for name, source in PREVIOUS.items()}
-        | {"_opens": F.lag("_row").over(in_slice).isNull()}
-    )
-    same_slice = _all_equal((lagged[k], carried[f"_c_{k}"]) for k in [*keys, "_slice"])
-    chosen = {name: F.when(F.col("_opens"), F.col("_carried")[name]).otherwise(F.col(name)) for name in PREVIOUS}
-    return (
-        lagged.join(F.broadcast(carried), same_slice, "left")
-        .withColumns(chosen)
-        .drop("_opens", "_carried", *(f"_c_{k}" for k in [*keys, "_slice"]))
-    )
-
-
-def _with_count(out: DataFrame, placed: DataFrame, keys: list[str], window_s: int) -> DataFrame:
-    """Trailing count from counts per second.
-
-    Seconds are cut into blocks of a day, each with the tail of the block before, so a window
-    group has a bounded number of rows. The join back has the second in its key; a second
-    that is itself large is left to AQE, which splits the row side of an inner join.
-    """
-    block_s = max(SECONDS_PER_BLOCK, window_s)
+    block_s = max(SECONDS_PER_BLOCK, cfg.velocity_window_s)
 
     def block(second: Column) -> Column:
         return F.floor(second / block_s)
 
-    per_second = placed.groupBy(*keys, "_epoch").agg(F.count("transaction_id").alias("_n"))
-    blocked = per_second.withColumn(
-        "_block", F.explode(F.array_distinct(F.array(block(F.col("_epoch")), block(F.col("_epoch") + window_s))))
+    second = rows.groupBy(*keys, "_epoch").agg(F.count("transaction_id").alias("_n"), F.count(F.lit(1)).alias("_rows"))
+    before = Window.partitionBy(*keys, "_day").orderBy("_epoch").rowsBetween(Window.unboundedPreceding, -1)
+    slot = F.floor(F.coalesce(F.sum("_rows").over(before), F.lit(0)) / cfg.slice_rows)
+    slots = second.withColumn("_day", block(F.col("_epoch"))).withColumn("_slot", slot).select(*keys, "_epoch", "_day", "_slot")
+    if not trailing:
+        return slots
+    blocked = second.withColumn(
+        "_block", F.explode(F.array_distinct(F.array(block(F.col("_epoch")), block(F.col("_epoch") + cfg.velocity_window_s))))
     )
-    recent = Window.partitionBy(*keys, "_block").orderBy("_epoch").rangeBetween(-window_s, 0)
+    recent = Window.partitionBy(*keys, "_block").orderBy("_epoch").rangeBetween(-cfg.velocity_window_s, 0)
     counts = (
         blocked.withColumn(COUNT_COLUMN, F.sum("_n").over(recent))
         .filter(F.col("_block").eqNullSafe(block(F.col("_epoch"))))
         .select(*(F.col(k).alias(f"_n_{k}") for k in [*keys, "_epoch"]), COUNT_COLUMN)
     )
-    same_second = _all_equal((out[k], counts[f"_n_{k}"]) for k in [*keys, "_epoch"])
-    return out.join(counts, same_second).drop(*(f"_n_{k}" for k in [*keys, "_epoch"]))
+    same = _all_equal((slots[k], counts[f"_n_{k}"]) for k in [*keys, "_epoch"])
+    return slots.join(counts, same).drop(*(f"_n_{k}" for k in [*keys, "_epoch"]))
+
+
+def _with_previous(out: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
+    """Lag inside the slot; the first row of a slot takes the last row of the slot before."""
+    slot = [*keys, "_day", "_slot"]
+    place = F.struct(*(F.col(source).alias(name) for name, source in PREVIOUS.items()))
+    last_rows = out.groupBy(*slot).agg(F.max_by(place, F.struct(*order)).alias("_last"))
+    before = Window.partitionBy(*keys).orderBy("_day", "_slot")
+    carried = last_rows.select(*(F.col(k).alias(f"_c_{k}") for k in slot), F.lag("_last").over(before).alias("_carried"))
+    in_slot = Window.partitionBy(*slot).orderBy(*order)
+    lagged = out.withColumns(
+        {name: F.lag(source).over(in_slot) for name, source in PREVIOUS.items()}
+        | {"_opens": F.row_number().over(in_slot) == 1}
+    )
+    same_slot = _all_equal((lagged[k], carried[f"_c_{k}"]) for k in slot)
+    chosen = {name: F.when(F.col("_opens"), F.col("_carried")[name]).otherwise(F.col(name)) for name in PREVIOUS}
+    return lagged.join(carried, same_slot).withColumns(chosen).drop("_opens", "_carried", *(f"_c_{k}" for k in slot))
 
 
 def _tie_order(df: DataFrame) -> list[str]:

@@ -12,21 +12,13 @@ from pyspark.sql import DataFrame, SparkSession
 TARGET_PARTITION_BYTES = 128 * 1024 * 1024
 # what a byte of compressed columns becomes as shuffled rows, roughly
 ROW_EXPANSION = 4
-# beyond this the driver's bookkeeping per shuffle block costs more than spilling does
-MAX_SHUFFLE_PARTITIONS = 50_000
-MAX_SCAN_TASKS = 200_000
 SHUFFLE_PARTITIONS = "spark.sql.shuffle.partitions"
 UNKNOWN_BYTES = 2**60
 
 
 def shuffle_partitions_for(input_bytes: int, cores: int = 1) -> int:
-    """Enough shuffle partitions for ~128 MB each, one per core at least, a bounded number."""
-    return min(MAX_SHUFFLE_PARTITIONS, max(cores, -(-input_bytes // TARGET_PARTITION_BYTES)))
-
-
-def scan_split_bytes_for(input_bytes: int) -> int:
-    """Bytes per scan task: 128 MB, more when that would make too many tasks."""
-    return max(TARGET_PARTITION_BYTES, -(-input_bytes // MAX_SCAN_TASKS))
+    """Enough shuffle partitions for ~128 MB each, one per core at least."""
+    return max(cores, -(-input_bytes // TARGET_PARTITION_BYTES))
 
 
 def estimated_bytes(df: DataFrame) -> int:
@@ -68,13 +60,15 @@ def build_session(
         .config("spark.sql.adaptive.advisoryPartitionSizeInBytes", str(TARGET_PARTITION_BYTES))
         .config("spark.sql.parquet.compression.codec", "snappy")
         .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
+        # call sites for error messages cost small queries more than they take to run
+        .config("spark.python.sql.dataFrameDebugging.enabled", "false")
     )
     if master:
         builder = builder.master(master)
     if input_bytes is not None:
         builder = builder.config(
             SHUFFLE_PARTITIONS, str(shuffle_partitions_for(input_bytes * ROW_EXPANSION))
-        ).config("spark.sql.files.maxPartitionBytes", str(scan_split_bytes_for(input_bytes)))
+        ).config("spark.sql.files.maxPartitionBytes", str(TARGET_PARTITION_BYTES))
     for key, value in (conf or {}).items():
         builder = builder.config(key, value)
     return builder.getOrCreate()
@@ -104,3 +98,8 @@ def scratch_dir(spark: SparkSession, label: str) -> str:
 def path_exists(spark: SparkSession, path: str) -> bool:
     target = spark._jvm.org.apache.hadoop.fs.Path(path)
     return target.getFileSystem(spark._jsc.hadoopConfiguration()).exists(target)
+
+
+def delete_path(spark: SparkSession, path: str) -> None:
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)

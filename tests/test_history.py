@@ -36,7 +36,7 @@ def _order(row):
 
 
 def history(spark, rows, **options):
-    df = account_history(frame(spark, rows), FraudConfig(slice_input_bytes=0, **options))
+    df = account_history(frame(spark, rows), FraudConfig(**options))
     got = [(r["transaction_id"], r["account_id"], *(r[c] for c in COLUMNS)) for r in df.collect()]
     return sorted(got, key=str)
 
@@ -69,7 +69,7 @@ def test_all_rows_in_one_second(spark):
 
 def test_copies_of_one_record_are_cut_too(spark):
     rows = [txn(1, 7, account="HOT")] * 50 + [txn(2, 9, account="HOT", at=(1.0, 2.0))]
-    df = account_history(frame(spark, rows), FraudConfig(slice_rows=8, slice_input_bytes=0))
+    df = account_history(frame(spark, rows), FraudConfig(slice_rows=8))
     got = df.collect()
     assert len(got) == 51
     copies = [r for r in got if r["transaction_id"] == "t0001"]
@@ -89,44 +89,49 @@ def test_slices_with_record_positions(spark):
     )
     columns = ["kafka_offset", *COLUMNS]
     plain = account_history(df, FraudConfig(slice_rows=None)).select(columns).collect()
-    sliced = account_history(df, FraudConfig(slice_rows=7, slice_input_bytes=0)).select(columns).collect()
+    sliced = account_history(df, FraudConfig(slice_rows=7)).select(columns).collect()
     assert sorted(plain, key=str) == sorted(sliced, key=str)
     assert [r["prev_lat"] for r in sorted(sliced, key=lambda r: r["kafka_offset"])] == [None, *map(float, range(119))]
 
 
-def test_slices_stay_small_and_respect_order(spark):
-    """No slice holds much more than its share, even though one account has all rows."""
+def test_slots_hold_a_bounded_number_of_rows(spark):
+    """An account with all rows is cut into slots of about slice_rows, by seconds alone."""
     from pyspark.sql import functions as F
 
-    rows = [txn(i, i // 4, account="HOT") for i in range(2000)]
-    df = frame(spark, rows).repartition(4)
-    placed = df.repartitionByRange(20, "account_id", "event_timestamp", "transaction_id")
-    sizes = [r["count"] for r in placed.groupBy(F.spark_partition_id()).count().collect()]
-    assert max(sizes) < 2000 / 20 * 3
+    from fraudlake.functions import epoch_seconds
+    from fraudlake.operators.history import _per_second
 
+    rows = frame(spark, [txn(i, i // 4, account="HOT") for i in range(2000)]).withColumn("_epoch", epoch_seconds(F.col("event_timestamp")))
+    cfg = FraudConfig(slice_rows=100)
+    placed = rows.join(_per_second(rows, ["account_id"], cfg, trailing=False), ["account_id", "_epoch"])
+    sizes = [r["count"] for r in placed.groupBy("_day", "_slot").count().collect()]
+    assert len(sizes) == 20 and max(sizes) <= 103
 
-def test_only_the_largest_groups_are_listed(spark):
+
+def test_heavy_groups_come_from_row_counts(spark):
     rows = [txn(i, i, account=a) for i, a in enumerate("AAAAAABBBBCC")]
     df = frame(spark, rows)
-    listed = heavy_groups(df, ["account_id"], FraudConfig(slice_rows=3, slice_input_bytes=0))
-    assert [(r["account_id"], r["_rows"]) for r in listed] == [("A", 6), ("B", 4)]
-    listed = heavy_groups(df, ["account_id"], FraudConfig(slice_rows=3, max_heavy_groups=1, slice_input_bytes=0))
-    assert [r["account_id"] for r in listed] == ["A"]
-    assert heavy_groups(df, ["account_id"], FraudConfig(slice_rows=None, slice_input_bytes=0)) == []
+    listed = heavy_groups(df, ["account_id"], FraudConfig(slice_rows=3)).collect()
+    assert sorted((r["account_id"], r["_rows"]) for r in listed) == [("A", 6), ("B", 4)]
+    assert heavy_groups(df, ["account_id"], FraudConfig(slice_rows=None)) is None
+    assert heavy_groups(df, ["account_id"], FraudConfig(slice_rows=6)) is None
+
 
+def test_default_settings_cut_a_large_account_in_few_bytes(spark):
+    """Size on disk does not matter: rows of one account above slice_rows are cut."""
+    many = spark.range(600_000).selectExpr("'ONE' AS account_id", "id")
+    assert heavy_groups(many, ["account_id"], FraudConfig()).first()["_rows"] == 600_000
 
-def test_size_estimate_follows_the_files(spark):
-    from fraudlake.session import estimated_bytes
 
-    rows = spark.read.parquet("/root/testdata/sf0.1/events.parquet")
-    assert heavy_groups(rows, ["user_id"], FraudConfig(slice_rows=3)) == []
-    assert heavy_groups(rows, ["user_id"], FraudConfig(slice_rows=3, slice_input_bytes=1_000_000)) != []
-    assert 1_000_000 < estimated_bytes(rows.selectExpr("CAST(user_id AS STRING)", "*")) < 10_000_000
+def test_many_heavy_accounts(spark):
+    rows = [txn(i, i % 50, account=f"A{i % 300}", at=(float(i), 0.0)) for i in range(900)]
+    assert history(spark, rows, slice_rows=2) == brute(rows)
 
 
-def test_groups_left_off_the_list_are_still_right(spark):
-    rows = skewed_rows(200, seed=9)
-    assert history(spark, rows, slice_rows=5, max_heavy_groups=1, max_slices=3) == brute(rows)
+def test_no_checkpoint_in_the_plan_of_slots(spark):
+    df = account_history(frame(spark, skewed_rows(100)), FraudConfig(slice_rows=7))
+    plan = df._jdf.queryExecution().analyzed().toString()
+    assert "RDD[" not in plan.replace("ExistingRDD[", "") or "Checkpoint" not in plan
 
 
 def test_rows_without_time(spark):
