@@ -27,13 +27,17 @@ def run_day(
 ) -> bool:
     """Score ``dt`` and replace that day in the three curated tables; False if it is empty.
 
-    The scored rows are written once, as curated transactions. Alerts and summary are built
+    A day that has become empty is emptied there as well. The scored rows are written once, as curated transactions. Alerts and summary are built
     from the written day: it holds all they need, survives the loss of an executor, and
     costs a pruned scan instead of a cache of the whole day.
     """
     raw = lake.read(lake.raw)
     if curate.raw_day(raw, dt).isEmpty():
         log.warning("no data for %s", dt)
+        for table in (lake.transactions, lake.alerts, lake.summary):
+            held = lake.read(table).filter(F.col("dt") == dt)
+            if not held.isEmpty():
+                lake.overwrite_day(table, lake.spark.createDataFrame([], held.schema), dt)
         return False
 
     with shuffle_sized_for(curate.raw_day(raw, dt)):

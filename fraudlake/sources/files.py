@@ -11,14 +11,26 @@ from fraudlake.functions.times import EVENT_TIME_FORMAT
 from fraudlake.schemas import WIRE_EVENT
 
 
-def read_csv(spark: SparkSession, path: str, schema: T.StructType | None = WIRE_EVENT) -> DataFrame:
-    """CSV with a header row. ``schema=None`` infers types, at the price of one more pass."""
-    reader = spark.read.option("header", True)
-    return (reader.schema(schema) if schema else reader.option("inferSchema", True)).csv(path)
+def read_csv(
+    spark: SparkSession, path: str, schema: T.StructType | None = WIRE_EVENT, *, more: bool = False, multi_line: bool = False
+) -> DataFrame:
+    """CSV with a header row, by the header's names in any order.
+
+    Columns of the schema that a file lacks, and values that do not fit their type, are NULL.
+    ``more`` keeps the file's other columns, as text; ``schema=None`` takes all columns as text.
+    Quotes within quotes are doubled; ``multi_line`` allows line ends within quotes.
+    """
+    reader = spark.read.options(header=True, quote='"', escape='"', multiLine=multi_line)
+    found = reader.csv(path)
+    if schema is None:
+        return found
+    named = [F.col(f"`{f.name}`").try_cast(f.dataType).alias(f.name) if f.name in found.columns else F.lit(None).cast(f.dataType).alias(f.name) for f in schema]
+    rest = [F.col(f"`{c}`") for c in found.columns if c not in schema.names]
+    return found.select(*named, *(rest if more else []))
 
 
 def write_csv(events: DataFrame, path: str) -> None:
-    events.write.mode("overwrite").option("header", True).csv(path)
+    events.write.mode("overwrite").options(header=True, quote='"', escape='"').csv(path)
 
 
 def read_json(spark: SparkSession, path: str, *, array: bool = False) -> DataFrame:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
@@ -21,11 +22,16 @@ class RecordSource:
     format: str
     options: dict[str, str] = field(default_factory=dict)
     path: str | None = None
+    partitions: int | None = None
 
     @classmethod
-    def kafka(cls, servers: str, topic: str, **options: str) -> RecordSource:
-        """A topic. Security settings go in ``options`` (``kafka.security.protocol`` ...)."""
-        return cls("kafka", {"kafka.bootstrap.servers": servers, "topic": topic, **options})
+    def kafka(cls, servers: str, topic: str, partitions: int | None = None, **options: str) -> RecordSource:
+        """A topic. Security settings go in ``options`` (``kafka.security.protocol`` ...).
+
+        An explicit start must name every partition of the topic, so a source that goes on from
+        saved offsets needs ``partitions`` unless all of them have brought a record.
+        """
+        return cls("kafka", {"kafka.bootstrap.servers": servers, "topic": topic, **options}, partitions=partitions)
 
     @classmethod
     def files(cls, path: str) -> RecordSource:
@@ -43,20 +49,32 @@ class RecordSource:
         options = self._subscription() | {"startingOffsets": starting_offsets, "endingOffsets": "latest"}
         return spark.read.format("kafka").options(**options).load()
 
-    def from_offsets(self, spark: SparkSession, offsets: DataFrame | None) -> DataFrame:
-        """Everything from saved offsets on; a partition without an entry from its start.
+    def beyond(self, spark: SparkSession, progress: DataFrame | None) -> DataFrame:
+        """What is there beyond saved progress: the records, of files with their ``_file``.
 
-        Kafka takes the offsets itself. In files, records before them are dropped by a join
-        with the offsets, one row per partition.
+        A topic is read from the saved offsets on, and a partition without an entry from its
+        start. Of files those are read whose names are not saved, whatever positions they hold.
         """
         if self.format == "kafka":
-            return self.batch(spark, starting_offsets(offsets, self.options["topic"]))
-        if offsets is None:
-            return self.batch(spark)
-        done = F.broadcast(offsets.withColumnRenamed("partition", "_partition"))
-        records = self.batch(spark)
-        seen = (records["partition"] == done["_partition"]) & (records["offset"] < done["next_offset"])
-        return records.join(done, seen, "left_anti")
+            offsets = None if progress is None else progress.select("partition", "next_offset")
+            return self.batch(spark, starting_offsets(offsets, self.options["topic"], self.partitions))
+        records = self.batch(spark).withColumn("_file", F.col("_metadata.file_path"))
+        return records if progress is None else records.join(progress.select(F.col("file").alias("_file")), "_file", "left_anti")
+
+    def reached(self, records: DataFrame) -> DataFrame:
+        """The progress after these records (from ``beyond``): next offsets, or names of files."""
+        if self.format == "kafka":
+            return next_offsets(records).withColumn("file", F.lit(None).cast("string"))
+        files = records.select(F.col("_file").alias("file")).distinct()
+        return files.select(F.lit(None).cast("int").alias("partition"), F.lit(None).cast("long").alias("next_offset"), "file")
+
+    def up_to(self, records: DataFrame, reached: DataFrame) -> DataFrame:
+        """Those of the records that ``reached`` covers, also when more have come meanwhile."""
+        if self.format != "kafka":
+            return records.join(reached.select(F.col("file").alias("_file")), "_file", "left_semi")
+        ends = reached.select(F.col("partition").alias("_partition"), "next_offset")
+        inside = (F.col("partition") == F.col("_partition")) & (F.col("offset") < F.col("next_offset"))
+        return records.join(ends, inside, "left_semi")
 
     def stream(self, spark: SparkSession, max_per_trigger: int | None = None) -> DataFrame:
         """Records as they come; ``max_per_trigger`` limits a micro-batch, in offsets of a
@@ -81,7 +99,7 @@ class RecordSource:
 
     def _subscription(self) -> dict[str, str]:
         options = {k: v for k, v in self.options.items() if k != "topic"}
-        return options | {"subscribe": self.options["topic"], "failOnDataLoss": "false"}
+        return options | {"subscribe": self.options["topic"]}
 
 
 def to_payload(events: DataFrame) -> DataFrame:
@@ -117,27 +135,30 @@ def next_offsets(records: DataFrame, previous: DataFrame | None = None) -> DataF
     return both.groupBy("partition").agg(F.max("next_offset").alias("next_offset"))
 
 
-def saved_offsets(spark: SparkSession, path: str) -> DataFrame | None:
-    """The latest offsets among those saved at ``path``, None before the first run."""
+def saved_progress(spark: SparkSession, path: str) -> DataFrame | None:
+    """Progress saved at ``path`` by all runs (``run``, and what ``reached`` gives); None before the first."""
     if not path_exists(spark, path):
         return None
-    saved = spark.read.schema("partition INT, next_offset BIGINT").parquet(path)
-    return saved.groupBy("partition").agg(F.max("next_offset").alias("next_offset"))
+    return spark.read.schema("run INT, partition INT, next_offset BIGINT, file STRING").parquet(path)
+
 
+def latest(progress: DataFrame) -> DataFrame:
+    """Saved progress of all runs as one: the furthest offset of each partition, every file."""
+    return progress.groupBy("partition", "file").agg(F.max("next_offset").alias("next_offset"))
 
-def starting_offsets(offsets: DataFrame | None, topic: str) -> str:
+
+def starting_offsets(offsets: DataFrame | None, topic: str, partitions: int | None = None) -> str:
     """Saved offsets as the JSON a Kafka reader takes; 'earliest' if there are none.
 
-    One entry per partition of the topic, so the text is small.
+    One entry per partition of the topic, so the text is small. Of ``partitions`` those without
+    an entry get -2, which is their start.
     """
     if offsets is None:
         return "earliest"
-    entries = F.collect_list(F.struct(F.col("partition").cast("string"), F.col("next_offset")))
-    by_partition = F.map_from_entries(F.array_sort(entries))
-    row = offsets.agg(
-        F.count(F.lit(1)).alias("n"), F.to_json(F.create_map(F.lit(topic), by_partition)).alias("json")
-    ).first()
-    return row["json"] if row["n"] else "earliest"
+    saved = {r["partition"]: r["next_offset"] for r in offsets.collect()}
+    if not saved:
+        return "earliest"
+    return json.dumps({topic: {str(p): saved.get(p, -2) for p in sorted({*saved, *range(partitions or 0)})}})
 
 
 def replay(

@@ -2,15 +2,17 @@
 
 from __future__ import annotations
 
-import hashlib
+import uuid
+from datetime import datetime, timezone
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from fraudlake.functions import day_of, parse_event_time
 from fraudlake.schemas import QUARANTINE, RAW_TRANSACTIONS, WIRE_EVENT
-from fraudlake.sources.lake import INGEST_BATCH, Lake
-from fraudlake.sources.records import RecordSource, next_offsets, saved_offsets, starting_offsets
+from fraudlake.session import path_exists
+from fraudlake.sources.lake import Lake
+from fraudlake.sources.records import RecordSource, latest, saved_progress
 
 
 def decode(records: DataFrame, ingested_at: Column | None = None) -> DataFrame:
@@ -97,11 +99,8 @@ def ingest(
     def write(batch: DataFrame, batch_id: int) -> None:
         nonlocal read
         stream_id = batch.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId")
-        decoded = decode(batch, ingested_at).persist()
-        try:
-            read += _store(lake, decoded, f"{stream_id}-{batch_id:08d}", nan_to_null, allow_fraction)
-        finally:
-            decoded.unpersist()
+        _store(lake, decode(batch, _now() if ingested_at is None else ingested_at), f"{stream_id}-{batch_id:08d}", nan_to_null, allow_fraction)
+        read += batch.count()
 
     query = (
         source.stream(lake.spark, max_per_trigger or source.usual_batch)
@@ -130,32 +129,46 @@ def ingest_batch(
 ) -> int:
     """The same as one batch read, for schedulers that run without a stream.
 
-    Offsets are kept as files and saved after the rows are written. A run that broke in
-    between is repeated from the same offsets and overwrites what it had written, since the
-    batch is named after the offsets it starts from.
+    Progress is kept as files and saved after the rows are written: next offsets of a topic, or
+    the names of the files taken. A run that broke in between is repeated and overwrites what it
+    had written: a batch is named after this progress folder and the number of the run. Records
+    are read for either table, up to an end that is fixed before.
     """
-    saved = saved_offsets(lake.spark, offsets_path)
-    label = hashlib.sha256(starting_offsets(saved, "").encode()).hexdigest()[:16]
-    decoded = decode(source.from_offsets(lake.spark, saved), ingested_at).persist()
-    try:
-        read = 0 if decoded.isEmpty() else _store(lake, decoded, label, nan_to_null, allow_fraction)
-        if read:
-            reached = decoded.withColumnsRenamed({"kafka_partition": "partition", "kafka_offset": "offset"})
-            next_offsets(reached, saved).coalesce(1).write.mode("append").parquet(offsets_path)
-        return read
-    finally:
-        decoded.unpersist()
+    spark = lake.spark
+    saved = saved_progress(spark, offsets_path)
+    run = 0 if saved is None else saved.agg(F.max("run")).first()[0] + 1
+    records = source.beyond(spark, None if saved is None else latest(saved))
+    pending = f"{offsets_path}-pending"
+    source.reached(records).withColumn("run", F.lit(run)).coalesce(1).write.mode("overwrite").parquet(pending)
+    reached = spark.read.schema("run INT, partition INT, next_offset BIGINT, file STRING").parquet(pending)
+    if reached.isEmpty():
+        return 0
+    covered = source.up_to(records, reached)
+    label = f"{_stream_id(lake, offsets_path)}-{run:08d}"
+    _store(lake, decode(covered, _now() if ingested_at is None else ingested_at), label, nan_to_null, allow_fraction)
+    read = covered.count()
+    reached.coalesce(1).write.mode("append").parquet(offsets_path)
+    return read
+
+
+def _stream_id(lake: Lake, offsets_path: str) -> str:
+    """What tells the batches of this progress folder from all others; made up once and kept."""
+    path = f"{offsets_path}-id"
+    if not path_exists(lake.spark, path):
+        lake.spark.createDataFrame([(uuid.uuid4().hex,)], "id STRING").coalesce(1).write.parquet(path)
+    return lake.spark.read.schema("id STRING").parquet(path).first()["id"]
+
+
+def _now() -> Column:
+    """One time for all rows of a batch."""
+    return F.lit(datetime.now(timezone.utc))
 
 
-def _store(lake: Lake, decoded: DataFrame, label: str, nan_to_null: bool, allow_fraction: bool) -> int:
-    """Split persisted records into the raw and the quarantine table; their number.
+def _store(lake: Lake, decoded: DataFrame, label: str, nan_to_null: bool, allow_fraction: bool) -> None:
+    """Split records into the raw and the quarantine table.
 
-    Only partitions with this label are overwritten, so a repeated batch leaves each row once.
+    All that the tables hold under this label is replaced, so a repeated batch leaves each row once.
     """
-    count = decoded.count()
-    batch = F.lit(label)
     good = accepted(decoded, nan_to_null=nan_to_null, allow_fraction=allow_fraction)
-    lake.overwrite_batch(lake.raw, good.withColumn(INGEST_BATCH.name, batch).hint("rebalance", "dt"))
-    bad = rejected(decoded)
-    lake.overwrite_batch(lake.quarantine, bad.withColumn(INGEST_BATCH.name, batch).hint("rebalance"))
-    return count
+    lake.overwrite_batch(lake.raw, good.hint("rebalance", "dt"), label)
+    lake.overwrite_batch(lake.quarantine, rejected(decoded).hint("rebalance"), label)

@@ -3,7 +3,7 @@ from pyspark.sql import functions as F
 
 from fraudlake import FraudConfig
 from fraudlake.operators import curate
-from fraudlake.plans import bridge
+from fraudlake.plans import bridge, reports
 from fraudlake.plans.day import run_day, score_day
 from fraudlake.plans.queries import loaded_lake
 from fraudlake.sources.lake import Lake, append_by_name, read_evolving
@@ -27,10 +27,9 @@ def load(lake, rows, label="test"):
             "kafka_offset": F.monotonically_increasing_id(),
             "kafka_partition": F.lit(0),
             "ingested_at": F.current_timestamp(),
-            "ingest_batch": F.lit(label),
         }
     )
-    lake.overwrite_batch(lake.raw, df)
+    lake.overwrite_batch(lake.raw, df, label)
 
 
 def counts(lake):
@@ -80,6 +79,68 @@ def test_empty_day_is_left_alone(lake):
     assert counts(lake) == (1, 0, 1)
 
 
+def test_day_that_became_empty_is_emptied(lake):
+    load(lake, [txn(i, i) for i in range(3)])
+    run_day(lake, "2024-01-01")
+    lake.truncate(lake.raw)
+    assert run_day(lake, "2024-01-01") is False
+    assert counts(lake) == (0, 0, 0)
+
+
+def test_closed_batches_of_a_day_are_folded(lake):
+    for n in range(30):
+        load(lake, [txn(n, n), txn(100 + n, 86_400 + n)], f"stream-{n:08d}")
+    load(lake, [txn(500, 7)], "other-00000000")  # the last of its stream
+    assert lake.fold_day("2024-01-01") == 29
+    days = [d for _, d in lake._raw_partitions()]
+    assert (days.count("2024-01-01"), days.count("2024-01-02")) == (3, 30)
+    assert lake.read(lake.raw).count() == 61
+    assert lake.fold_day("2024-01-01") == 1
+    load(lake, [txn(29, 29), txn(129, 86_429)], "stream-00000029")  # the last batch once more
+    load(lake, [txn(30, 30)], "stream-00000030")
+    assert lake.fold_day("2024-01-01") == 2
+    assert sorted(r[0] for r in lake.read(lake.raw).filter("dt = '2024-01-01'").select("transaction_id").collect()) == sorted(
+        [f"t{n:04d}" for n in range(31)] + ["t0500"]
+    )
+
+
+def test_a_broken_fold_is_taken_up(lake, monkeypatch):
+    for n in range(4):
+        load(lake, [txn(n, n)], f"stream-{n:08d}")
+    finish = Lake._finish_folds
+    calls = []
+
+    def broken(self):
+        calls.append(1)
+        if len(calls) == 2:
+            raise RuntimeError("lost")
+        finish(self)
+
+    monkeypatch.setattr(Lake, "_finish_folds", broken)
+    with pytest.raises(RuntimeError, match="lost"):
+        lake.fold_day("2024-01-01")
+    monkeypatch.setattr(Lake, "_finish_folds", finish)
+    lake.fold_day("2024-01-01")
+    assert sorted(r[0] for r in lake.read(lake.raw).select("transaction_id").collect()) == [f"t{n:04d}" for n in range(4)]
+
+
+def test_writers_follow_new_columns(lake):
+    load(lake, [txn(0, 0)])
+    for table in (lake.raw, lake.transactions, lake.alerts, lake.summary):
+        lake.add_columns(table, "device STRING")
+    load(lake, [txn(1, 86_400)], "later")
+    assert run_day(lake, "2024-01-01") and run_day(lake, "2024-01-02")
+    assert counts(lake)[0] == 2
+    assert {r["device"] for r in lake.read(lake.transactions).collect()} == {None}
+    more = lake.read(lake.transactions).filter("dt = '2024-01-02'").withColumns({"device": F.lit("d"), "os": F.lit(1)})
+    lake.evolve(lake.transactions, more)
+    rows = more.collect()
+    lake.overwrite_day(lake.transactions, lake.spark.createDataFrame(rows, more.schema), "2024-01-02")
+    assert {(r["dt"], r["device"], r["os"]) for r in lake.read(lake.transactions).collect()} == {
+        ("2024-01-01", None, None), ("2024-01-02", "d", 1),
+    }
+
+
 def test_stored_score_equals_scored(spark, lake):
     load(lake, [txn(0, 0), txn(1, 60, at=MUMBAI), txn(2, 61, amount=6e5, at=MUMBAI)])
     run_day(lake, "2024-01-01")
@@ -159,7 +220,7 @@ def test_files_of_another_catalog_are_found_again(spark, lake):
     load(lake, [txn(0, 0), txn(1, 86_400)])
     rows = lake.read(lake.raw).count()
     copy = f"{lake.location}-copy"
-    lake.read(lake.raw).write.partitionBy("dt", "ingest_batch").parquet(f"{copy}/{lake.raw_db}2/transactions")
+    lake.read(lake.raw).write.partitionBy("ingest_batch", "dt").parquet(f"{copy}/{lake.raw_db}2/transactions")
     again = Lake(spark, copy, f"{lake.raw_db}2", f"{lake.curated_db}2")
     again.create()
     assert again.read(again.raw).count() == rows == 2
@@ -188,4 +249,7 @@ def test_day_scan_reads_one_partition(spark):
     plan = curate.raw_day(lake.read(lake.raw), "2024-01-02")._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters: [isnotnull(dt" in plan
     assert "IsNotNull(transaction_id), IsNotNull(event_timestamp)" in plan
+    for report in (reports.channel_rate(lake.read(lake.summary), "2024-01-02"), reports.kpi_day(lake.read(lake.transactions), "2024-01-02")):
+        plan = report._jdf.queryExecution().executedPlan().toString()
+        assert "PartitionFilters: [isnotnull(dt" in plan
     lake.drop()
