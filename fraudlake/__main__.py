@@ -4,9 +4,11 @@ from __future__ import annotations
 
 import argparse
 import logging
+import re
 import sys
 from collections.abc import Sequence
 from datetime import date
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -48,14 +50,15 @@ def _generate(spark: SparkSession, args) -> int:
 
 
 def _produce(spark: SparkSession, args) -> int:
-    events = files.read_csv(spark, args.input) if args.input else wire_events(generate(spark, args.rows, args.seed))
+    """Events of a CSV with all their columns, or generated ones."""
+    events = files.read_csv(spark, args.input, more=True) if args.input else wire_events(generate(spark, args.rows, args.seed))
     payload = records.to_payload(events)
     target = _records(args)
     if not args.rate:
         target.write(_with_position(payload, target))
         return 0
     root = scratch_dir(spark, "produce")
-    staged = records.stage(_with_position(payload, target).coalesce(1), f"{root}/staged", args.rate)
+    staged = records.stage(_with_position(payload, target), f"{root}/staged", args.rate)
     records.replay(spark, staged, target, f"{root}/checkpoint", max_per_trigger=1, every_seconds=1)
     return 0
 
@@ -90,17 +93,40 @@ def _day(spark: SparkSession, args) -> int:
 
 def _report(spark: SparkSession, args) -> int:
     lake = _lake(spark, args)
+    if args.file:
+        for number, statement in enumerate(statements(Path(args.file).read_text()), 1):
+            _put_out(spark.sql(statement), f"statement_{number}", args.output)
+        return 0
     tables = (lake.read(t) for t in (lake.transactions, lake.alerts, lake.summary))
     for name, report in run_reports(*tables, as_of=args.as_of).items():
         if args.name in (None, name):
-            print(name)
-            report.show(1000, truncate=False)
+            _put_out(report, name, args.output)
+    return 0
+
+
+def statements(sql: str) -> list[str]:
+    """The statements of a text; each but the last ends in a semicolon at the end of a line."""
+    return [s for s in (part.strip() for part in re.split(r";[ \t]*(?:--[^\n]*)?(?:\n|$)", sql)) if re.sub(r"--[^\n]*", "", s).strip()]
+
+
+def _put_out(report: DataFrame, name: str, output: str | None) -> None:
+    """All rows, to a folder of CSV below ``output`` or on the console."""
+    if output:
+        flat = [F.to_json(c).alias(c) if kind.startswith(("array", "map", "struct")) else F.col(c) for c, kind in report.dtypes]
+        files.write_csv(report.select(*flat).coalesce(1), f"{output}/{name}")
+    else:
+        print(name)
+        report.show(max(1, report.count()), truncate=False)
+
+
+def _fold(spark: SparkSession, args) -> int:
+    log.info("%d partitions folded", _lake(spark, args).fold_day(args.dt))
     return 0
 
 
 def _check(spark: SparkSession, args) -> int:
     checks = Lake(spark, args.lake, args.raw_db, args.curated_db).readiness()
-    checks.show(100, truncate=False)
+    checks.show(checks.count(), truncate=False)
     return 0 if checks.filter(~F.col("passed")).isEmpty() else 1
 
 
@@ -131,7 +157,7 @@ def _records(args) -> RecordSource:
         return RecordSource.files(args.records)
     if not (args.servers and args.topic):
         raise SystemExit("give --records, or --servers and --topic")
-    return RecordSource.kafka(args.servers, args.topic, **dict(o.split("=", 1) for o in args.option))
+    return RecordSource.kafka(args.servers, args.topic, args.partitions, **dict(o.split("=", 1) for o in args.option))
 
 
 def _parser() -> argparse.ArgumentParser:
@@ -154,6 +180,7 @@ def _parser() -> argparse.ArgumentParser:
         sub.add_argument("--records", help="folder with files of records")
         sub.add_argument("--servers", help="Kafka bootstrap servers")
         sub.add_argument("--topic")
+        sub.add_argument("--partitions", type=int, help="partitions of the topic")
         sub.add_argument("--option", action="append", default=[], metavar="KEY=VALUE", help="further Kafka option")
 
     job("bootstrap", _bootstrap, "create databases and tables", lake)
@@ -193,6 +220,11 @@ def _parser() -> argparse.ArgumentParser:
     sub = job("report", _report, "print the reports", lake)
     sub.add_argument("--as-of", help="yyyy-MM-dd, default today")
     sub.add_argument("--name", help="one report only")
+    sub.add_argument("--file", help="SQL statements of your own instead of the reports")
+    sub.add_argument("--output", help="folder to write to as CSV, instead of the console")
+
+    sub = job("fold", _fold, "put the closed ingest batches of a day into one partition", lake)
+    sub.add_argument("--dt", required=True)
 
     job("check", _check, "check databases and tables", lake)
     return parser

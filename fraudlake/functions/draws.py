@@ -6,7 +6,6 @@ same on any cluster and after any retry.
 
 from __future__ import annotations
 
-import hashlib
 import math
 from collections.abc import Sequence
 
@@ -14,15 +13,11 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
-def salt(seed: int, name: str) -> int:
-    """64 bits that stand for a seed and the name of a draw."""
-    return int.from_bytes(hashlib.sha256(f"{seed}:{name}".encode()).digest()[:8], "big", signed=True)
-
-
 def uniform(row_id: Column, seed: int, name: str) -> Column:
-    """Uniform in (0, 1), from the top 53 bits of a hash."""
-    bits = F.shiftrightunsigned(F.xxhash64(row_id, F.lit(salt(seed, name)).cast("long")), 11)
-    return (bits + F.lit(0.5)) * F.lit(2.0**-53)
+    """Uniform in (0, 1), from the first 52 bits of an MD5 digest, which any engine can compute."""
+    digest = F.md5(F.concat_ws(":", row_id.cast("string"), F.lit(str(seed)), F.lit(name)))
+    bits = F.conv(F.substring(digest, 1, 13), 16, 10).cast("long")
+    return (bits + F.lit(0.5)) * F.lit(2.0**-52)
 
 
 def between(row_id: Column, seed: int, name: str, low: float, high: float) -> Column:

@@ -23,15 +23,15 @@ def events(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Raw transactions without record position and audit time."""
-    # props is a flat object with one number, {"k": n}; cheaper to match than to parse
-    city = "TRY_CAST(REGEXP_EXTRACT(props, '\"k\"\\\\s*:\\\\s*(\\\\d+)', 1) AS INT)"
+    # an event whose props name no city keeps its row, without a place
+    city = "TRY_CAST(GET_JSON_OBJECT(props, '$.k') AS INT)"
     seconds = f"{BASE_SECOND} + (UNIX_MICROS(CAST(ts AS TIMESTAMP)) - {BASE_SECOND}000000) DIV 10000000"
     placed = events(spark, sf_dir).selectExpr(
         "*",
         f"{city} % {len(CITIES)} AS _city",
         f"CAST(TIMESTAMP_SECONDS({seconds}) AS TIMESTAMP_NTZ) AS event_timestamp",
     )
-    return placed.filter("_city IS NOT NULL").selectExpr(
+    return placed.selectExpr(
         "CAST(event_id AS STRING) AS transaction_id",
         "CONCAT('ACC', CAST(10000 + user_id AS STRING)) AS account_id",
         "event_timestamp",

@@ -2,8 +2,7 @@
 
 from __future__ import annotations
 
-from fraudlake.functions.draws import salt
-from fraudlake.plans.queries import AS_OF, RUN_AT_TEXT, SEED
+from fraudlake.plans.queries import AS_OF, REPORT_DAY, RUN_AT_TEXT, SEED
 from fraudlake.schemas import CURATED_TRANSACTIONS, FRAUD_ALERTS, FRAUD_SUMMARY, QUARANTINE, RAW_TRANSACTIONS, Table
 from fraudlake.sources.lake import INGEST_BATCH
 from fraudlake.sources.reference import CHANNELS, CITIES, MERCHANT_CATEGORIES
@@ -18,7 +17,7 @@ cities AS (SELECT * FROM (VALUES {_CITY_VALUES}) AS c(city_id, city, lat, lon)),
 placed AS (
   SELECT e.*, make_timestamp(1704067200000000 + ((epoch_us(e.ts) - 1704067200000000) // 10000000) * 1000000) AS moment,
          CAST(c.lat AS DOUBLE) AS lat, CAST(c.lon AS DOUBLE) AS lon
-  FROM events e JOIN cities c ON c.city_id = CAST(json_extract_string(e.props, '$.k') AS INT) % 8
+  FROM events e LEFT JOIN cities c ON c.city_id = TRY_CAST(json_extract_string(e.props, '$.k') AS INT) % 8
 ),
 txn AS (
   SELECT CAST(event_id AS VARCHAR) AS transaction_id,
@@ -108,9 +107,9 @@ SUMMARY = """
 summary AS (
   SELECT CAST(hour(event_timestamp) AS INTEGER) AS hour, channel,
          COUNT(transaction_id) AS total_txn,
-         CAST(SUM(CAST(is_fraud AS BIGINT)) AS BIGINT) AS fraud_txn,
-         SUM(CASE WHEN is_fraud THEN amount ELSE 0.0 END) AS fraud_amount,
-         ROUND(SUM(CAST(is_fraud AS DOUBLE)) / COUNT(transaction_id) * 100, 4) AS fraud_rate,
+         COUNT(*) FILTER (is_fraud) AS fraud_txn,
+         COALESCE(SUM(amount) FILTER (is_fraud), 0.0) AS fraud_amount,
+         ROUND(AVG(CAST(is_fraud AS DOUBLE)) * 100, 4) AS fraud_rate,
          dt
   FROM scored GROUP BY dt, hour(event_timestamp), channel
 )"""
@@ -125,13 +124,13 @@ RAW_COLUMNS = """transaction_id, account_id, event_timestamp, amount, merchant_i
 
 DAILY = f"WITH {TXN},{_scored()}"
 ACROSS = f"WITH {TXN},{_scored(keys='account_id')}"
-RATE = "CAST(ROUND(SUM(fraud_txn) * 100.0 / NULLIF(SUM(total_txn), 0), 2) AS DOUBLE) AS fraud_rate_pct"
+RATE = "ROUND(100 * CAST(SUM(fraud_txn) AS DOUBLE) / SUM(total_txn), 2) AS fraud_rate_pct"
 TOTALS = "CAST(SUM(total_txn) AS BIGINT) AS total_txn_count, CAST(SUM(fraud_txn) AS BIGINT) AS fraud_count"
-RECENT = f"dt >= CAST(DATE '{AS_OF}' - 7 AS VARCHAR)"
+RECENT = f"dt BETWEEN CAST(DATE '{REPORT_DAY}' - 7 AS VARCHAR) AND '{REPORT_DAY}'"
 ACCOUNT_TOTALS = """account_id, COUNT(*) AS fraud_count, ROUND(SUM(amount), 0) AS "fraud_amount_INR",
   MIN(event_timestamp) AS first_fraud_at, MAX(event_timestamp) AS last_fraud_at"""
 
-_RAW = RAW_TRANSACTIONS._replace(fields=(*RAW_TRANSACTIONS.fields, INGEST_BATCH), partitions=("dt", INGEST_BATCH.name))
+_RAW = RAW_TRANSACTIONS._replace(fields=(*RAW_TRANSACTIONS.fields, INGEST_BATCH), partitions=(INGEST_BATCH.name, "dt"))
 _SET_ASIDE = QUARANTINE._replace(fields=(*QUARANTINE.fields, INGEST_BATCH), partitions=(INGEST_BATCH.name,))
 TABLES: dict[str, Table] = {
     "raw.transactions": _RAW,
@@ -155,73 +154,19 @@ def _catalog_columns() -> str:
     return ", ".join(rows)
 
 
-def _checks() -> str:
-    names = ["database raw", "database curated"]
-    for table in TABLES:
-        names += [f"table {table}", f"columns {table}"]
-    return ", ".join(f"('{n}', TRUE)" for n in names)
-
-
-# The 64-bit hash behind the seed rows' draws, spelt out in 128-bit arithmetic: Spark hashes
-# the row id from 42, and then the draw's salt from that result.
-# The five primes of the published XXH64 algorithm.
-PRIMES = (
-    0x9E3779B185EBCA87,
-    0xC2B2AE3D27D4EB4F,
-    0x165667B19E3779F9,
-    0x85EBCA77C2B2AE63,
-    0x27D4EB2F165667C5,
-)
-WORD = 2**64
 SEED_DRAWS = ("fraud", "city", "amount", "time", "lat", "lon", "account", "merchant", "category", "channel")
 
 
-def _wide(number: int) -> str:
-    return f"{number}::UHUGEINT"
-
-
-def _product(value: str, factor: int) -> str:
-    return f"({value} * {_wide(factor)} % {_wide(WORD)})"
-
-
-def _rotated(value: str, bits: int) -> str:
-    return f"({_product(value, 2**bits)} + {value} // {_wide(2 ** (64 - bits))})"
-
-
-def _mixed(value: str, shift: int) -> str:
-    return f"xor({value}, {value} // {_wide(2**shift)})"
-
-
-def _hash_round(name: str, source: str, value: str, start: str) -> str:
-    """CTEs that add column ``name``: the hash of one 64-bit ``value`` from ``start``."""
-    p1, p2, p3, p4, p5 = PRIMES
-    steps = [
-        f"{_product(value, p2)} AS k, ({start} + {_wide(p5 + 8)}) % {_wide(WORD)} AS h",
-        f"xor(h, {_product(_rotated('k', 31), p1)}) AS h1",
-        f"({_rotated('h1', 27)} * {_wide(p1)} + {_wide(p4)}) % {_wide(WORD)} AS h2",
-        f"{_product(_mixed('h2', 33), p2)} AS h3",
-        f"{_product(_mixed('h3', 29), p3)} AS h4",
-        f"{_mixed('h4', 32)} AS {name}",
-    ]
-    ctes = []
-    for i, step in enumerate(steps):
-        ctes.append(f"{name}_{i} AS (SELECT *, {step} FROM {source})")
-        source = f"{name}_{i}"
-    ctes.append(f"{name}_rows AS (SELECT * EXCLUDE (k, h, h1, h2, h3, h4) FROM {source})")
-    return ",\n".join(ctes)
-
-
 def _seed_rows() -> str:
-    salts = ", ".join(f"('{n}', {_wide(salt(SEED, n) % WORD)})" for n in SEED_DRAWS)
+    names = ", ".join(f"('{n}')" for n in SEED_DRAWS)
     uniforms = ", ".join(f"MAX(u) FILTER (WHERE draw = '{n}') AS {n}" for n in SEED_DRAWS)
     (a_low, a_high), (m_low, m_high) = seeds.ACCOUNTS, seeds.MERCHANTS
     (f_low, f_high), (u_low, u_high) = seeds.FRAUD_AMOUNT, seeds.USUAL_AMOUNT
     jitter = seeds.JITTER_DEGREES
-    return f"""WITH ids AS (SELECT event_id AS id, CAST(event_id AS UHUGEINT) AS wide_id FROM events),
-        {_hash_round("of_id", "ids", "wide_id", _wide(42))},
-        salted AS (SELECT * FROM of_id_rows CROSS JOIN (VALUES {salts}) AS s(draw, salt)),
-        {_hash_round("of_draw", "salted", "salt", "of_id")},
-        drawn AS (SELECT id, draw, (CAST(of_draw // 2048 AS DOUBLE) + 0.5) * pow(CAST(2 AS DOUBLE), -53) AS u FROM of_draw_rows),
+    return f"""WITH drawn AS (
+          SELECT event_id AS id, draw,
+                 (CAST('0x' || substr(md5(event_id || ':{SEED}:' || draw), 1, 13) AS BIGINT) + 0.5::DOUBLE) * pow(2::DOUBLE, -52) AS u
+          FROM events CROSS JOIN (VALUES {names}) AS n(draw)),
         wide AS (SELECT id, {uniforms} FROM drawn GROUP BY id),
         cities AS (SELECT * FROM (VALUES {_CITY_VALUES}) AS c(city_id, city_name, city_lat, city_lon))
         SELECT id,
@@ -255,7 +200,16 @@ ORACLES: dict[str, str] = {
     "ingest_parse_json": f"WITH {TXN} SELECT {RAW_COLUMNS} FROM raw",
     "ingest_available_now": f"WITH {TXN} SELECT {RAW_COLUMNS} FROM raw",
     "ingest_batch": f"WITH {TXN} SELECT {RAW_COLUMNS} FROM raw",
-    "replay_stream": f"WITH {TXN} SELECT {RAW_COLUMNS} FROM raw",
+    "ingest_two_sources": f"WITH {TXN} SELECT {RAW_COLUMNS} FROM raw",
+    "fold_raw_day": f"WITH {TXN} SELECT {RAW_COLUMNS} FROM raw",
+    "csv_by_name": f"""WITH {TXN}
+        SELECT account_id AS record_key, transaction_id, amount, merchant_cat,
+               'said "so", once' AS note FROM txn""",
+    "schema_evolution_tables": f"""{DAILY}
+        SELECT transaction_id, dt, fraud_reasons, CASE WHEN dt > '{AS_OF}' THEN NULL END AS device FROM scored""",
+    "synth_copula_checks": """SELECT check_name, CAST(0 AS BIGINT) AS failures FROM (VALUES
+        ('quantile rank off by more than 0.02'), ('share differs'), ('null share differs'), ('correlation outside -1..1'),
+        ('sample rows missing'), ('sample ids repeated'), ('sample values outside the quantiles')) AS c(check_name)""",
     "ingest_derive_dt": f"""WITH {TXN}
         SELECT transaction_id,
                CASE WHEN CAST(transaction_id AS BIGINT) % 71 = 0 THEN NULL ELSE event_timestamp END AS event_timestamp,
@@ -366,7 +320,28 @@ ORACLES: dict[str, str] = {
                CAST(CASE WHEN table_name = 'raw.transactions' THEN (SELECT COUNT(*) FROM txn) ELSE 0 END AS BIGINT)
                    AS row_count
         FROM described""",
-    "readiness_report": f"SELECT * FROM (VALUES {_checks()}) AS c(check_name, passed)",
+    "readiness_report": f"""{DAILY},{ALERTS},{SUMMARY},
+        held AS (
+          SELECT 'raw rows' AS check_name, COUNT(*) AS "value" FROM txn
+          UNION ALL SELECT 'raw rows without an id', COUNT(*) FILTER (transaction_id IS NULL) FROM txn
+          UNION ALL SELECT 'records set aside', COUNT(*) FROM txn WHERE CAST(transaction_id AS BIGINT) % 43 = 0
+          UNION ALL SELECT 'scored days without a summary', COUNT(DISTINCT dt) FROM scored WHERE dt NOT IN (SELECT dt FROM summary)
+          UNION ALL SELECT 'alerts without a transaction', COUNT(*) FROM alerts WHERE transaction_id NOT IN (SELECT transaction_id FROM scored)
+          UNION ALL SELECT 'transactions missing in the summary', COUNT(*) - (SELECT SUM(total_txn) FROM summary) FROM scored)
+        SELECT check_name, CAST("value" AS BIGINT) AS "value",
+               CASE check_name WHEN 'raw rows' THEN "value" > 0 WHEN 'records set aside' THEN TRUE ELSE "value" = 0 END AS passed
+        FROM held""",
+    "reports_over_tables": f"""{DAILY},{ALERTS},{SUMMARY}
+        SELECT report, CAST(n AS BIGINT) AS row_count,
+               CASE report WHEN 'kpi_day' THEN (SELECT ROUND(SUM(amount) FILTER (is_fraud), 0) FROM scored WHERE dt = '{REPORT_DAY}') END
+                   AS "fraud_amount_INR"
+        FROM (SELECT 'daily_summary' AS report, LEAST(30, COUNT(DISTINCT dt)) AS n FROM summary
+              UNION ALL SELECT 'channel_rate', COUNT(DISTINCT channel) FROM summary WHERE {RECENT}
+              UNION ALL SELECT 'fraud_type', COUNT(DISTINCT fraud_reason) FROM alerts
+              UNION ALL SELECT 'hourly_heatmap', COUNT(DISTINCT dt || ' ' || hour) FROM summary WHERE {RECENT}
+              UNION ALL SELECT 'top_accounts', LEAST(10, COUNT(DISTINCT account_id)) FROM alerts
+              UNION ALL SELECT 'latest_alerts', LEAST(100, COUNT(*)) FROM alerts
+              UNION ALL SELECT 'kpi_day', 1)""",
     "report_daily_summary": f"""{DAILY},{SUMMARY}
         SELECT dt AS txn_date, {TOTALS}, ROUND(SUM(fraud_amount), 0) AS "fraud_amount_INR", {RATE}
         FROM summary GROUP BY dt ORDER BY dt DESC LIMIT 30""",
@@ -391,10 +366,10 @@ ORACLES: dict[str, str] = {
                fraud_reason AS fraud_type, fraud_score, location_lat AS latitude, location_lon AS longitude
         FROM alerts ORDER BY event_timestamp DESC, transaction_id, fraud_reason LIMIT 100""",
     "report_kpi_day": f"""{DAILY}
-        SELECT 'TODAY' AS period, COUNT(*) AS total_txn, CAST(SUM(CASE WHEN is_fraud THEN 1 ELSE 0 END) AS BIGINT) AS fraud_count,
-               CAST(ROUND(SUM(CASE WHEN is_fraud THEN 1.0 ELSE 0 END) / NULLIF(COUNT(*), 0) * 100, 2) AS DOUBLE) AS fraud_rate_pct,
-               ROUND(SUM(CASE WHEN is_fraud THEN amount ELSE 0 END), 0) AS "fraud_amount_INR"
-        FROM scored WHERE dt = '{AS_OF}'""",
+        SELECT 'TODAY' AS period, COUNT(*) AS total_txn, COUNT(*) FILTER (is_fraud) AS fraud_count,
+               ROUND(100 * AVG(CAST(is_fraud AS DOUBLE)), 2) AS fraud_rate_pct,
+               ROUND(COALESCE(SUM(amount) FILTER (is_fraud), 0), 0) AS "fraud_amount_INR"
+        FROM scored WHERE dt = '{REPORT_DAY}'""",
     "inject_patterns": f"""WITH {TXN},
         picks AS (
           SELECT transaction_id AS id, ROW_NUMBER() OVER (ORDER BY md5('{SAMPLE_SEED}:' || transaction_id), transaction_id) AS pick

@@ -1,7 +1,8 @@
 """The registered queries: each operator over the whole of the given tables.
 
 Every query takes the session and the folder of the tables. Run times that would differ from
-run to run are fixed, and report days are counted back from ``AS_OF``.
+run to run are fixed. Reports look at a day in the middle of the data. Tables that a query makes stay in the shared
+folder only as long as their rows are needed.
 """
 
 from __future__ import annotations
@@ -9,7 +10,7 @@ from __future__ import annotations
 from collections.abc import Callable
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from fraudlake.config import FraudConfig
@@ -24,7 +25,7 @@ from fraudlake.operators.rules import (
 )
 from fraudlake.plans import bridge, reports
 from fraudlake.plans.day import run_day
-from fraudlake.session import scratch_dir
+from fraudlake.session import delete_path, scratch_dir
 from fraudlake.sources import files, records
 from fraudlake.sources.lake import INGEST_BATCH, Lake, append_by_name, read_evolving
 from fraudlake.sources.records import RecordSource
@@ -35,6 +36,7 @@ from fraudlake.synth.copula import CATEGORICAL, NUMERIC, STEPS
 from fraudlake.synth.patterns import EVENT, VELOCITY_ACCOUNT, VELOCITY_AMOUNTS
 
 AS_OF = "2024-01-03"
+REPORT_DAY = "2024-01-02"
 RUN_AT_TEXT = "2024-01-04 01:00:00"
 DAYS = FraudConfig(isolate_days=True)
 SEED = 42
@@ -90,6 +92,15 @@ def new_lake(spark: SparkSession) -> Lake:
     return lake
 
 
+def taken_out(lake: Lake, rows: DataFrame, label: str) -> DataFrame:
+    """rows as files of their own, after which the lake they came from is dropped."""
+    path = scratch_dir(lake.spark, label)
+    rows.write.parquet(path)
+    lake.drop()
+    delete_path(lake.spark, lake.location)
+    return lake.spark.read.schema(rows.schema).parquet(path)
+
+
 def loaded_lake(spark: SparkSession, sf_dir: str) -> Lake:
     """A lake whose raw table holds the transactions, taken in through the record stream."""
     lake = new_lake(spark)
@@ -160,7 +171,33 @@ def ingest_available_now(spark, sf_dir):
     for delivery in (F.col("dt") < AS_OF, F.col("dt") >= AS_OF):
         source.write(as_records(txns.filter(delivery)))
         ingesting.ingest(lake, source, f"{lake.location}/checkpoint", ingested_at=run_at())
-    return lake.read(lake.raw).drop("ingested_at", INGEST_BATCH.name)
+    return taken_out(lake, lake.read(lake.raw).drop("ingested_at", INGEST_BATCH.name), "raw")
+
+
+@query
+def ingest_two_sources(spark, sf_dir):
+    """Two sources with offsets of their own fill one lake; record positions repeat between them."""
+    lake = new_lake(spark)
+    txns = positioned(spark, sf_dir)
+    for name, part in (("a", F.col("dt") < AS_OF), ("b", F.col("dt") >= AS_OF)):
+        source = RecordSource.files(f"{lake.location}/records_{name}")
+        for half in (0, 1):
+            source.write(as_records(txns.filter(part & (F.col("kafka_partition") % 2 == half))))
+            ingesting.ingest_batch(lake, source, f"{lake.location}/offsets_{name}", ingested_at=run_at())
+    return taken_out(lake, lake.read(lake.raw).drop("ingested_at", INGEST_BATCH.name), "raw")
+
+
+@query
+def fold_raw_day(spark, sf_dir):
+    """Six deliveries; then the closed batches of each day are folded into one partition."""
+    lake = new_lake(spark)
+    source = RecordSource.files(f"{lake.location}/records")
+    for partition in range(6):
+        source.write(as_records(positioned(spark, sf_dir).filter(F.col("kafka_partition") == partition)))
+        ingesting.ingest_batch(lake, source, f"{lake.location}/offsets", ingested_at=run_at())
+    for day in _day_names(lake):
+        lake.fold_day(day)
+    return taken_out(lake, lake.read(lake.raw).drop("ingested_at", INGEST_BATCH.name), "raw")
 
 
 @query
@@ -172,18 +209,7 @@ def ingest_batch(spark, sf_dir):
     for delivery in (F.col("dt") < AS_OF, F.col("dt") >= AS_OF, F.lit(False)):
         source.write(as_records(txns.filter(delivery)))
         ingesting.ingest_batch(lake, source, f"{lake.location}/offsets", ingested_at=run_at())
-    return lake.read(lake.raw).drop("ingested_at", INGEST_BATCH.name)
-
-
-@query
-def replay_stream(spark, sf_dir):
-    """Records staged in files and replayed two files per micro-batch."""
-    root = scratch_dir(spark, "replay")
-    sent = as_records(positioned(spark, sf_dir))
-    source = records.stage(sent, f"{root}/staged", rows_per_file=100_000)
-    target = RecordSource.files(f"{root}/topic")
-    records.replay(spark, source, target, f"{root}/checkpoint", max_per_trigger=2)
-    return ingesting.parse_records(target.batch(spark), run_at()).drop("ingested_at")
+    return taken_out(lake, lake.read(lake.raw).drop("ingested_at", INGEST_BATCH.name), "raw")
 
 
 @query
@@ -206,6 +232,17 @@ def csv_roundtrip(spark, sf_dir):
     return files.from_wire(files.read_csv(spark, path))
 
 
+@query
+def csv_by_name(spark, sf_dir):
+    """A CSV with columns in another order, quotes and a column of its own, as payload and back."""
+    path = scratch_dir(spark, "csv")
+    wire = files.to_wire(bridge.transactions(spark, sf_dir)).withColumn("note", F.lit('said "so", once'))
+    files.write_csv(wire.select(*sorted(wire.columns, reverse=True)), path)
+    payload = records.to_payload(files.read_csv(spark, path, more=True))
+    body = F.from_json(F.col("value").cast("string"), "transaction_id STRING, amount DOUBLE, merchant_cat STRING, note STRING")
+    return payload.select(F.col("key").cast("string").alias("record_key"), body.alias("b")).select("record_key", "b.*")
+
+
 @query
 def json_roundtrip(spark, sf_dir):
     path = scratch_dir(spark, "json")
@@ -226,6 +263,19 @@ def schema_evolution(spark, sf_dir):
     return append_by_name(stored, txns.filter("dt > '2024-01-02'").select(*later, "channel"))
 
 
+@query
+def schema_evolution_tables(spark, sf_dir):
+    """Tables that get a column between two day jobs take the rows of both."""
+    lake = loaded_lake(spark, sf_dir)
+    for day in _day_names(lake):
+        if day == AS_OF:
+            for table in (lake.raw, lake.transactions, lake.alerts):
+                lake.add_columns(table, "device STRING")
+        run_day(lake, day, FraudConfig(), run_at())
+    held = lake.read(lake.transactions).select("transaction_id", "dt", "fraud_reasons", "device")
+    return taken_out(lake, held, "evolved")
+
+
 @query
 def dim_city_coords(spark, sf_dir):
     """Transactions per city: counted by coordinates first, then named by the eight-row table."""
@@ -334,7 +384,7 @@ def score_transactions_hot_account(spark, sf_dir):
     number = F.col("transaction_id").cast("long")
     account = F.when(number % 3 == 0, F.lit("ACC_HOT")).when(number % 11 != 0, F.col("account_id"))
     txns = bridge.transactions(spark, sf_dir).withColumn("account_id", account)
-    return _comparable(score_transactions(txns, FraudConfig(slice_rows=500, slice_input_bytes=0)))
+    return _comparable(score_transactions(txns, FraudConfig(slice_rows=500)))
 
 
 @query
@@ -407,7 +457,7 @@ def rerun_day_idempotent(spark, sf_dir):
         held(lake.alerts, "fraud_reason", "amount"),
         held(lake.summary, "channel", "fraud_amount"),
     ]
-    return reduce(DataFrame.unionByName, parts)
+    return taken_out(lake, reduce(DataFrame.unionByName, parts), "held")
 
 
 # ---- tables ---------------------------------------------------------------------------------
@@ -441,22 +491,54 @@ def ddl_describe(spark, sf_dir):
     for table in lake.tables():
         held = lake.read(table).agg(F.count(F.lit(1)).alias("row_count"))
         described.append(lake.columns(table).withColumn("row_count", held.scalar()))
-    return reduce(DataFrame.unionByName, described).withColumn(
+    named = reduce(DataFrame.unionByName, described).withColumn(
         "table_name", F.regexp_replace("table_name", f"{suffix}\\.", ".")
     )
+    return taken_out(lake, named, "described")
 
 
 @query
 def readiness_report(spark, sf_dir):
-    """Checks of databases, tables and columns, and that each table can be read."""
-    lake = loaded_lake(spark, sf_dir)
-    suffix = lake.raw_db.removeprefix("raw")
-    return lake.readiness().select(F.regexp_replace("check", suffix, "").alias("check_name"), "passed")
+    """What the tables of a filled lake hold; some records are spoilt and set aside again as copies."""
+    lake = new_lake(spark)
+    source = RecordSource.files(f"{lake.location}/records")
+    sent = as_records(positioned(spark, sf_dir))
+    number = F.col("offset") * 6 + F.col("partition")
+    source.write(sent)
+    source.write(sent.filter(number % 43 == 0).withColumn("value", F.lit("not json").cast("binary")))
+    ingesting.ingest_batch(lake, source, f"{lake.location}/offsets", ingested_at=run_at())
+    for day in _day_names(lake):
+        run_day(lake, day, FraudConfig(), run_at())
+    if not lake.readiness().filter(~F.col("passed")).isEmpty():
+        raise RuntimeError("tables are not as specified")
+    return taken_out(lake, lake.health(), "health")
 
 
 # ---- reports --------------------------------------------------------------------------------
 
 
+def curated_lake(spark: SparkSession, sf_dir: str) -> Lake:
+    """A lake with all days scored and written."""
+    lake = loaded_lake(spark, sf_dir)
+    for day in _day_names(lake):
+        run_day(lake, day, FraudConfig(), run_at())
+    return lake
+
+
+@query
+def reports_over_tables(spark, sf_dir):
+    """The reports as the job runs them, over written tables: each report's rows as JSON."""
+    lake = curated_lake(spark, sf_dir)
+    tables = (lake.read(t) for t in (lake.transactions, lake.alerts, lake.summary))
+    made = [
+        report.drop("alerted_at", "alert_id").select(F.lit(name).alias("report"), F.to_json(F.struct("*")).alias("body"))
+        for name, report in reports.run_reports(*tables, as_of=REPORT_DAY).items()
+    ]
+    counted = reduce(DataFrame.unionByName, made).groupBy("report").agg(F.count(F.lit(1)).alias("row_count"))
+    kpi = reports.kpi_day(lake.read(lake.transactions), REPORT_DAY).select(F.lit("kpi_day").alias("report"), "fraud_amount_INR")
+    return taken_out(lake, counted.join(kpi, "report", "left"), "reports")
+
+
 @query
 def report_daily_summary(spark, sf_dir):
     return reports.daily_summary(summary(spark, sf_dir))
@@ -464,7 +546,7 @@ def report_daily_summary(spark, sf_dir):
 
 @query
 def report_channel_rate(spark, sf_dir):
-    return reports.channel_rate(summary(spark, sf_dir), AS_OF)
+    return reports.channel_rate(summary(spark, sf_dir), REPORT_DAY)
 
 
 @query
@@ -474,7 +556,7 @@ def report_fraud_type(spark, sf_dir):
 
 @query
 def report_hourly_heatmap(spark, sf_dir):
-    return reports.hourly_heatmap(summary(spark, sf_dir), AS_OF)
+    return reports.hourly_heatmap(summary(spark, sf_dir), REPORT_DAY)
 
 
 @query
@@ -496,7 +578,7 @@ def report_latest_alerts(spark, sf_dir):
 
 @query
 def report_kpi_day(spark, sf_dir):
-    return reports.kpi_day(scored(spark, sf_dir), AS_OF)
+    return reports.kpi_day(scored(spark, sf_dir), REPORT_DAY)
 
 
 # ---- synthetic data -------------------------------------------------------------------------
@@ -550,6 +632,54 @@ def synth_sample(spark, sf_dir):
     return inject_patterns(sample(_event_ids(spark, sf_dir), model, SEED))
 
 
+@query
+def synth_copula_checks(spark, sf_dir):
+    """What must hold of a fit and of a sample, each with the number of violations in the data."""
+    rows = _labelled(spark, sf_dir).withColumn("is_fraud", F.col("is_fraud").cast("string"))
+    model = fit(_labelled(spark, sf_dir))
+    amounts = rows.filter("amount IS NOT NULL")
+    known = amounts.count()
+    levels = [(i / STEPS, float(v)) for i, v in enumerate(model.quantiles["amount"])]
+    asked = spark.createDataFrame(levels, "level DOUBLE, at DOUBLE")
+    ranks = (  # a bounded number of levels against the amounts' ranks
+        amounts.withColumn("_rank", F.cume_dist().over(Window.orderBy("amount")))
+        .groupBy("amount")
+        .agg(F.max("_rank").alias("upto"), (F.max("_rank") - F.count(F.lit(1)) / known).alias("below"))
+    )
+    off = asked.join(ranks, F.col("at") == F.col("amount"), "left").filter(
+        F.col("upto").isNull() | (F.col("upto") < F.col("level") - 0.02) | (F.col("below") > F.col("level") + 0.02)
+    )
+    total = rows.count()
+    shares = [(c, v, s) for c in CATEGORICAL for v, s in model.categories[c]]
+    learned = spark.createDataFrame(shares, "name STRING, value STRING, share DOUBLE")
+    counts = reduce(
+        DataFrame.unionByName,
+        [rows.groupBy(F.col(c).alias("value")).count().select(F.lit(c).alias("name"), "value", "count") for c in CATEGORICAL],
+    )
+    same = (learned["name"] == counts["name"]) & learned["value"].eqNullSafe(counts["value"])
+    differ = learned.join(counts, same, "full").filter(
+        ~F.coalesce(F.abs(F.col("share") * total - F.col("count")) < 1e-6, F.lit(False))
+    )
+    nulls = rows.agg(F.count_if(F.col("amount").isNull()).alias("n")).filter(
+        F.abs(F.col("n") - F.lit(model.null_share["amount"]) * total) > 1e-6
+    )
+    drawn = sample(_event_ids(spark, sf_dir), model, SEED)
+    low, high = model.quantiles["amount"][0], model.quantiles["amount"][-1]
+    wild = int((abs(model.correlation) > 1 + 1e-9).sum())
+    missing = _event_ids(spark, sf_dir).agg(F.count(F.lit(1)).alias("n")).crossJoin(drawn.agg(F.count(F.lit(1)).alias("m")))
+    count = F.count(F.lit(1)).alias("failures")
+    found = {
+        "quantile rank off by more than 0.02": off.agg(count),
+        "share differs": differ.agg(count),
+        "null share differs": nulls.agg(count),
+        "correlation outside -1..1": spark.range(1).select(F.lit(wild).cast("long").alias("failures")),
+        "sample rows missing": missing.select((F.col("n") - F.col("m")).alias("failures")),
+        "sample ids repeated": drawn.groupBy("transaction_id").count().filter("count > 1").agg(count),
+        "sample values outside the quantiles": drawn.filter(~F.col("amount").between(low - 0.01, high + 0.01)).agg(count),
+    }
+    return reduce(DataFrame.unionByName, [df.select(F.lit(name).alias("check_name"), "failures") for name, df in found.items()])
+
+
 @query
 def inject_patterns_into_transactions(spark, sf_dir):
     """Random amounts of the burst are replaced by the middle of their range."""

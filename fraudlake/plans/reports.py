@@ -65,23 +65,14 @@ def hourly_heatmap(summary: DataFrame, as_of: Day = None, days: int = REPORT_DAY
 
 
 def top_accounts(alerts: DataFrame, top: int = 10) -> DataFrame:
-    """Accounts with most alerts, with the set of their reasons.
-
-    Alerts are first rolled up by account and reason with mutable-buffer aggregates, so
-    collect_set sees one row per account and reason.
-    """
-    by_reason = alerts.groupBy("account_id", "fraud_reason").agg(*_account_totals())
+    """Accounts with most alerts, with the set of their reasons: a few values, so one aggregate."""
     return (
-        by_reason.groupBy("account_id")
-        .agg(
-            F.sum("fraud_count").alias("fraud_count"),
-            F.round(F.sum("_amount"), 0).alias("fraud_amount_INR"),
-            F.min("first_fraud_at").alias("first_fraud_at"),
-            F.max("last_fraud_at").alias("last_fraud_at"),
-            F.sort_array(F.collect_set("fraud_reason")).alias("fraud_types"),
-        )
+        alerts.groupBy("account_id")
+        .agg(*_account_totals(), F.sort_array(F.collect_set("fraud_reason")).alias("fraud_types"))
+        .withColumn("fraud_amount_INR", F.round("_amount", 0))
         .orderBy(F.desc("fraud_count"), "account_id")
         .limit(top)
+        .select("account_id", "fraud_count", "fraud_amount_INR", "first_fraud_at", "last_fraud_at", "fraud_types")
     )
 
 
@@ -152,7 +143,7 @@ def run_reports(
 
 
 def _recent(summary: DataFrame, as_of: Day, days: int) -> DataFrame:
-    return summary.filter(F.col("dt") >= days_before(as_of, days))
+    return summary.filter(F.col("dt").between(days_before(as_of, days), days_before(as_of, 0)))
 
 
 def _totals() -> list[Column]:

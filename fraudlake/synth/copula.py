@@ -1,8 +1,8 @@
 """Gaussian copula over the transaction columns.
 
-Fitting takes three passes: approximate quantiles of the numeric columns (one aggregate),
-frequencies of the categories, and the correlation of normal scores (one aggregate). What is
-learnt is a few thousand numbers. Sampling is a projection of row ids.
+Fitting takes three aggregates: approximate quantiles of the numeric columns, counts of the
+categories of all columns, and the moments of normal scores. Categories are looked up by joins
+with a table of their shares. Sampling is a projection of row ids with such joins.
 """
 
 from __future__ import annotations
@@ -22,7 +22,6 @@ from fraudlake.synth.seeds import account_id, merchant_id
 NUMERIC = ("event_second", "amount", "location_lat", "location_lon")
 CATEGORICAL = ("merchant_cat", "channel", "is_fraud")
 STEPS = 200
-MAX_CATEGORIES = 10_000
 _NORMAL = NormalDist()
 
 
@@ -56,7 +55,7 @@ def fit(txns: DataFrame, accuracy: int = 10_000) -> CopulaModel:
         raise ValueError("nothing to learn from")
     quantiles = {c: [float(v) for v in stats[c] or [0.0] * (STEPS + 1)] for c in NUMERIC}
     null_share = {c: 1 - stats[f"{c}_known"] / stats["rows"] for c in NUMERIC}
-    categories = {c: _shares(rows, c, stats["rows"]) for c in CATEGORICAL}
+    categories = _shares(rows, stats["rows"])
     scored = _normal_scores(rows, quantiles, categories)
     return CopulaModel(quantiles, null_share, categories, _correlation(scored), stats["rows"])
 
@@ -83,9 +82,13 @@ def sample(ids: DataFrame, model: CopulaModel, seed: int) -> DataFrame:
             value = F.when(draws.uniform(row, seed, f"{name}/known") >= model.null_share[name], value)
         return value
 
+    for name in CATEGORICAL:
+        values = [(i, value) for i, (value, _) in enumerate(model.categories[name])]
+        named = ids.sparkSession.createDataFrame(values, f"_i_{name} INT, _v_{name} STRING")
+        drawn = drawn.join(named, F.col(f"_b_{name}").cast("int") == F.col(f"_i_{name}"), "left")
+
     def category(name: str) -> Column:
-        values = F.array(*(F.lit(v).cast("string") for v, _ in model.categories[name]))
-        return F.element_at(values, F.col(f"_b_{name}").cast("int") + 1)
+        return F.col(f"_v_{name}")
 
     return drawn.select(
         draws.uuid_of(row, seed).alias("transaction_id"),
@@ -101,12 +104,17 @@ def sample(ids: DataFrame, model: CopulaModel, seed: int) -> DataFrame:
     )
 
 
-def _shares(rows: DataFrame, column: str, total: int) -> list[tuple[str | None, float]]:
-    """Category shares. Categories are domains of a few values; refuse anything else."""
-    counts = rows.groupBy(column).count().limit(MAX_CATEGORIES + 1).collect()
-    if len(counts) > MAX_CATEGORIES:
-        raise ValueError(f"{column} has more than {MAX_CATEGORIES} values and is no category")
-    return sorted(((r[column], r["count"] / total) for r in counts), key=lambda c: (c[0] is not None, c[0] or ""))
+def _shares(rows: DataFrame, total: int) -> dict[str, list[tuple[str | None, float]]]:
+    """Shares of the values of each categorical column, in value order, from one aggregate.
+
+    The model holds them, so columns should be categories: their values have to fit on the driver.
+    """
+    pairs = F.explode(F.array(*(F.struct(F.lit(c).alias("name"), F.col(c).alias("value")) for c in CATEGORICAL)))
+    counts = rows.select(pairs.alias("p")).groupBy("p.name", "p.value").count().collect()
+    by_column: dict[str, list] = {c: [] for c in CATEGORICAL}
+    for r in counts:
+        by_column[r["name"]].append((r["value"], r["count"] / total))
+    return {c: sorted(found, key=lambda v: (v[0] is not None, v[0] or "")) for c, found in by_column.items()}
 
 
 def _normal_scores(rows: DataFrame, quantiles: dict, categories: dict) -> DataFrame:
@@ -123,10 +131,10 @@ def _normal_scores(rows: DataFrame, quantiles: dict, categories: dict) -> DataFr
         columns[name] = F.coalesce(_lookup(middles, F.col(f"_b_{name}")), F.lit(0.0))
     for name in CATEGORICAL:
         ends = list(itertools.accumulate((share for _, share in categories[name]), initial=0.0))
-        case = F.lit(0.0)
-        for (value, _), a, b in zip(categories[name], ends, ends[1:], strict=False):
-            case = F.when(F.col(name).eqNullSafe(F.lit(value)), _NORMAL.inv_cdf((a + b) / 2)).otherwise(case)
-        columns[name] = case
+        middles = [(v, _NORMAL.inv_cdf((a + b) / 2)) for (v, _), a, b in zip(categories[name], ends, ends[1:], strict=False)]
+        table = rows.sparkSession.createDataFrame(middles, f"_v_{name} STRING, _m_{name} DOUBLE")
+        scored = scored.join(table, F.col(name).eqNullSafe(F.col(f"_v_{name}")), "left")
+        columns[name] = F.coalesce(f"_m_{name}", F.lit(0.0))
     return scored.select(*(c.alias(n) for n, c in columns.items()))
 
 

@@ -7,7 +7,7 @@ from fraudlake.__main__ import main
 from fraudlake.sources.records import RecordSource
 
 
-def test_from_generated_events_to_reports(spark, folder, capsys):
+def test_from_generated_events_to_reports(spark, folder, tmp_path, capsys):
     suffix = folder.rsplit("-", 1)[1]
     lake = ["--lake", f"{folder}/lake", "--raw-db", f"raw_{suffix}", "--curated-db", f"curated_{suffix}"]
     assert main(["check", *lake], spark) == 1
@@ -40,6 +40,23 @@ def test_from_generated_events_to_reports(spark, folder, capsys):
     assert "kpi_day" in shown and "GEO_ANOMALY" in shown
     assert main(["report", *lake, "--name", "fraud_type"], spark) == 0
     assert "kpi_day" not in capsys.readouterr().out
+    own = tmp_path / "own.sql"
+    own.write_text(f"SELECT COUNT(*) AS n FROM raw_{suffix}.transactions; -- all\n\nSELECT ';' AS mark;\n")
+    assert main(["report", *lake, "--file", str(own)], spark) == 0
+    shown = capsys.readouterr().out
+    assert "statement_2" in shown and "85" in shown
+    assert main(["report", *lake, "--as-of", "2024-07-01", "--output", f"{folder}/out"], spark) == 0
+    assert spark.read.option("header", True).csv(f"{folder}/out/fraud_type").count() == 1
+    assert main(["fold", *lake, "--dt", "2024-07-01"], spark) == 0
+
+
+def test_two_deliveries_arrive(spark, folder):
+    suffix = folder.rsplit("-", 1)[1]
+    lake = ["--lake", f"{folder}/lake", "--raw-db", f"raw3_{suffix}", "--curated-db", f"curated3_{suffix}"]
+    for seed in ("1", "2"):
+        assert main(["produce", "--rows", "20", "--seed", seed, "--rate", "0", "--records", f"{folder}/r"], spark) == 0
+        assert main(["ingest", *lake, "--records", f"{folder}/r", "--offsets", f"{folder}/o"], spark) == 0
+    assert spark.table(f"raw3_{suffix}.transactions").count() == 50
 
 
 def test_json_output(spark, folder):

@@ -130,12 +130,14 @@ def test_null_values_and_constants_are_learnt(spark):
     assert (row[1], row[2]) == ([10.0], ["POS"])
 
 
-def test_fit_refuses_what_is_no_category(spark, monkeypatch):
-    from fraudlake.synth import copula
+def test_many_categories(spark):
+    rows = seed_rows(row_ids(spark, 20_000)).withColumn("merchant_cat", F.concat(F.lit("c"), F.col("id")))
+    model = fit(rows)
+    assert len(model.categories["merchant_cat"]) == 20_000
+    assert sample(row_ids(spark, 100), model, 1).filter("merchant_cat LIKE 'c%'").count() == 100
+
 
-    monkeypatch.setattr(copula, "MAX_CATEGORIES", 5)
-    with pytest.raises(ValueError, match="no category"):
-        fit(seed_rows(row_ids(spark, 500)))
+def test_fit_needs_rows(spark):
     with pytest.raises(ValueError, match="nothing"):
         fit(seed_rows(row_ids(spark, 0)))
 
