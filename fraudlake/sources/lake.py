@@ -133,7 +133,7 @@ class Lake:
         closed = [b for b in batches if b.startswith(FOLDED) or b.rsplit("-", 1)[1] < newest[b.rsplit("-", 1)[0]]]
         if len(closed) < 2:
             return len(closed)
-        target = FOLDED + hashlib.sha256(",".join(sorted(closed)).encode()).hexdigest()[:16]
+        target = FOLDED + hashlib.sha256(",".join([dt, *sorted(closed)]).encode()).hexdigest()[:16]
         noted = self.spark.createDataFrame([(target, b, dt) for b in closed], "target STRING, batch STRING, dt STRING")
         noted.coalesce(1).write.mode("overwrite").parquet(f"{self._folds}/{target}")
         rows = self.read(self.raw).filter((F.col("dt") == dt) & F.col(INGEST_BATCH.name).isin(closed))

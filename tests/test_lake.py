@@ -96,6 +96,8 @@ def test_closed_batches_of_a_day_are_folded(lake):
     assert (days.count("2024-01-01"), days.count("2024-01-02")) == (3, 30)
     assert lake.read(lake.raw).count() == 61
     assert lake.fold_day("2024-01-01") == 1
+    assert lake.fold_day("2024-01-02") == 29
+    assert lake.read(lake.raw).count() == 61
     load(lake, [txn(29, 29), txn(129, 86_429)], "stream-00000029")  # the last batch once more
     load(lake, [txn(30, 30)], "stream-00000030")
     assert lake.fold_day("2024-01-01") == 2
