@@ -1,15 +1,17 @@
 """Near duplicates by one-permutation MinHash with optimal densification, banded buckets and stars.
 
-1. One hash per shingle; the hash's upper bits name one of 256 bins, each bin keeps its smallest
+1. One hash per shingle; the hash's upper bits name one of 1024 bins, each bin keeps its smallest
    hash. An empty bin borrows from the first filled bin of its own random probing order (optimal
-   densification). 64 bands of four bins make bucket keys: at a similarity of 0.75 two documents
-   share none of them with a probability of about 3e-11.
+   densification). The first 256 bins make 64 bands of four, the bucket keys: at a similarity of
+   0.75 two documents share none of them with a probability of about 3e-11. All bins, four bits of
+   each, make a sketch that estimates similarity.
 2. Documents with equal shingle sets are one class, with the smallest doc_id for all of it.
 3. In each bucket a star joins the smallest member with all others, one candidate per member. Stars
    are confirmed on the full sets and give components.
 4. A bucket whose members are still in several components has pairs that no star compared. They are
-   compared as well, in blocks of bounded size, by size and by the share of equal bins, and what may
-   reach the threshold is confirmed on the full sets. So no link is lost to the choice of centres.
+   compared as well, in blocks of bounded size and in one of the buckets they share, by size and by
+   sketch, and what may reach the threshold is confirmed on the full sets. So no link is lost to the
+   choice of centres.
 
 Hot buckets and copies are counted with map-side aggregates, joined under adaptive skew handling and
 cut into blocks; nothing collects a bucket.
@@ -30,19 +32,23 @@ from fraudlake.llm.components import component_labels
 
 SHINGLE_WORDS = 5
 THRESHOLD = 75  # per cent
-BINS = 256
+BINS = 1024
 BAND_BINS = 4
-BANDS = BINS // BAND_BINS
+BANDS = 64
 BLOCK_ROWS = 1024
-# Equal bins out of 256 that are required before sets are compared: 4.8 deviations below 0.75.
-LEAST_EQUAL_BINS = 158
+# Bins whose four bits must be equal before sets are compared. At 0.75 they are equal with a
+# probability of 0.766 each; this is 4.8 deviations below, a similarity of about 0.68.
+LEAST_EQUAL_BINS = 719
+# Up to so many ids are sent to every task that picks their texts, some 16 MB; more are shuffled.
+BROADCAST_IDS = 1_000_000
 
 _U = np.uint64
 _ODD = _U(0x9E3779B97F4A7C15)
 _WORD_FACTORS = np.random.default_rng(5).integers(1, 2**63, SHINGLE_WORDS, dtype=np.uint64) * _U(2) + _U(1)
-_BAND_FACTORS = np.random.default_rng(6).integers(1, 2**63, BINS, dtype=np.uint64) * _U(2) + _U(1)
-# PROBES[i, j]: when bin i asks bin j, in an order of its own
-PROBES = np.stack([np.random.default_rng(1000 + i).permutation(BINS) for i in range(BINS)]).astype(np.uint16)
+_BAND_FACTORS = np.random.default_rng(6).integers(1, 2**63, BANDS * BAND_BINS, dtype=np.uint64) * _U(2) + _U(1)
+# ORDERS[k, i]: the bin that bin i asks as the k-th; PROBES[i, j]: when bin i asks bin j
+ORDERS = np.random.default_rng(7).permuted(np.tile(np.arange(BINS, dtype=np.uint16), (BINS, 1)), axis=1).T.copy()
+PROBES = np.argsort(ORDERS, axis=0).T.astype(np.uint16)
 
 
 def _scrambled(x: np.ndarray) -> np.ndarray:
@@ -77,19 +83,39 @@ def shingles(text: str | None, hashes: WordHashes) -> np.ndarray:
 
 
 def bins_of(hashes: np.ndarray) -> np.ndarray:
-    """The densified one-permutation sketch of a sorted, non-empty set of hashes."""
-    filled, first = np.unique((hashes >> _U(56)).astype(np.int64), return_index=True)
-    out = np.empty(BINS, dtype=np.uint64)
-    out[filled] = hashes[first]
-    empty = np.setdiff1d(np.arange(BINS), filled, assume_unique=True)
-    if len(empty):
-        out[empty] = hashes[first[PROBES[np.ix_(empty, filled)].argmin(axis=1)]]
+    """The densified one-permutation signature of a sorted, non-empty set of hashes."""
+    filled, first = np.unique((hashes >> _U(64 - 10)).astype(np.int64), return_index=True)
+    out, there = np.empty(BINS, dtype=np.uint64), np.zeros(BINS, dtype=bool)
+    out[filled], there[filled] = hashes[first], True
+    empty = np.flatnonzero(~there)
+    if len(filled) < 160:  # of few filled bins, the one that is asked first
+        out[empty] = out[filled[PROBES[np.ix_(empty, filled)].argmin(axis=1)]]
+        return out
+    for asked in ORDERS:
+        if not len(empty):
+            break
+        found = there[asked[empty]]
+        out[empty[found]] = out[asked[empty[found]]]
+        empty = empty[~found]
     return out
 
 
 def bands_of(bins: np.ndarray) -> np.ndarray:
     """A bucket key for each band of neighbouring bins; keys of different bands differ."""
-    return _scrambled((bins * _BAND_FACTORS).reshape(BANDS, BAND_BINS).sum(axis=1) + np.arange(BANDS, dtype=np.uint64)).view(np.int64)
+    mixed = (bins[: BANDS * BAND_BINS] * _BAND_FACTORS).reshape(BANDS, BAND_BINS).sum(axis=1)
+    return _scrambled(mixed + np.arange(BANDS, dtype=np.uint64)).view(np.int64)
+
+
+def sketch_of(bins: np.ndarray) -> np.ndarray:
+    """Four bits of each bin, two bins to a byte."""
+    bits = (bins * _ODD >> _U(60)).astype(np.uint8)
+    return bits[::2] << 4 | bits[1::2]
+
+
+def equal_bins(x: np.ndarray, y: np.ndarray) -> np.ndarray:
+    """How many bins of sketches are equal, row by row."""
+    differ = x ^ y
+    return ((differ & 0xF0) == 0).sum(axis=-1) + ((differ & 0x0F) == 0).sum(axis=-1)
 
 
 def similar(a: np.ndarray, b: np.ndarray) -> bool:
@@ -98,7 +124,7 @@ def similar(a: np.ndarray, b: np.ndarray) -> bool:
 
 
 def sketched(docs: DataFrame) -> DataFrame:
-    """doc_id, n_shingles, set_id (hash of the set), bands, sketch (a byte for each bin) of every row."""
+    """doc_id, n_shingles, set_id (hash of the set), bands, sketch of every row."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         words = WordHashes()
@@ -110,8 +136,7 @@ def sketched(docs: DataFrame) -> DataFrame:
                     hashes = shingles(text, words)
                     if len(hashes):
                         bins = bins_of(hashes)
-                        sketch = (bins * _ODD >> _U(56)).astype(np.uint8)
-                        rows.append((doc_id, len(hashes), xxhash.xxh3_128_digest(hashes), bands_of(bins), sketch.tobytes()))
+                        rows.append((doc_id, len(hashes), xxhash.xxh3_128_digest(hashes), bands_of(bins), sketch_of(bins).tobytes()))
                     else:
                         rows.append((doc_id, 0, b"", None, None))
                 yield pd.DataFrame(rows, columns=["doc_id", "n_shingles", "set_id", "bands", "sketch"])
@@ -121,12 +146,19 @@ def sketched(docs: DataFrame) -> DataFrame:
     )
 
 
+def among(df: DataFrame, columns: list[str], ids: DataFrame, how: str = "left_semi") -> DataFrame:
+    """The rows of df whose columns are in ids (or with left_anti, are not); ids is a written table.
+
+    A wide df stays where it is as long as there are at most BROADCAST_IDS ids.
+    """
+    return df.join(F.broadcast(ids) if ids.count() <= BROADCAST_IDS else ids, columns, how)
+
+
 def confirmed(pairs: DataFrame, docs: DataFrame) -> DataFrame:
     """The pairs (a, b) whose full shingle sets reach the threshold; texts meet by doc_id."""
-    wanted = pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct()
+    wanted = written(pairs.select(F.col("a").alias("doc_id")).union(pairs.select("b")).distinct(), "wanted")
     texts = written(
-        docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
-        .join(wanted, "doc_id", "left_semi")
+        among(docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")), ["doc_id"], wanted)
         .groupBy("doc_id")
         .agg(F.first("text").alias("text")),
         "texts",
@@ -154,17 +186,20 @@ def may_be_similar(a: Column, b: Column) -> Column:
     def enough_equal(left: pd.Series, right: pd.Series) -> pd.Series:
         if not len(left):
             return pd.Series([], dtype=bool)
-        x, y = (np.frombuffer(b"".join(s), dtype=np.uint8).reshape(-1, BINS) for s in (left, right))
-        return pd.Series((x == y).sum(axis=1) >= LEAST_EQUAL_BINS)
+        x, y = (np.frombuffer(b"".join(s), dtype=np.uint8).reshape(len(s), -1) for s in (left, right))
+        return pd.Series(equal_bins(x, y) >= LEAST_EQUAL_BINS)
 
     sizes = 100 * F.least(a["n"], b["n"]) >= THRESHOLD * F.greatest(a["n"], b["n"])
     return sizes & enough_equal(a["sketch"], b["sketch"])
 
 
 def _across(block: pd.DataFrame) -> pd.DataFrame | None:
-    """Pairs of different components in a block that size and sketch let through."""
+    """Pairs of different components in a block that size and sketch let through, in the bucket of
+    the first band that they share."""
     comp, size, ids, half = (block[c].to_numpy() for c in ("component", "n", "id", "half"))
-    sketch = np.frombuffer(b"".join(block["sketch"]), dtype=np.uint8).reshape(-1, BINS)
+    sketch = np.frombuffer(b"".join(block["sketch"]), dtype=np.uint8).reshape(len(block), -1)
+    bands = np.stack(block["bands"].to_list())
+    bucket = block["bucket"].iat[0]
     same_block = block["block_a"].iat[0] == block["block_b"].iat[0]
     found = []
     for k in range(len(block)):
@@ -172,16 +207,19 @@ def _across(block: pd.DataFrame) -> pd.DataFrame | None:
         fits &= (ids > ids[k]) if same_block else (half > half[k])
         rows = np.flatnonzero(fits)
         if len(rows):
-            rows = rows[(sketch[rows] == sketch[k]).sum(axis=1) >= LEAST_EQUAL_BINS]
+            rows = rows[equal_bins(sketch[rows], sketch[k]) >= LEAST_EQUAL_BINS]
+        if len(rows):
+            rows = rows[bands[k][(bands[rows] == bands[k]).argmax(axis=1)] == bucket]
             found += [(min(ids[k], i), max(ids[k], i)) for i in ids[rows]]
     return pd.DataFrame(found, columns=["a", "b"]) if found else None
 
 
 def links(classes: DataFrame, docs: DataFrame) -> DataFrame:
-    """Links (a, b) that connect exactly the classes (id, n, bands, sketch; written) that belong together."""
+    """Links (a, b) that connect exactly the classes (id, n, bands, sketch) that belong together."""
     spread = classes.select("id", F.explode("bands").alias("bucket"))
     centres = spread.groupBy("bucket").agg(F.min("id").alias("centre"), F.count(F.lit(1)).alias("members")).filter("members > 1")
     members = written(spread.join(centres, "bucket"), "buckets")
+    classes = written(among(classes, ["id"], written(members.select("id").distinct(), "ids")), "known")
 
     sketch = F.struct("n", "sketch")
     stars = members.filter("id <> centre").select(F.col("centre").alias("a"), F.col("id").alias("b")).distinct()
@@ -203,7 +241,7 @@ def links(classes: DataFrame, docs: DataFrame) -> DataFrame:
     )
     blocks = (
         written(placed.join(mixed, "bucket").select("bucket", "id", "component", "_blocks"), "mixed")
-        .join(classes.select("id", "n", "sketch"), "id")
+        .join(classes.select("id", "n", "sketch", "bands"), "id")
         .withColumn("_own", F.pmod(F.xxhash64("id"), F.col("_blocks")).cast("int"))
         .withColumn("_other", F.explode(F.sequence(F.lit(0), F.col("_blocks") - 1)))
         .select(
@@ -215,6 +253,7 @@ def links(classes: DataFrame, docs: DataFrame) -> DataFrame:
             "component",
             "n",
             "sketch",
+            "bands",
         )
     )
     across = sorted_runs(blocks, ["bucket", "block_a", "block_b"], _across, "a bigint, b bigint").distinct()
@@ -233,18 +272,11 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     """
     docs = docs.select("doc_id", "text")
     sets = written(sketched(docs), "sets")
-    classes = written(
-        sets.filter("n_shingles > 0 AND doc_id IS NOT NULL")
-        .groupBy("set_id")
-        .agg(
-            F.min("doc_id").alias("id"), F.first("n_shingles").alias("n"), F.first("bands").alias("bands"), F.first("sketch").alias("sketch")
-        ),
-        "classes",
-    )
+    classes = classes_of(sets)
     labels = component_labels(links(classes, docs).unionByName(_repeated(sets)))
     # only classes of several documents, or linked ones, differ from the document itself
     roots = (
-        classes.select("set_id", "id")
+        classes.select("set_id", "id")  # narrow
         .join(labels, "id", "left")
         .select("set_id", F.coalesce("component", "id").alias("component"))
     )
@@ -255,6 +287,29 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     )
 
 
+def classes_of(sets: DataFrame) -> DataFrame:
+    """set_id, id (the smallest doc_id), n, bands, sketch of each different set.
+
+    Copies are found on ids alone and left out; only if rows repeat a doc_id with the same set are
+    whole rows grouped.
+    """
+    named = sets.filter("n_shingles > 0 AND doc_id IS NOT NULL")
+    each = named.groupBy("set_id", "doc_id").agg(F.count(F.lit(1)).alias("_rows"))
+    copied = written(
+        each.groupBy("set_id")
+        .agg(F.min("doc_id").alias("_id"), F.count(F.lit(1)).alias("_docs"), F.max("_rows").alias("_rows"))
+        .filter("_docs > 1 OR _rows > 1"),
+        "copied",
+    )
+    columns = ["set_id", "doc_id", "n_shingles", "bands", "sketch"]
+    if copied.filter("_rows > 1").isEmpty():
+        copies = named.select("set_id", "doc_id").join(copied.select("set_id", "_id"), "set_id").filter("doc_id <> _id")
+        first = among(named.select(*columns), ["set_id", "doc_id"], written(copies.select("set_id", "doc_id"), "copies"), "left_anti")
+    else:
+        first = named.groupBy("set_id").agg(F.min("doc_id").alias("doc_id"), *(F.first(c).alias(c) for c in columns[2:]))
+    return first.withColumnsRenamed({"doc_id": "id", "n_shingles": "n"})
+
+
 def _repeated(sets: DataFrame) -> DataFrame:
     """Links between the classes of a doc_id that stands for several texts."""
     named = sets.filter("n_shingles > 0 AND doc_id IS NOT NULL")
