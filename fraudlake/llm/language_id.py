@@ -18,7 +18,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-SAMPLE_ROWS = 4000
+SAMPLE_ROWS = 2000
 DIMENSIONS = 4096
 UNDETERMINED = "und"
 
@@ -74,20 +74,23 @@ def features(text: str, dimensions: int = DIMENSIONS) -> np.ndarray | None:
     return (roots / np.linalg.norm(roots)).astype(np.float32)
 
 
-def fit_svm(x: np.ndarray, y: np.ndarray, cost: float = 10.0, epochs: int = 12) -> np.ndarray:
-    """Weights (the last one is the bias) of an L2-regularised squared-hinge SVM, by dual coordinate descent."""
-    x = np.hstack([x, np.ones((len(x), 1), dtype=np.float32)])
-    norms = np.einsum("ij,ij->i", x, x) + 0.5 / cost
-    alpha, weights = np.zeros(len(x)), np.zeros(x.shape[1])
+def fit_svm(x: np.ndarray, rows: np.ndarray, y: np.ndarray, cost: float = 10.0, epochs: int = 12) -> np.ndarray:
+    """Weights (the last one is the bias) of an L2-regularised squared-hinge SVM between rows of x, by
+    dual coordinate descent. y is 1 or -1 for each of rows; x, whose rows have length 1, is not copied."""
+    alpha, weights, bias = np.zeros(len(rows)), np.zeros(x.shape[1]), 0.0
+    norm, slack = 2.0 + 0.5 / cost, 0.5 / cost  # the bias counts as a component of 1
     order = np.random.default_rng(7)
     for _ in range(epochs):
-        for i in order.permutation(len(x)):
-            step = (y[i] * (x[i] @ weights) - 1 + alpha[i] * 0.5 / cost) / norms[i]
+        for i in order.permutation(len(rows)):
+            row = x[rows[i]]
+            step = (y[i] * (row @ weights + bias) - 1 + alpha[i] * slack) / norm
             new = max(alpha[i] - step, 0.0)
             if new != alpha[i]:
-                weights += (new - alpha[i]) * y[i] * x[i]
+                change = (new - alpha[i]) * y[i]
+                weights += change * row
+                bias += change
                 alpha[i] = new
-    return weights.astype(np.float32)
+    return np.append(weights, bias).astype(np.float32)
 
 
 @dataclass(frozen=True)
@@ -97,13 +100,14 @@ class OneVersusOne:
     weights: np.ndarray  # a row for each pair
 
     @staticmethod
-    def fit(x: np.ndarray, labels: np.ndarray) -> OneVersusOne:
+    def fit(x: np.ndarray, rows: np.ndarray, labels: np.ndarray) -> OneVersusOne:
+        """Between the labels of these rows of x."""
         classes = sorted(set(labels))
         pairs = list(combinations(range(len(classes)), 2))
         weights = np.zeros((len(pairs), x.shape[1] + 1), dtype=np.float32)
         for row, (a, b) in enumerate(pairs):
             of = (labels == classes[a]) | (labels == classes[b])
-            weights[row] = fit_svm(x[of], np.where(labels[of] == classes[a], 1.0, -1.0))
+            weights[row] = fit_svm(x, rows[of], np.where(labels[of] == classes[a], 1.0, -1.0))
         return OneVersusOne(classes, pairs, weights)
 
     def predict(self, x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -129,10 +133,9 @@ class Hierarchy:
 
     @staticmethod
     def fit(x: np.ndarray, labels: np.ndarray) -> Hierarchy:
-        kin = np.array([family(lang) for lang in labels], dtype=object)
-        return Hierarchy(
-            OneVersusOne.fit(x, kin), {f: OneVersusOne.fit(x[kin == f], labels[kin == f]) for f in sorted(set(kin))}
-        )
+        rows, kin = np.arange(len(x)), np.array([family(lang) for lang in labels], dtype=object)
+        within = {f: OneVersusOne.fit(x, rows[kin == f], labels[kin == f]) for f in sorted(set(kin))}
+        return Hierarchy(OneVersusOne.fit(x, rows, kin), within)
 
     def predict(self, x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         first, score = self.families.predict(x)
