@@ -85,7 +85,7 @@ def chosen_paths(messages: DataFrame, best: int | None = 1) -> DataFrame:
     on_path = paths.select("tree", F.col("node").alias("leaf"), "score", "node")
     for step in jumps:
         further = on_path.join(step, ["tree", "node"]).select("tree", "leaf", "score", F.col("up").alias("node"))
-        on_path = on_path.unionByName(further)
+        on_path = written(on_path.unionByName(further), "paths")  # else the plan would double in every step
     return (
         on_path.join(lengths.select("tree", "node", (F.col("length") - 1).alias("depth")), ["tree", "node"])
         .join(messages.select("tree", "node", "role", "text"), ["tree", "node"])
