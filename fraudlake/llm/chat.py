@@ -67,16 +67,15 @@ def chosen_paths(messages: DataFrame, best: int | None = 1) -> DataFrame:
         above = jump.select(
             "tree", F.col("node").alias("up"), F.col("up").alias("_up"), F.col("length").alias("_length"), F.col("total").alias("_total")
         )
-        jump = written(
-            jump.join(above, ["tree", "up"], "left").select(
-                "tree",
-                "node",
-                F.col("_up").alias("up"),
-                (F.col("length") + F.coalesce("_length", F.lit(0))).alias("length"),
-                (F.col("total") + F.coalesce("_total", F.lit(0.0))).alias("total"),
-            ),
-            "jumps",
+        moved = jump.filter("up IS NOT NULL").join(above, ["tree", "up"], "left")
+        further = moved.select(
+            "tree",
+            "node",
+            F.col("_up").alias("up"),
+            (F.col("length") + F.coalesce("_length", F.lit(0))).alias("length"),
+            (F.col("total") + F.coalesce("_total", F.lit(0.0))).alias("total"),
         )
+        jump = written(further.unionByName(jump.filter("up IS NULL")), "jumps")  # what has reached its root rests
     lengths = jump.filter("up IS NULL").select("tree", "node", "length", (F.col("total") / F.col("length")).alias("score"))
     paths = leaves.join(lengths, ["tree", "node"])
     if best is not None:
