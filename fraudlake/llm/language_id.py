@@ -2,12 +2,13 @@
 
 Features are hashed character n-grams (1 to 3) of the whole lower-cased text, letters only. Both
 levels use the same machine: a linear SVM for every pair of classes, by votes, ties by margin.
-The SVMs are fitted on the driver from a sample of at most SAMPLE_ROWS labelled rows, whatever the
-size of the corpus; features and predictions are made in tasks.
+The SVMs are fitted in one task from a sample of at most SAMPLE_ROWS labelled rows, whatever the size
+of the corpus; the driver sees only the weights. Features and predictions are made in tasks as well.
 """
 
 from __future__ import annotations
 
+import pickle
 import re
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -181,18 +182,23 @@ def fit(docs: DataFrame, sample_rows: int = SAMPLE_ROWS, dimensions: int = DIMEN
                 {"doc_id": batch["doc_id"], "lang": batch["lang"], "x": [None if v is None else v.tobytes() for v in made]}
             ).dropna(subset=["x"])
 
+    def trained(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        rows = [b for b in batches if len(b)]
+        if rows:
+            sample = pd.concat(rows, ignore_index=True).sort_values(["lang", "doc_id"])
+            x = np.frombuffer(b"".join(sample["x"]), dtype=np.float32).reshape(len(sample), dimensions)
+            yield pd.DataFrame({"model": [pickle.dumps(Hierarchy.fit(x, sample["lang"].to_numpy()))]})
+
     kind = docs.schema["doc_id"].dataType.simpleString()
-    sample = (
+    found = (
         docs.join(F.broadcast(chosen), "doc_id")  # at most sample_rows ids
         .mapInPandas(vectors, f"doc_id {kind}, lang string, x binary")
         .dropDuplicates(["doc_id"])
-        .toPandas()
-        .sort_values(["lang", "doc_id"])
+        .repartition(1)  # at most sample_rows rows
+        .mapInPandas(trained, "model binary")
+        .collect()
     )
-    if not len(sample):
-        return None
-    x = np.frombuffer(b"".join(sample["x"]), dtype=np.float32).reshape(len(sample), dimensions)
-    return Hierarchy.fit(x, sample["lang"].to_numpy())
+    return pickle.loads(found[0]["model"]) if found else None
 
 
 def predict(docs: DataFrame, model: Hierarchy | None, out: str, dimensions: int = DIMENSIONS) -> DataFrame:
