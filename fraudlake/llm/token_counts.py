@@ -13,7 +13,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from fraudlake.llm.common import whole_text
+from fraudlake.llm.common import whole_text, written
 from fraudlake.llm.tokens import RANKS, token_count
 
 LENGTHS_PER_BLOCK = 4096
@@ -37,7 +37,10 @@ def length_histogram(lengths: DataFrame) -> DataFrame:
 
 def context_limits(histogram: DataFrame) -> DataFrame:
     """For every length that occurs, as a limit: documents and tokens of that length, those longer,
-    tokens kept when longer ones are cut to the limit, and the share of documents that fit whole."""
+    tokens kept when longer ones are cut to the limit, and the share of documents that fit whole.
+
+    The histogram is read twice and should be a written table.
+    """
     blocks = histogram.withColumn("_block", F.floor(F.col("n_tokens") / LENGTHS_PER_BLOCK)).withColumn(
         "_tokens", F.col("n_docs") * F.col("n_tokens")
     )
@@ -85,5 +88,5 @@ def quantiles(limits: DataFrame, shares: list[float]) -> DataFrame:
 
 
 def token_count_query(docs: DataFrame) -> DataFrame:
-    """context_limits over every row of docs; no row for an empty table."""
-    return context_limits(length_histogram(token_lengths(docs)))
+    """context_limits over every row of docs; no row for an empty table. Texts are encoded once."""
+    return context_limits(written(length_histogram(token_lengths(docs)), "histogram"))
