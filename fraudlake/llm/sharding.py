@@ -1,17 +1,24 @@
 """Byte-balanced shards of indivisible groups by Karmarkar-Karp differencing.
 
 Differencing takes the two partial partitions with the largest spread and joins them in opposite
-order. Groups of equal texts are dealt by hash into buckets of bounded size; each bucket is
-differenced in a task and leaves one partial partition, and these are differenced again, level by
-level, until one is left. No task or driver holds more than one bucket.
+order. It runs over groups of equal texts in three steps, each in tasks of bounded size:
+
+1. Groups heavier than total / (shards * BUCKET_ROWS), fewer than shards * BUCKET_ROWS of them, are
+   differenced in one task.
+2. The others are dealt by bit length of their weight and by hash into buckets of about BUCKET_ROWS.
+   Each is differenced with one node more, its share (by weight) of what the heavy groups put into
+   each shard, so that it fills the gaps that these leave.
+3. Up to about shards * BUCKET_ROWS light groups, as many of each bit length, are kept back and
+   differenced last, with the shards' sums as they then are. They even out what the buckets left.
 """
 
 from __future__ import annotations
 
 import heapq
+from collections.abc import Callable
 
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from fraudlake.llm.common import numbered, written
@@ -55,38 +62,61 @@ def differenced(nodes: list[list[int]]) -> list[list[int]]:
     return out
 
 
-def _level(parts: DataFrame, node_type: str, shards: int) -> DataFrame:
-    """parts (parent, node, part, weight) with to: the subset of the parent that the part goes to."""
+def _filled(start: Callable[[int], list[int]]) -> Callable[[pd.DataFrame], pd.DataFrame]:
+    """Differences the groups of a bucket with one node more: what lies in each shard already, start(bucket's weight)."""
 
     def bucket(rows: pd.DataFrame) -> pd.DataFrame:
-        rows = rows.sort_values(["node", "part"], ignore_index=True)
-        place = rows["node"].ne(rows["node"].shift()).cumsum() - 1
-        weights = [[0] * shards for _ in range(int(place.iat[-1]) + 1)]
-        for n, p, w in zip(place, rows["part"], rows["weight"], strict=True):
-            weights[n][p] = int(w)
-        to = differenced(weights)
-        rows["to"] = [to[n][p] for n, p in zip(place, rows["part"], strict=True)]
-        return rows[["parent", "node", "part", "weight", "to"]]
+        rows = rows.sort_values("group", ignore_index=True)
+        weights = [int(w) for w in rows["weight"]]
+        there = start(sum(weights))
+        turn = int(rows["bucket"].iat[0]) % len(there)  # ties between shards fall differently in each bucket
+        *to, shard_of = differenced([[w, *[0] * (len(there) - 1)] for w in weights] + [there[turn:] + there[:turn]])
+        shard_at = {subset: (p + turn) % len(there) for p, subset in enumerate(shard_of)}
+        rows["shard"] = [shard_at[subsets[0]] for subsets in to]
+        return rows[["group", "weight", "shard"]]
 
-    return parts.groupBy("parent").applyInPandas(bucket, f"parent bigint, node {node_type}, part int, weight bigint, to int")
+    return bucket
 
 
 def shards_of(groups: DataFrame, shards: int = SHARDS, bucket_rows: int = BUCKET_ROWS) -> DataFrame:
     """group, shard for groups (group: binary and distinct, weight; a written table)."""
-    buckets = -(-groups.count() // bucket_rows) or 1
-    first = groups.select(
-        F.pmod(F.xxhash64("group"), F.lit(buckets)).alias("parent"), F.col("group").alias("node"), F.lit(0).alias("part"), "weight"
+    most = shards * bucket_rows
+    total = groups.agg(F.sum("weight")).first()[0] or 0
+    is_heavy = F.col("weight") > total // most  # fewer than most groups can be
+
+    def placed(rows: DataFrame, keys: list[str], start: Callable[[int], list[int]]) -> tuple[DataFrame, list[int]]:
+        found = rows.groupBy(*keys).applyInPandas(_filled(start), "group binary, weight bigint, shard int")
+        found = written(found, "dealt")
+        sums = {r["shard"]: r["weight"] for r in found.groupBy("shard").agg(F.sum("weight").alias("weight")).collect()}
+        return found.select("group", "shard"), [sums.get(k, 0) for k in range(shards)]
+
+    heavy, heavy_sums = placed(
+        groups.filter(is_heavy).select("group", "weight", F.lit(0).alias("bucket")), ["bucket"], lambda _: [0] * shards
     )
-    dealt = written(_level(first, "binary", shards), "dealt")
-    result = dealt.select(F.col("node").alias("group"), F.col("parent").alias("_node"), F.col("to").alias("_part"))
-    while buckets > 1:
-        buckets = -(-buckets * shards // bucket_rows)
-        sums = dealt.groupBy(F.col("parent").alias("node"), F.col("to").alias("part")).agg(F.sum("weight").alias("weight"))
-        parts = sums.select(F.pmod("node", F.lit(buckets)).alias("parent"), "node", "part", "weight")
-        dealt = written(_level(parts, "bigint", shards), "dealt")
-        step = dealt.select(F.col("node").alias("_node"), F.col("part").alias("_part"), F.col("parent").alias("_up"), F.col("to").alias("_to"))
-        result = result.join(step, ["_node", "_part"]).select("group", F.col("_up").alias("_node"), F.col("_to").alias("_part"))
-    return result.select("group", F.col("_part").alias("shard"))
+    light = groups.filter(~is_heavy).withColumn("class", F.length(F.bin("weight")))
+    counts = {r["class"]: r["count"] for r in light.groupBy("class").count().collect()}  # at most 64 rows
+    if not counts:
+        return heavy
+    last = max(most // len(counts), 1)  # groups of each class that the last task has
+
+    def by_class(rows: int) -> Column:
+        parts = F.create_map(*(F.lit(x) for c, n in counts.items() for x in (c, -(-n // rows))))
+        return parts[F.col("class")]
+
+    light = light.select(
+        "group",
+        "weight",
+        "class",
+        F.pmod(F.xxhash64("group"), by_class(bucket_rows)).alias("bucket"),
+        (F.pmod(F.xxhash64("group", F.lit("last")), by_class(last)) == 0).alias("last"),
+    )
+    light_weight = total - sum(heavy_sums)
+    middle, sums = placed(
+        light.filter("NOT last"), ["class", "bucket"], lambda weight: [h * weight // light_weight for h in heavy_sums]
+    )
+    sums = [h + s for h, s in zip(heavy_sums, sums, strict=True)]
+    rest, _ = placed(light.filter("last").select("group", "weight", F.lit(0).alias("bucket")), ["bucket"], lambda _: sums)
+    return heavy.unionByName(middle).unionByName(rest)
 
 
 def shard(docs: DataFrame, shards: int = SHARDS) -> DataFrame:

@@ -67,6 +67,26 @@ def test_levels_of_buckets(spark, monkeypatch):
     assert max(sums.values()) - min(sums.values()) < 200
 
 
+@pytest.mark.parametrize("share", [0.05, 0.1, 0.33])
+def test_light_groups_of_many_buckets_fill_the_gaps_of_a_heavy_one(spark, share):
+    rng = random.Random(7)
+    light = [(k.to_bytes(2, "big"), rng.randrange(1, 10_000)) for k in range(3000)]
+    heavy = int(sum(w for _, w in light) * share / (1 - share))
+    weights = [*light, (b"heavy", heavy)]
+    plain = [0] * 8
+    for (_, w), (subset, *_) in zip(weights, differenced([[w, *[0] * 7] for _, w in weights]), strict=True):
+        plain[subset] += w
+    groups = written(spark.createDataFrame(weights, "group binary, weight long"), "groups")
+    rows = shards_of(groups, 8, 32).collect()
+    assert len({bytes(r["group"]) for r in rows}) == len(rows) == len(weights)
+    sums = [0] * 8
+    weight = dict(weights)
+    for r in rows:
+        sums[r["shard"]] += weight[bytes(r["group"])]
+    assert max(sums) - max(plain) < 200
+    assert min(plain) - min(sums) < 200
+
+
 def test_a_heavy_group_stays_whole(spark):
     rows = [(k, "the same text for a third of them" if k % 3 == 0 else f"text {k}") for k in range(900)]
     check(shard(spark.createDataFrame(rows, "doc_id long, text string")).collect(), [t for _, t in rows])
