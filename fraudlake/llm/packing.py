@@ -24,18 +24,18 @@ END_ID = 0
 BROADCAST_RUNS = 100_000
 
 
-def pieces(docs: DataFrame, capacity: int = CAPACITY, ranks_path: str = RANKS) -> DataFrame:
+def pieces(docs: DataFrame, capacity: int = CAPACITY, ranks_path: str = RANKS, added: bool = False) -> DataFrame:
     """doc_id, piece, start, length, ids (little-endian unsigned 32-bit) of every document.
 
     A document is its text's ids, then END_ID; null text is empty text, so it is END_ID alone.
-    Only documents of more than capacity ids are cut; then the first piece is the shorter one.
+    added: as in `tokens`. Only documents of more than capacity ids are cut; then the first piece is the shorter one.
     """
 
     def cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             rows = []
             for doc_id, text in zip(batch["doc_id"], batch["text"], strict=True):
-                ids = np.append(token_ids(text, ranks_path), np.uint32(END_ID)).astype("<u4")
+                ids = np.append(token_ids(text, ranks_path, added), np.uint32(END_ID)).astype("<u4")
                 first = len(ids) % capacity or capacity
                 bounds = [0, *range(first, len(ids) + 1, capacity)]
                 rows += [
@@ -144,21 +144,21 @@ def pack(cut: DataFrame, capacity: int = CAPACITY) -> DataFrame:
     )
 
 
-def place(docs: DataFrame, capacity: int = CAPACITY, ranks_path: str = RANKS) -> DataFrame:
+def place(docs: DataFrame, capacity: int = CAPACITY, ranks_path: str = RANKS, added: bool = False) -> DataFrame:
     """doc_id, piece, start, length, ids_crc32, sequence_id, offset of every piece of docs.
 
     Every row of docs is packed, repeated rows as often as they stand there; other columns are not read.
     """
-    cut = pieces(docs, capacity, ranks_path).withColumn("ids_crc32", F.crc32("ids")).drop("ids")
+    cut = pieces(docs, capacity, ranks_path, added).withColumn("ids_crc32", F.crc32("ids")).drop("ids")
     return pack(written(cut, "pieces"), capacity)
 
 
-def sequences(docs: DataFrame, placed: DataFrame, capacity: int = CAPACITY, ranks_path: str = RANKS) -> DataFrame:
+def sequences(docs: DataFrame, placed: DataFrame, capacity: int = CAPACITY, ranks_path: str = RANKS, added: bool = False) -> DataFrame:
     """sequence_id and ids (array) of every packed sequence, at most capacity ids in each.
 
     doc_id must tell the rows of docs apart here.
     """
-    cut = pieces(docs, capacity, ranks_path).select("doc_id", "piece", "ids")
+    cut = pieces(docs, capacity, ranks_path, added).select("doc_id", "piece", "ids")
     return (
         placed.select("doc_id", "piece", "sequence_id", "offset")
         .join(cut, ["doc_id", "piece"])

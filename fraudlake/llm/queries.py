@@ -17,9 +17,9 @@ from fraudlake.llm.token_counts import token_count_query
 from fraudlake.llm.vector_search import SEARCH_SQL, search_query
 
 
-def _over_documents(operator):
+def _over_documents(operator, **options):
     def query(spark: SparkSession, sf_dir: str) -> DataFrame:
-        return operator(table(spark, sf_dir, "documents"))
+        return operator(table(spark, sf_dir, "documents"), **options)
 
     return query
 
@@ -31,11 +31,11 @@ def _leaks(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_language_id": _over_documents(language_query),
     "op2_chat_formatting": chat_query,
-    "op3_best_fit_packing": _over_documents(place),
+    "op3_best_fit_packing": _over_documents(place, added=True),
     "op4_license_scan": _over_documents(license_query),
     "op5_minhash_near_dedup": _over_documents(near_duplicates),
     "op6_pii": _over_documents(pii_query),
-    "op7_token_counts": _over_documents(token_count_query),
+    "op7_token_counts": _over_documents(token_count_query, added=True),
     "op8_exact_top_k": search_query,
     "op9_benchmark_decontamination": _leaks,
     "op10_sharding": _over_documents(sharding_query),

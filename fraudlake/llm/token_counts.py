@@ -19,13 +19,13 @@ from fraudlake.llm.tokens import RANKS, token_count
 LENGTHS_PER_BLOCK = 4096
 
 
-def token_lengths(docs: DataFrame, ranks_path: str = RANKS) -> DataFrame:
+def token_lengths(docs: DataFrame, ranks_path: str = RANKS, added: bool = False) -> DataFrame:
     """n_tokens of every row; null text has none."""
 
     @F.pandas_udf("bigint")
     def count(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         for texts in batches:
-            yield pd.Series([token_count(t, ranks_path) for t in texts], dtype="int64")
+            yield pd.Series([token_count(t, ranks_path, added) for t in texts], dtype="int64")
 
     return docs.select(count(whole_text()).alias("n_tokens"))
 
@@ -87,6 +87,6 @@ def quantiles(limits: DataFrame, shares: list[float]) -> DataFrame:
     )
 
 
-def token_count_query(docs: DataFrame) -> DataFrame:
+def token_count_query(docs: DataFrame, added: bool = False) -> DataFrame:
     """context_limits over every row of docs; no row for an empty table. Texts are encoded once."""
-    return context_limits(written(length_histogram(token_lengths(docs)), "histogram"))
+    return context_limits(written(length_histogram(token_lengths(docs, added=added)), "histogram"))

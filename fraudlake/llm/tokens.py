@@ -1,14 +1,16 @@
 """Token ids of the byte-level vocabulary, the same as by the tokenizers library.
 
 Encoding uses the vocabulary's file of ranks with tiktoken, which gives the ids of the JSON file
-several times faster; the tests hold the two against each other. Strings of special tokens inside
-a text are ordinary text.
+several times faster; the tests hold the two against each other. With
+`added`, the JSON file's added token END_OF_TEXT is matched inside a text before anything else, as
+that library does by default; without, it is ordinary text (the library's encode_special_tokens).
 """
 
 from __future__ import annotations
 
 import base64
 import functools
+from collections.abc import Iterator
 
 import numpy as np
 import public_tokenizers
@@ -16,6 +18,8 @@ import tiktoken
 
 RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
 PART_CHARS = 1 << 16
+END_OF_TEXT = "<|endoftext|>"
+END_OF_TEXT_ID = 50256
 
 
 @functools.cache
@@ -46,13 +50,21 @@ def parts(text: str, size: int = PART_CHARS):
     yield text[start:]
 
 
-def token_ids(text: str, ranks_path: str = RANKS) -> np.ndarray:
-    """Ids of the whole text as unsigned 32-bit integers; memory beyond the ids is that of one part."""
+def _encoded(text: str, ranks_path: str, added: bool) -> Iterator[list[int]]:
+    """The ids of one part after the other."""
     encode = encoder(ranks_path).encode_ordinary
-    found = [np.array(encode(part), dtype=np.uint32) for part in parts(text)]
+    for k, between in enumerate(text.split(END_OF_TEXT) if added else [text]):
+        if k:
+            yield [END_OF_TEXT_ID]
+        for part in parts(between):
+            yield encode(part)
+
+
+def token_ids(text: str, ranks_path: str = RANKS, added: bool = False) -> np.ndarray:
+    """Ids of the whole text as unsigned 32-bit integers; memory beyond the ids is that of one part."""
+    found = [np.array(ids, dtype=np.uint32) for ids in _encoded(text, ranks_path, added)]
     return found[0] if len(found) == 1 else np.concatenate(found)
 
 
-def token_count(text: str, ranks_path: str = RANKS) -> int:
-    encode = encoder(ranks_path).encode_ordinary
-    return sum(len(encode(part)) for part in parts(text))
+def token_count(text: str, ranks_path: str = RANKS, added: bool = False) -> int:
+    return sum(map(len, _encoded(text, ranks_path, added)))

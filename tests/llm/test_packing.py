@@ -7,7 +7,9 @@ import public_tokenizers
 import pytest
 from tokenizers import Tokenizer
 
+import corpus_pipeline
 from fraudlake.llm.packing import CAPACITY, OpenBins, best_fit_runs, place, sequences
+from fraudlake.llm.queries import QUERIES
 from fraudlake.llm.token_counts import context_limits, length_histogram, quantiles, token_count_query
 from fraudlake.llm.tokens import parts, token_count, token_ids
 from tests.llm import cases
@@ -154,3 +156,22 @@ def test_quantiles(spark):
     lengths = spark.createDataFrame([(n,) for n in [1, 2, 2, 3, 10_000]], "n_tokens long")
     found = quantiles(context_limits(length_histogram(lengths)), [0.2, 0.5, 0.9, 1.0]).collect()
     assert {(r["share"], r["n_tokens"]) for r in found} == {(0.2, 1), (0.5, 2), (0.9, 10_000), (1.0, 10_000)}
+
+
+def test_queries_match_the_added_token_as_the_library_does_by_default(spark, tmp_path):
+    tokenizer = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+
+    def by_default(text):
+        return tokenizer.encode(text, add_special_tokens=False).ids
+
+    assert by_default("a<|endoftext|>b") == [64, 50256, 65]
+    texts = ["a<|endoftext|>b", "<|endoftext|>", "x  <|endoftext|><|endoftext|>\n\n y", "<|<|endoftext|>", "word <|endoftext|> " * 2000, "plain", None]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    docs.write.parquet(f"{tmp_path}/documents.parquet")
+    want = expected_pieces(list(enumerate(texts)), by_default)
+    check_places(QUERIES["op3_best_fit_packing"](spark, str(tmp_path)).collect(), want)
+    check_places(corpus_pipeline.packing(spark, docs, str(tmp_path)).collect(), want)
+    rows = QUERIES["op7_token_counts"](spark, str(tmp_path)).collect()
+    assert {r["n_tokens"]: r["n_docs"] for r in rows} == dict(Counter(len(by_default(t or "")) for t in texts))
+    made = sequences(docs, place(docs, added=True), added=True).collect()
+    assert sum(len(r["ids"]) // 4 for r in made) == sum(len(by_default(t or "")) + 1 for t in texts)
