@@ -5,7 +5,8 @@
    densification). The first 256 bins make 64 bands of four, the bucket keys: at a similarity of
    0.75 two documents share none of them with a probability of about 3e-11. All bins, four bits of
    each, make a sketch that estimates similarity.
-2. Documents with equal shingle sets are one class, with the smallest doc_id for all of it.
+2. Documents with equal shingle sets are one class, known by a 64-bit hash of the set, so that a
+   doc_id may stand for several texts. Doc_ids come back in only as the components' labels.
 3. In each bucket a star joins the smallest member with all others, one candidate per member. Stars
    are confirmed on the full sets and give components.
 4. A bucket whose members are still in several components has pairs that no star compared. They are
@@ -154,13 +155,32 @@ def among(df: DataFrame, columns: list[str], ids: DataFrame, how: str = "left_se
     return df.join(F.broadcast(ids) if ids.count() <= BROADCAST_IDS else ids, columns, how)
 
 
-def confirmed(pairs: DataFrame, docs: DataFrame) -> DataFrame:
-    """The pairs (a, b) whose full shingle sets reach the threshold; texts meet by doc_id."""
-    wanted = written(pairs.select(F.col("a").alias("doc_id")).union(pairs.select("b")).distinct(), "wanted")
+def class_id() -> Column:
+    return F.xxhash64("set_id")
+
+
+def with_sets(docs: DataFrame) -> DataFrame:
+    """set_id, text of every row of docs (doc_id, text) whose text has words."""
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        words = WordHashes()
+        for batch in batches:
+            sets = [shingles(text, words) for text in batch["text"]]
+            ids = [xxhash.xxh3_128_digest(hashes) if len(hashes) else None for hashes in sets]
+            yield pd.DataFrame({"set_id": ids, "text": batch["text"]}).dropna(subset=["set_id"])
+
+    return docs.select("doc_id", "text").mapInPandas(run, "set_id binary, text string")
+
+
+def confirmed(pairs: DataFrame, docs: DataFrame, classes: DataFrame) -> DataFrame:
+    """The pairs (a, b) of classes (id, doc_id; written) whose full shingle sets reach the threshold."""
+    wanted = written(pairs.select(F.col("a").alias("id")).union(pairs.select("b")).distinct(), "wanted")
+    named = written(among(classes.select("id", "doc_id"), ["id"], wanted).select("doc_id").distinct(), "named")
+    rows = among(docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")), ["doc_id"], named)
     texts = written(
-        among(docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")), ["doc_id"], wanted)
-        .groupBy("doc_id")
-        .agg(F.first("text").alias("text")),
+        among(with_sets(rows).select(class_id().alias("id"), "text"), ["id"], wanted)
+        .groupBy("id")
+        .agg(F.first("text").alias("text")),  # all texts of a class have the same set
         "texts",
     )
 
@@ -172,8 +192,8 @@ def confirmed(pairs: DataFrame, docs: DataFrame) -> DataFrame:
 
     return (
         pairs.select("a", "b")
-        .join(texts.select(F.col("doc_id").alias("a"), F.col("text").alias("_left")), "a")
-        .join(texts.select(F.col("doc_id").alias("b"), F.col("text").alias("_right")), "b")
+        .join(texts.select(F.col("id").alias("a"), F.col("text").alias("_left")), "a")
+        .join(texts.select(F.col("id").alias("b"), F.col("text").alias("_right")), "b")
         .filter(linked("_left", "_right"))
         .select("a", "b")
     )
@@ -215,7 +235,7 @@ def _across(block: pd.DataFrame) -> pd.DataFrame | None:
 
 
 def links(classes: DataFrame, docs: DataFrame) -> DataFrame:
-    """Links (a, b) that connect exactly the classes (id, n, bands, sketch) that belong together."""
+    """Links (a, b) that connect exactly the classes (id, doc_id, n, bands, sketch) that belong together."""
     spread = classes.select("id", F.explode("bands").alias("bucket"))
     centres = spread.groupBy("bucket").agg(F.min("id").alias("centre"), F.count(F.lit(1)).alias("members")).filter("members > 1")
     members = written(spread.join(centres, "bucket"), "buckets")
@@ -229,7 +249,7 @@ def links(classes: DataFrame, docs: DataFrame) -> DataFrame:
         .filter(may_be_similar(F.col("_a"), F.col("_b")))
         .select("a", "b")
     )
-    first = written(confirmed(written(near, "stars"), docs), "links")
+    first = written(confirmed(written(near, "stars"), docs, classes), "links")
     labels = component_labels(first)
 
     placed = members.join(labels, "id", "left").withColumn("component", F.coalesce("component", "id"))
@@ -260,7 +280,7 @@ def links(classes: DataFrame, docs: DataFrame) -> DataFrame:
     rest = written(across.join(stars, ["a", "b"], "left_anti"), "rest")
     if rest.isEmpty():
         return first
-    return first.unionByName(written(confirmed(rest, docs), "links"))
+    return first.unionByName(written(confirmed(rest, docs, classes), "links"))
 
 
 def near_duplicates(docs: DataFrame) -> DataFrame:
@@ -274,11 +294,12 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     sets = written(sketched(docs), "sets")
     classes = classes_of(sets)
     labels = component_labels(links(classes, docs).unionByName(_repeated(sets)))
-    # only classes of several documents, or linked ones, differ from the document itself
+    narrow = classes.select("set_id", "id", F.col("doc_id").alias("_smallest"))
+    linked = written(narrow.join(labels, "id").select("set_id", "_smallest", "component"), "linked")
+    label = linked.groupBy("component").agg(F.min("_smallest").alias("_label"))
     roots = (
-        classes.select("set_id", "id")  # narrow
-        .join(labels, "id", "left")
-        .select("set_id", F.coalesce("component", "id").alias("component"))
+        narrow.join(linked.join(label, "component").select("set_id", "_label"), "set_id", "left")
+        .select("set_id", F.coalesce("_label", "_smallest").alias("component"))
     )
     found = sets.select("doc_id", "n_shingles", F.when(F.col("doc_id").isNotNull() & (F.col("n_shingles") > 0), F.col("set_id")).alias("set_id"))
     component = F.coalesce("component", "doc_id")
@@ -288,7 +309,7 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
 
 
 def classes_of(sets: DataFrame) -> DataFrame:
-    """set_id, id (the smallest doc_id), n, bands, sketch of each different set.
+    """set_id, id (its hash), doc_id (the smallest), n, bands, sketch of each different set.
 
     Copies are found on ids alone and left out; only if rows repeat a doc_id with the same set are
     whole rows grouped.
@@ -307,20 +328,11 @@ def classes_of(sets: DataFrame) -> DataFrame:
         first = among(named.select(*columns), ["set_id", "doc_id"], written(copies.select("set_id", "doc_id"), "copies"), "left_anti")
     else:
         first = named.groupBy("set_id").agg(F.min("doc_id").alias("doc_id"), *(F.first(c).alias(c) for c in columns[2:]))
-    return first.withColumnsRenamed({"doc_id": "id", "n_shingles": "n"})
+    return first.withColumnRenamed("n_shingles", "n").withColumn("id", class_id())
 
 
 def _repeated(sets: DataFrame) -> DataFrame:
     """Links between the classes of a doc_id that stands for several texts."""
-    named = sets.filter("n_shingles > 0 AND doc_id IS NOT NULL")
-    smallest = named.groupBy("set_id").agg(F.min("doc_id").alias("id"))
-    several = named.groupBy("doc_id").agg(F.count_distinct("set_id").alias("_sets")).filter("_sets > 1").select("doc_id")
-    return (
-        named.join(several, "doc_id", "left_semi")
-        .select("doc_id", "set_id")
-        .join(smallest, "set_id")
-        .filter("id <> doc_id")
-        .select(F.col("id").alias("a"), F.col("doc_id").alias("b"))
-    )
-
-
+    named = sets.filter("n_shingles > 0 AND doc_id IS NOT NULL").select("doc_id", class_id().alias("b"))
+    several = named.groupBy("doc_id").agg(F.min("b").alias("a"), F.max("b").alias("_last")).filter("a <> _last").drop("_last")
+    return named.join(several, "doc_id").filter("a <> b").select("a", "b").distinct()

@@ -102,6 +102,22 @@ def test_odd_rows(spark):
     assert near_duplicates(cases.empty(spark)).collect() == []
 
 
+def test_a_doc_id_of_several_texts_is_linked_by_each_of_them(spark):
+    texts = [" ".join(f"t{k}w{i}" for i in range(40)) for k in range(12)]
+    rows = [(5, text) for text in texts] + [(5, None), (5, "")]
+    rows += [(100 + k, text + " more") for k, text in enumerate(texts)]  # a near copy of each
+    rows += [(3, texts[4] + " and more"), (200, "something else that nobody else has said so far")]
+    got = near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert len(got) == len(rows)
+    want = {d: 3 for d in [3, 5, *range(100, 112)]} | {200: 200}
+    labels = {}
+    for r in got:
+        if r["n_shingles"]:
+            labels.setdefault(r["doc_id"], set()).add(r["component_id"])
+            assert r["kept"] == (r["doc_id"] == want[r["doc_id"]])
+    assert labels == {d: {c} for d, c in want.items()}
+
+
 def test_a_group_of_copies(spark):
     docs = spark.range(5000).select(
         F.col("id").alias("doc_id"), F.when(F.col("id") % 3 == 0, "one and the same text for all of us").otherwise(F.concat(F.lit("t "), "id")).alias("text")
