@@ -9,16 +9,22 @@ from pyspark.sql import functions as F
 
 from fraudlake.llm.common import fresh, table, written
 from fraudlake.llm.decontaminate import clean
-from fraudlake.llm.language_id import UNDETERMINED, fit, predict
+from fraudlake.llm.language_id import UNDETERMINED, fit, has_letter, predict
 from fraudlake.llm.near_dedup import near_duplicates
 from fraudlake.llm.packing import place
 from fraudlake.llm.pii import mask
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents whose language can be told; null text and text without a letter go."""
+    """Documents whose language can be told; null text and text without a letter go.
+
+    If no row is labelled and trainable there is no model: all documents with a letter stay.
+    """
+    model = fit(docs)
+    if model is None:
+        return docs.filter(has_letter(F.col("text").cast("string")))
     found = fresh(docs, "_found")
-    return predict(docs, fit(docs), found).filter(F.col(f"{found}.lang") != UNDETERMINED).drop(found)
+    return predict(docs, model, found).filter(F.col(f"{found}.lang") != UNDETERMINED).drop(found)
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -151,6 +151,16 @@ class Hierarchy:
         return langs, score
 
 
+def has_letter(text: Column) -> Column:
+    """Whether features() finds a letter; false for null."""
+
+    @F.pandas_udf("boolean")
+    def found(texts: pd.Series) -> pd.Series:
+        return pd.Series([t is not None and bool(_NOT_LETTERS.sub("", t)) for t in texts], dtype=bool)
+
+    return found(text)
+
+
 def held_out() -> Column:
     """crc32 of doc_id as text, modulo 5, is 0; rows without doc_id are held out too."""
     return F.coalesce(F.crc32(F.col("doc_id").cast("string").cast("binary")) % 5 == 0, F.lit(True))

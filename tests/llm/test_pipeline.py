@@ -2,6 +2,8 @@
 
 import re
 
+from pyspark.sql import functions as F
+
 import corpus_pipeline
 from fraudlake.llm.packing import place
 from tests.llm import cases
@@ -73,3 +75,10 @@ def test_odd_rows_and_empty_tables(spark):
         else:
             assert len(ids) == len(cases.ROWS)
     assert corpus_pipeline.packing(spark, cases.empty(spark), SMALL).collect() == []
+
+
+def test_unlabelled_documents_with_letters_stay(spark):
+    docs = cases.documents(spark).withColumn("lang", F.lit(None).cast("string"))
+    out = dict(corpus_pipeline.STAGES)["language_id"](spark, docs, SMALL)
+    assert out.columns == docs.columns
+    assert sorted(r["doc_id"] or 0 for r in out.collect()) == [0, 1, 1, 6, 7, 8, 9, 10]
