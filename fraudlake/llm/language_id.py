@@ -19,7 +19,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-SAMPLE_ROWS = 2000
+SAMPLE_ROWS = 4000
 DIMENSIONS = 4096
 UNDETERMINED = "und"
 

@@ -1,3 +1,4 @@
+import inspect
 import zlib
 
 import numpy as np
@@ -61,3 +62,7 @@ def test_families_come_first():
     assert model.languages["romance"].classes == ["es", "fr"]
     assert model.families.weights.shape == (1, DIMENSIONS + 1)
     assert model.predict(np.stack([features("les et avec et")]))[0].tolist() == ["fr"]
+
+
+def test_the_sample_is_not_halved():
+    assert inspect.signature(fit).parameters["sample_rows"].default == 4000
