@@ -8,21 +8,13 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from fraudlake.session import scratch_dir
+from fraudlake.session import written as written
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
-def written(df: DataFrame, label: str) -> DataFrame:
-    """df as a table in the shared folder: lineage ends here, and lost executors lose none of it."""
-    spark = df.sparkSession
-    path = scratch_dir(spark, label)
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
-
-
 def fresh(df: DataFrame, name: str) -> str:
     """A column name that df does not have, whatever its own columns are called."""
     taken = {c.lower() for c in df.columns}

@@ -5,10 +5,13 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from fraudlake.llm.chat import CHAT_SQL, chat_query
+from fraudlake.llm.collocations import COLLOCATION_SQL, collocation_query
 from fraudlake.llm.common import table
+from fraudlake.llm.compression_quality import quality_query
 from fraudlake.llm.decontaminate import leaks
 from fraudlake.llm.language_id import language_query
 from fraudlake.llm.license_scan import license_query
+from fraudlake.llm.merkle import MANIFEST_SQL, manifest_query
 from fraudlake.llm.near_dedup import near_duplicates
 from fraudlake.llm.packing import place
 from fraudlake.llm.pii import pii_query
@@ -28,6 +31,10 @@ def _leaks(spark: SparkSession, sf_dir: str) -> DataFrame:
     return leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def _quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_query(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 QUERIES = {
     "op1_language_id": _over_documents(language_query),
     "op2_chat_formatting": chat_query,
@@ -39,9 +46,14 @@ QUERIES = {
     "op8_exact_top_k": search_query,
     "op9_benchmark_decontamination": _leaks,
     "op10_sharding": _over_documents(sharding_query),
+    "op11_merkle_manifest": _over_documents(manifest_query),
+    "op12_collocations": _over_documents(collocation_query),
+    "op13_compression_quality": _quality,
 }
 
 ORACLES = {
     "op2_chat_formatting": CHAT_SQL,
     "op8_exact_top_k": SEARCH_SQL,
+    "op11_merkle_manifest": MANIFEST_SQL,
+    "op12_collocations": COLLOCATION_SQL,
 }
