@@ -19,6 +19,8 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from fraudlake.llm.common import written
+
 SAMPLE_ROWS = 4000
 DIMENSIONS = 4096
 UNDETERMINED = "und"
@@ -41,7 +43,9 @@ FAMILIES = {
 }
 FAMILY_OF = {code: family for family, codes in FAMILIES.items() for code in codes.split()}
 
-_NOT_LETTERS = re.compile(r"[\W\d_]+")
+# \w also has numerals that are neither letters nor digits, such as fractions and Roman ones
+_NUMERALS = "".join(c for c in map(chr, range(0x110000)) if c.isnumeric() and not c.isalpha())
+_NOT_LETTERS = re.compile(rf"[\W\d_{_NUMERALS}]+")
 _BLOCK = 1 << 20
 _MIX = [np.uint64(m) for m in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9)]
 
@@ -170,19 +174,24 @@ def fit(docs: DataFrame, sample_rows: int = SAMPLE_ROWS, dimensions: int = DIMEN
     """The classifier, learned from doc_id, text, lang of rows that are not held out; None if there are none.
 
     sample_rows bounds the sample: every language gets an equal share of it, in the order of a hash
-    of doc_id. Repeated doc_ids count once.
+    of doc_id. A repeated doc_id counts once, with its smallest lang and of that lang's texts the one whose
+    features come first as bytes.
     """
     docs = docs.select("doc_id", "text", "lang").filter(~held_out() & F.col("lang").isNotNull() & F.col("text").isNotNull())
-    languages = docs.select("lang").distinct().count()
+    named = docs.groupBy("doc_id").agg(F.min("lang").alias("lang")).select("doc_id", "lang", F.xxhash64("doc_id").alias("_hash"))
+    ids = written(named, "labelled")
+    counts = written(ids.groupBy("lang").count(), "langs")
+    languages = counts.count()
     if not languages:
         return None
-    by_hash = Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id")
-    chosen = (
-        docs.select("doc_id", "lang")
-        .withColumn("_place", F.row_number().over(by_hash))
-        .filter(F.col("_place") <= max(1, sample_rows // languages))
-        .select("doc_id")
-        .distinct()
+    share = max(1, sample_rows // languages)
+    # the smallest hashes hold each language's share with a margin, so the window has few rows of any size of corpus
+    part = F.least(F.lit(1.0), F.lit(2.0 * share + 100) / F.col("count"))
+    low = (F.shiftrightunsigned("_hash", 12) * F.lit(2.0**-52)) <= part
+    by_hash = Window.partitionBy("lang").orderBy("_hash", "doc_id")
+    chosen = written(
+        ids.join(counts, "lang").filter(low).withColumn("_place", F.row_number().over(by_hash)).filter(F.col("_place") <= share).select("doc_id", "lang"),
+        "sample",
     )
 
     def vectors(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -195,15 +204,16 @@ def fit(docs: DataFrame, sample_rows: int = SAMPLE_ROWS, dimensions: int = DIMEN
     def trained(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         rows = [b for b in batches if len(b)]
         if rows:
-            sample = pd.concat(rows, ignore_index=True).sort_values(["lang", "doc_id"])
+            sample = pd.concat(rows, ignore_index=True).sort_values(["lang", "doc_id"], ignore_index=True)
             x = np.frombuffer(b"".join(sample["x"]), dtype=np.float32).reshape(len(sample), dimensions)
             yield pd.DataFrame({"model": [pickle.dumps(Hierarchy.fit(x, sample["lang"].to_numpy()))]})
 
     kind = docs.schema["doc_id"].dataType.simpleString()
     found = (
-        docs.join(F.broadcast(chosen), "doc_id")  # at most sample_rows ids
+        docs.join(F.broadcast(chosen), ["doc_id", "lang"])  # at most sample_rows ids
         .mapInPandas(vectors, f"doc_id {kind}, lang string, x binary")
-        .dropDuplicates(["doc_id"])
+        .groupBy("doc_id")
+        .agg(F.min("lang").alias("lang"), F.min("x").alias("x"))
         .repartition(1)  # at most sample_rows rows
         .mapInPandas(trained, "model binary")
         .collect()

@@ -2,8 +2,11 @@ import inspect
 import zlib
 
 import numpy as np
+import pytest
 from pyspark.sql import functions as F
 
+from fraudlake.llm import language_id
+from fraudlake.llm.common import written
 from fraudlake.llm.language_id import DIMENSIONS, Hierarchy, features, fit, language_query
 from tests.llm import cases
 
@@ -40,6 +43,31 @@ def test_odd_rows_and_empty_table(spark):
     assert language_query(cases.empty(spark)).collect() == []
 
 
+@pytest.mark.parametrize("text", ["½ ² 3", "① Ⅷ", "12 _ !", "五"])
+def test_only_letters_count(text):
+    letters = [c for c in text if c.isalpha()]
+    assert (features(text) is not None) == bool(letters)
+
+
+def test_repeated_ids_teach_the_same_in_any_order(spark):
+    rows = [(k, f"the text number {k} of the table", "en") for k in range(30)] + [(k, f"der Text mit der Nummer {k}", "de") for k in range(20, 50)]
+    schema = "doc_id long, text string, lang string"
+    one, other = (fit(spark.createDataFrame(r, schema).repartition(n)) for r, n in ((rows, 1), (rows[::-1], 7)))
+    assert np.array_equal(one.languages["germanic"].weights, other.languages["germanic"].weights)
+
+
+def test_sample_is_the_share_of_smallest_hashes(spark, monkeypatch):
+    docs = cases.table_of(spark, "/root/testdata/sf0.001").withColumn("lang", F.coalesce("lang", F.lit("en")))
+    seen = []
+    monkeypatch.setattr(language_id, "written", lambda df, label: seen.append((label, df)) or written(df, label))
+    fit(docs, sample_rows=40)
+    got = {(r["lang"], r["doc_id"]) for r in dict(seen)["sample"].collect()}
+    ids = docs.filter(~language_id.held_out()).select("lang", "doc_id", F.xxhash64("doc_id").alias("h")).collect()
+    langs = {r["lang"] for r in ids}
+    want = {(r["lang"], r["doc_id"]) for lang in langs for r in sorted((x for x in ids if x["lang"] == lang), key=lambda x: x["h"])[: 40 // len(langs)]}
+    assert got == want
+
+
 def test_no_labels_means_undetermined(spark):
     docs = cases.documents(spark).withColumn("lang", F.lit(None).cast("string"))
     assert fit(docs) is None
