@@ -70,16 +70,16 @@ def detections(words: Column, signature: list[Rule]) -> Column:
 
 
 def resolved(found: Column) -> Column:
-    """found (in order) without what lies inside an earlier detection, equal intervals included, and
-    without what overlaps the one kept before it and does not have a better priority."""
+    """found (in order) without overlaps. A detection inside the one kept before it, equal intervals included,
+    goes. If it only overlaps that one, the better priority stays, and the earlier one if they are equal."""
 
     def further(seen: Column, d: Column) -> Column:
-        inside = -d["neg_end"] <= seen["end"]
-        weaker = (d["start"] < seen["end"]) & (d["priority"] >= seen["priority"])
-        kept = F.struct(
-            (-d["neg_end"]).alias("end"), d["priority"].alias("priority"), F.concat(seen["kept"], F.array(d)).alias("kept")
-        )
-        return F.when(inside | weaker, seen).otherwise(kept)
+        overlaps = d["start"] < seen["end"]
+        goes = (-d["neg_end"] <= seen["end"]) | (overlaps & (d["priority"] >= seen["priority"]))
+        # what is kept does not overlap, so a new one can only overlap the last
+        before = F.when(overlaps, F.slice(seen["kept"], F.lit(1), F.size(seen["kept"]) - 1)).otherwise(seen["kept"])
+        kept = F.struct((-d["neg_end"]).alias("end"), d["priority"].alias("priority"), F.concat(before, F.array(d)).alias("kept"))
+        return F.when(goes, seen).otherwise(kept)
 
     nothing = F.expr(f"named_struct('end', 0, 'priority', 0, 'kept', CAST(array() AS {_PLACES}))")
     return F.aggregate(found, nothing, further, lambda seen: seen["kept"])

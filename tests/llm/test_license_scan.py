@@ -31,13 +31,16 @@ def found_by_hand(words):
             for m in re.finditer(f"(?<= )(?:{rule.pattern})(?= )", text):
                 start = text[: m.start()].count(" ") - 1
                 found.append((start, -(start + m.group().count(" ") + 1), rule.priority, rule.label, rule.confidence))
-    kept, end, priority = [], 0, 0
-    for d in sorted(found):
-        if -d[1] <= end or (d[0] < end and d[2] >= priority):
+    kept = []
+    for start, neg_end, priority, label, _ in sorted(found):
+        new = (start, -neg_end, label, priority)
+        clash = [d for d in kept if d[0] < new[1] and new[0] < d[1]]
+        assert len(clash) <= 1
+        if clash and (new[1] <= clash[0][1] or priority >= clash[0][3]):
             continue
-        kept.append((d[0], -d[1], d[3]))
-        end, priority = -d[1], d[2]
-    return kept
+        kept = [d for d in kept if d not in clash] + [new]
+    assert all(a[1] <= b[0] for a, b in zip(kept, kept[1:], strict=False))
+    return [d[:3] for d in kept]
 
 
 TEXTS = [
@@ -48,6 +51,7 @@ TEXTS = [
     "Apache License, Version 2.0 and the Mozilla Public License 2.0; bsd 3-clause license",
     "bacKed İce cc by cc by all rights reserved",
     "cc by cc by cc by",
+    "may not be reproduced without permission to use copy modify and or distribute this software",
 ]
 
 
