@@ -29,7 +29,6 @@ BLOCK_ROWS = 512
 QUERY_ROWS = 256
 STREAM_BLOCKS = 64
 RINGS = 32
-_LARGEST = 2**31 - 1
 
 
 @dataclass(frozen=True)
@@ -62,24 +61,27 @@ class Space:
 
 
 def integer_vectors(rows: DataFrame, scale: int = SCALE) -> DataFrame:
-    """vec_id, v (array of floor(scale * x)) of rows that take part: vec_id and all components there and
-    finite. Scaled components beyond 2**31 - 1 are cut to that."""
+    """vec_id, v (array of floor(scale * x)) of rows that take part: vec_id and all components there and finite."""
     whole = F.forall("embedding", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf")))
     return rows.filter(F.col("vec_id").isNotNull() & F.col("embedding").isNotNull() & whole).select(
-        "vec_id",
-        F.transform(
-            "embedding", lambda x: F.floor(F.least(F.greatest(x.cast("double") * scale, F.lit(-float(_LARGEST))), F.lit(float(_LARGEST))))
-        ).alias("v"),
+        "vec_id", F.transform("embedding", lambda x: F.floor(x.cast("double") * scale)).alias("v")
     )
 
 
-def space_of(vectors: DataFrame, pivots: int = PIVOTS) -> Space | None:
-    """Pivots are the distinct vectors among the first by a hash of vec_id; None without vectors."""
+def space_of(vectors: DataFrame, divisor: int, pivots: int = PIVOTS) -> Space | None:
+    """Pivots are the distinct vectors among the first by a hash of vec_id; None without vectors.
+
+    Scores are 64-bit integers. Vectors so long that a score might not fit (the
+    longest query times the longest vector) are an error, never another score.
+    """
     length = F.aggregate("v", F.lit(0.0), lambda s, x: s + x.cast("double") * x)
-    top = F.aggregate("v", F.lit(0).cast("long"), lambda s, x: F.greatest(s, F.abs(x)))
-    dims, longest, most = vectors.agg(F.max(F.size("v")), F.max(length), F.max(top)).first()
+    top = F.aggregate("v", F.lit(0.0), lambda s, x: F.greatest(s, F.abs(x.cast("double"))))
+    asked = F.coalesce(F.max(F.when(F.col("vec_id") % divisor == 0, length)), F.lit(0.0))
+    dims, longest, most, asks = vectors.agg(F.max(F.size("v")), F.max(length), F.max(top), asked).first()
     if not dims:
         return None
+    if most >= 2.0**62 or (asks * longest) ** 0.5 >= 2.0**62:
+        raise ValueError(f"vectors of lengths up to {longest**0.5:.4g}, queries up to {asks**0.5:.4g}: scores would not fit 64 bits")
     chosen = vectors.orderBy(F.xxhash64("vec_id"), "vec_id").limit(4 * pivots).collect()
     rows = dict.fromkeys(tuple(r["v"]) for r in chosen)
     matrix = np.array([list(r) + [0] * (dims - len(r)) for r in list(rows)[:pivots]], dtype=np.float64)
@@ -219,7 +221,7 @@ def top_scores(rows: DataFrame, divisor: int = 20, top: int = TOP, scale: int =
     that comes first by its bytes; none of its own rows is a candidate, all of them are for others. An empty table gives no rows.
     """
     vectors = integer_vectors(rows.select("vec_id", "embedding"), scale)
-    space = space_of(vectors)
+    space = space_of(vectors, divisor)
     if space is None:
         return rows.sparkSession.createDataFrame([], "query_id long, rank int, vec_id long, score long")
     keyed = written(_keyed(vectors, space, divisor), "keyed")

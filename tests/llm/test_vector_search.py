@@ -69,3 +69,13 @@ def test_few_rows_and_empty_table(spark):
 def test_negative_ids_and_zero_vectors(spark):
     rows = [(-20, [0.0, 0.0]), (-3, [0.0, 0.0]), (5, [0.0, -0.0]), (0, [1e-9, -1e-9])]
     assert found(frame(spark, rows)) == by_hand(rows, 20, 20)
+
+
+def test_large_components_are_not_cut(spark):
+    rows = [(0, [1.0]), (1, [float(2**26)]), (2, [float(2**27)])]
+    assert found(frame(spark, rows)) == {(0, 1, 2, 549755813888), (0, 2, 1, 274877906944)}
+
+
+def test_scores_that_do_not_fit_are_an_error(spark):
+    with pytest.raises(ValueError, match="64 bits"):
+        found(frame(spark, [(0, [float(2**30)]), (1, [float(2**40)])]))
