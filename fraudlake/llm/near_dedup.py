@@ -7,12 +7,16 @@
    each, make a sketch that estimates similarity.
 2. Documents with equal shingle sets are one class, known by a 64-bit hash of the set, so that a
    doc_id may stand for several texts. Doc_ids come back in only as the components' labels.
-3. In each bucket a star joins the smallest member with all others, one candidate per member. Stars
-   are confirmed on the full sets and give components.
-4. A bucket whose members are still in several components has pairs that no star compared. They are
-   compared as well, in blocks of bounded size and in one of the buckets they share, by size and by
-   sketch, and what may reach the threshold is confirmed on the full sets. So no link is lost to the
-   choice of centres.
+3. In each bucket a star joins the smallest member with all others. Of its stars each member keeps the one whose
+   centre it shares most buckets with, so there is one candidate per member. Stars are confirmed on the full
+   sets and give components.
+4. A bucket whose members are still in several components has pairs that no star compared. They are compared
+   in blocks of bounded size, by size and by sketch (sets of up to 64 shingles: by their hashes), and a block
+   gives a spanning forest of what may belong together, at most a row for each of its members. These
+   edges gather the components into clusters.
+5. In a cluster of several components all pairs across components are compared on their full sets, again in
+   blocks that give spanning forests. So no link is lost to the choice of centres, and no step makes a table
+   of all pairs. In steps 4 and 5 the largest component of a group is never compared with itself.
 
 Hot buckets and copies are counted with map-side aggregates, joined under adaptive skew handling and
 cut into blocks; nothing collects a bucket.
@@ -37,9 +41,12 @@ BINS = 1024
 BAND_BINS = 4
 BANDS = 64
 BLOCK_ROWS = 1024
-# Bins whose four bits must be equal before sets are compared. At 0.75 they are equal with a
-# probability of 0.766 each; this is 4.8 deviations below, a similarity of about 0.68.
-LEAST_EQUAL_BINS = 719
+BLOCK_BYTES = 8 << 20
+# Bins whose four bits must be equal before larger sets are compared. At 0.75 they are equal with a
+# probability of 0.766 each; this is 7 deviations below, a similarity of about 0.65.
+LEAST_EQUAL_BINS = 690
+# Sets of up to so many shingles are compared by their hashes: few hashes fill few bins, which makes sketches uncertain.
+SMALL = 64
 # Up to so many ids are sent to every task that picks their texts, some 16 MB; more are shuffled.
 BROADCAST_IDS = 1_000_000
 
@@ -125,7 +132,7 @@ def similar(a: np.ndarray, b: np.ndarray) -> bool:
 
 
 def sketched(docs: DataFrame) -> DataFrame:
-    """doc_id, n_shingles, set_id (hash of the set), bands, sketch of every row."""
+    """doc_id, n_shingles, set_id (hash of the set), bands, sketch, small (the set itself if it is small) of every row."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         words = WordHashes()
@@ -137,13 +144,14 @@ def sketched(docs: DataFrame) -> DataFrame:
                     hashes = shingles(text, words)
                     if len(hashes):
                         bins = bins_of(hashes)
-                        rows.append((doc_id, len(hashes), xxhash.xxh3_128_digest(hashes), bands_of(bins), sketch_of(bins).tobytes()))
+                        small = hashes.tobytes() if len(hashes) <= SMALL else None
+                        rows.append((doc_id, len(hashes), xxhash.xxh3_128_digest(hashes), bands_of(bins), sketch_of(bins).tobytes(), small))
                     else:
-                        rows.append((doc_id, 0, b"", None, None))
-                yield pd.DataFrame(rows, columns=["doc_id", "n_shingles", "set_id", "bands", "sketch"])
+                        rows.append((doc_id, 0, b"", None, None, None))
+                yield pd.DataFrame(rows, columns=["doc_id", "n_shingles", "set_id", "bands", "sketch", "small"])
 
     return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInPandas(
-        run, "doc_id bigint, n_shingles bigint, set_id binary, bands array<bigint>, sketch binary"
+        run, "doc_id bigint, n_shingles bigint, set_id binary, bands array<bigint>, sketch binary, small binary"
     )
 
 
@@ -160,127 +168,154 @@ def class_id() -> Column:
 
 
 def with_sets(docs: DataFrame) -> DataFrame:
-    """set_id, text of every row of docs (doc_id, text) whose text has words."""
+    """set_id, set (its hashes) of every row of docs (doc_id, text) whose text has words."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         words = WordHashes()
         for batch in batches:
             sets = [shingles(text, words) for text in batch["text"]]
-            ids = [xxhash.xxh3_128_digest(hashes) if len(hashes) else None for hashes in sets]
-            yield pd.DataFrame({"set_id": ids, "text": batch["text"]}).dropna(subset=["set_id"])
+            rows = [(xxhash.xxh3_128_digest(hashes), hashes.tobytes()) for hashes in sets if len(hashes)]
+            yield pd.DataFrame(rows, columns=["set_id", "set"])
 
-    return docs.select("doc_id", "text").mapInPandas(run, "set_id binary, text string")
+    return docs.select("doc_id", "text").mapInPandas(run, "set_id binary, set binary")
 
 
-def confirmed(pairs: DataFrame, docs: DataFrame, classes: DataFrame) -> DataFrame:
-    """The pairs (a, b) of classes (id, doc_id; written) whose full shingle sets reach the threshold."""
-    wanted = written(pairs.select(F.col("a").alias("id")).union(pairs.select("b")).distinct(), "wanted")
+def sets_of(wanted: DataFrame, docs: DataFrame, classes: DataFrame) -> DataFrame:
+    """id, set of the classes (id, doc_id; written) in wanted (id; written)."""
     named = written(among(classes.select("id", "doc_id"), ["id"], wanted).select("doc_id").distinct(), "named")
     rows = among(docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")), ["doc_id"], named)
-    texts = written(
-        among(with_sets(rows).select(class_id().alias("id"), "text"), ["id"], wanted)
-        .groupBy("id")
-        .agg(F.first("text").alias("text")),  # all texts of a class have the same set
-        "texts",
-    )
+    found = among(with_sets(rows).select(class_id().alias("id"), "set"), ["id"], wanted)
+    return written(found.groupBy("id").agg(F.first("set").alias("set")), "full")  # a class has one set
+
+
+def confirmed(pairs: DataFrame, docs: DataFrame, classes: DataFrame) -> DataFrame:
+    """The pairs (a, b; written) of classes whose full shingle sets reach the threshold."""
+    wanted = written(pairs.select(F.col("a").alias("id")).union(pairs.select("b")).distinct(), "wanted")
+    sets = sets_of(wanted, docs, classes)
 
     @F.pandas_udf("boolean")
-    def linked(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.Series]:
-        words = WordHashes()
-        for left, right in batches:
-            yield pd.Series([similar(shingles(x, words), shingles(y, words)) for x, y in zip(left, right, strict=True)], dtype=bool)
+    def linked(left: pd.Series, right: pd.Series) -> pd.Series:
+        both = zip(left, right, strict=True)
+        return pd.Series([similar(np.frombuffer(x, dtype=np.uint64), np.frombuffer(y, dtype=np.uint64)) for x, y in both], dtype=bool)
 
     return (
         pairs.select("a", "b")
-        .join(texts.select(F.col("id").alias("a"), F.col("text").alias("_left")), "a")
-        .join(texts.select(F.col("id").alias("b"), F.col("text").alias("_right")), "b")
+        .join(sets.select(F.col("id").alias("a"), F.col("set").alias("_left")), "a")
+        .join(sets.select(F.col("id").alias("b"), F.col("set").alias("_right")), "b")
         .filter(linked("_left", "_right"))
         .select("a", "b")
     )
 
 
-def may_be_similar(a: Column, b: Column) -> Column:
-    """By size, and by the share of equal bins, two structs of n and sketch may be alike enough."""
+def blocked(rows: DataFrame, group: str, row_bytes: Column) -> DataFrame:
+    """rows (group, id, component, more; written) of groups with several components, copied to blocks.
 
-    @F.pandas_udf("boolean")
-    def enough_equal(left: pd.Series, right: pd.Series) -> pd.Series:
-        if not len(left):
-            return pd.Series([], dtype=bool)
-        x, y = (np.frombuffer(b"".join(s), dtype=np.uint8).reshape(len(s), -1) for s in (left, right))
-        return pd.Series(equal_bins(x, y) >= LEAST_EQUAL_BINS)
+    A block (group, block_a, block_b) has two halves of bounded size, or one if block_a = block_b. Every two rows
+    of different components of a group meet in a block. The largest component has blocks of its own, which
+    only meet those of the others: it is copied once for each block of these.
+    """
 
-    sizes = 100 * F.least(a["n"], b["n"]) >= THRESHOLD * F.greatest(a["n"], b["n"])
-    return sizes & enough_equal(a["sketch"], b["sketch"])
+    def blocks(count: str, size: str) -> Column:
+        return F.ceil(F.greatest(F.col(count) / BLOCK_ROWS, F.col(size) / BLOCK_BYTES)).cast("int")
+
+    each = rows.groupBy(group, "component").agg(F.count(F.lit(1)).alias("n"), F.sum(row_bytes).alias("size"))
+    mixed = (
+        each.groupBy(group)
+        .agg(
+            F.max(F.struct("n", "component", "size")).alias("_largest"), F.sum("n").alias("_rows"), F.sum("size").alias("_size")
+        )
+        .filter(F.col("_rows") > F.col("_largest.n"))
+        .select(
+            group,
+            F.col("_largest.component").alias("_large"),
+            F.col("_largest.n").alias("_n"),
+            F.col("_largest.size").alias("_s"),
+            (F.col("_rows") - F.col("_largest.n")).alias("_rest"),
+            (F.col("_size") - F.col("_largest.size")).alias("_rest_size"),
+        )
+        .select(group, "_large", blocks("_n", "_s").alias("_theirs"), blocks("_rest", "_rest_size").alias("_blocks"))
+    )
+    is_large = F.col("component") == F.col("_large")
+    own = F.when(is_large, F.col("_blocks") + F.pmod(F.xxhash64("id"), F.col("_theirs"))).otherwise(F.pmod(F.xxhash64("id"), F.col("_blocks")))
+    last = F.when(is_large, F.col("_blocks")).otherwise(F.col("_blocks") + F.col("_theirs")) - 1
+    return (
+        rows.join(mixed, group)
+        .withColumn("_own", own.cast("int"))
+        .withColumn("_other", F.explode(F.sequence(F.lit(0), last)))
+        .withColumn("block_a", F.least("_own", "_other"))
+        .withColumn("block_b", F.greatest("_own", "_other"))
+        .withColumn("half", (F.col("_own") > F.col("_other")).cast("int"))
+        .drop("_large", "_theirs", "_blocks", "_own", "_other")
+    )
 
 
-def _across(block: pd.DataFrame) -> pd.DataFrame | None:
-    """Pairs of different components in a block that size and sketch let through, in the bucket of
-    the first band that they share."""
-    comp, size, ids, half = (block[c].to_numpy() for c in ("component", "n", "id", "half"))
+def _forest(block: pd.DataFrame, exactly: bool) -> pd.DataFrame | None:
+    """Edges that join the components of a block as far as pairs across them are alike: by size and sketch, or
+    also by their full sets. No edge is between what components and earlier edges join already."""
+    size, ids, half = (block[c].to_numpy() for c in ("n", "id", "half"))
+    root = block["component"].to_numpy().copy()
     sketch = np.frombuffer(b"".join(block["sketch"]), dtype=np.uint8).reshape(len(block), -1)
-    bands = np.stack(block["bands"].to_list())
-    bucket = block["bucket"].iat[0]
-    same_block = block["block_a"].iat[0] == block["block_b"].iat[0]
+    if exactly:
+        sets = [np.frombuffer(x, dtype=np.uint64) for x in block["set"]]
+    else:
+        sets = [None if x is None else np.frombuffer(x, dtype=np.uint64) for x in block["small"]]
+    small = size <= SMALL
+    hashes = np.zeros((len(block), SMALL), dtype=np.uint64)
+    for k in np.flatnonzero(small):
+        hashes[k, : size[k]] = sets[k]
+        hashes[k, size[k] :] = sets[k][0]  # repeats, which an intersection of sets leaves out
+    one_half = block["block_a"].iat[0] == block["block_b"].iat[0]
+    later = np.arange(len(block))
     found = []
-    for k in range(len(block)):
-        fits = (comp != comp[k]) & (100 * np.minimum(size, size[k]) >= THRESHOLD * np.maximum(size, size[k]))
-        fits &= (ids > ids[k]) if same_block else (half > half[k])
+    for k in range(len(block)) if one_half else np.flatnonzero(half == 0):
+        fits = (root != root[k]) & (100 * np.minimum(size, size[k]) >= THRESHOLD * np.maximum(size, size[k]))
+        fits &= (later > k) if one_half else (half == 1)
         rows = np.flatnonzero(fits)
-        if len(rows):
-            rows = rows[equal_bins(sketch[rows], sketch[k]) >= LEAST_EQUAL_BINS]
-        if len(rows):
-            rows = rows[bands[k][(bands[rows] == bands[k]).argmax(axis=1)] == bucket]
-            found += [(min(ids[k], i), max(ids[k], i)) for i in ids[rows]]
+        if not len(rows):
+            continue
+        alike = np.zeros(len(rows), dtype=bool)
+        by_hash = small[rows] if small[k] else alike
+        if by_hash.any():
+            mine = rows[by_hash]
+            common = np.isin(hashes[mine], sets[k])
+            both = common.sum(axis=1) - np.where(common[:, 0], SMALL - size[mine], 0)
+            alike[by_hash] = 100 * both >= THRESHOLD * (size[k] + size[mine] - both)
+        if not by_hash.all():
+            alike[~by_hash] = equal_bins(sketch[rows[~by_hash]], sketch[k]) >= LEAST_EQUAL_BINS
+        for i in rows[alike]:
+            if root[i] != root[k] and (not exactly or small[i] & small[k] or similar(sets[k], sets[i])):
+                found.append((min(ids[k], ids[i]), max(ids[k], ids[i])))
+                root[root == root[i]] = root[k]
     return pd.DataFrame(found, columns=["a", "b"]) if found else None
 
 
 def links(classes: DataFrame, docs: DataFrame) -> DataFrame:
-    """Links (a, b) that connect exactly the classes (id, doc_id, n, bands, sketch) that belong together."""
+    """Links (a, b) that connect exactly the classes (id, doc_id, n, bands, sketch, small) that belong together."""
     spread = classes.select("id", F.explode("bands").alias("bucket"))
     centres = spread.groupBy("bucket").agg(F.min("id").alias("centre"), F.count(F.lit(1)).alias("members")).filter("members > 1")
-    members = written(spread.join(centres, "bucket"), "buckets")
+    members = written(spread.join(centres, "bucket").select("bucket", "id", "centre"), "buckets")
     classes = written(among(classes, ["id"], written(members.select("id").distinct(), "ids")), "known")
 
-    sketch = F.struct("n", "sketch")
-    stars = members.filter("id <> centre").select(F.col("centre").alias("a"), F.col("id").alias("b")).distinct()
-    near = (
-        stars.join(classes.select(F.col("id").alias("a"), sketch.alias("_a")), "a")
-        .join(classes.select(F.col("id").alias("b"), sketch.alias("_b")), "b")
-        .filter(may_be_similar(F.col("_a"), F.col("_b")))
-        .select("a", "b")
-    )
-    first = written(confirmed(written(near, "stars"), docs, classes), "links")
+    shared = members.filter("id <> centre").groupBy("id", "centre").agg(F.count(F.lit(1)).alias("_buckets"))
+    stars = shared.groupBy(F.col("id").alias("b")).agg(F.max_by("centre", F.struct("_buckets", "centre")).alias("a"))
+    first = written(confirmed(written(stars.select("a", "b"), "stars"), docs, classes), "links")
     labels = component_labels(first)
 
-    placed = members.join(labels, "id", "left").withColumn("component", F.coalesce("component", "id"))
-    mixed = (
-        placed.groupBy("bucket")
-        .agg(F.min("component").alias("_low"), F.max("component").alias("_high"), F.max("members").alias("_members"))
-        .filter("_low <> _high AND _members > 2")  # the star has compared both of two
-        .select("bucket", F.ceil(F.col("_members") / BLOCK_ROWS).cast("int").alias("_blocks"))
-    )
-    blocks = (
-        written(placed.join(mixed, "bucket").select("bucket", "id", "component", "_blocks"), "mixed")
-        .join(classes.select("id", "n", "sketch", "bands"), "id")
-        .withColumn("_own", F.pmod(F.xxhash64("id"), F.col("_blocks")).cast("int"))
-        .withColumn("_other", F.explode(F.sequence(F.lit(0), F.col("_blocks") - 1)))
-        .select(
-            "bucket",
-            F.least("_own", "_other").alias("block_a"),
-            F.greatest("_own", "_other").alias("block_b"),
-            (F.col("_own") > F.col("_other")).cast("int").alias("half"),
-            "id",
-            "component",
-            "n",
-            "sketch",
-            "bands",
-        )
-    )
-    across = sorted_runs(blocks, ["bucket", "block_a", "block_b"], _across, "a bigint, b bigint").distinct()
-    rest = written(across.join(stars, ["a", "b"], "left_anti"), "rest")
-    if rest.isEmpty():
+    component = F.coalesce("component", "id").alias("component")
+    placed = written(members.join(labels, "id", "left").select("bucket", "id", component), "placed")
+    compared = blocked(placed, "bucket", F.lit(0)).join(classes.select("id", "n", "sketch", "small"), "id")
+    keys = ["block_a", "block_b"]
+    near = written(sorted_runs(compared, ["bucket", *keys], lambda b: _forest(b, False), "a bigint, b bigint").distinct(), "near")
+    if near.isEmpty():
         return first
-    return first.unionByName(written(confirmed(rest, docs, classes), "links"))
+
+    clusters = component_labels(first.unionByName(near)).withColumnRenamed("component", "cluster")
+    several = clusters.join(labels, "id", "left").select("cluster", "id", component)
+    several = written(several.join(classes.select("id", "n", "sketch"), "id"), "clusters")
+    met = blocked(several, "cluster", 8 * F.col("n"))
+    sets = sets_of(written(met.select("id").distinct(), "wanted"), docs, classes)
+    exact = sorted_runs(met.join(sets, "id"), ["cluster", *keys], lambda b: _forest(b, True), "a bigint, b bigint").distinct()
+    return first.unionByName(written(exact, "links"))
 
 
 def near_duplicates(docs: DataFrame) -> DataFrame:
@@ -322,7 +357,7 @@ def classes_of(sets: DataFrame) -> DataFrame:
         .filter("_docs > 1 OR _rows > 1"),
         "copied",
     )
-    columns = ["set_id", "doc_id", "n_shingles", "bands", "sketch"]
+    columns = ["set_id", "doc_id", "n_shingles", "bands", "sketch", "small"]
     if copied.filter("_rows > 1").isEmpty():
         copies = named.select("set_id", "doc_id").join(copied.select("set_id", "_id"), "set_id").filter("doc_id <> _id")
         first = among(named.select(*columns), ["set_id", "doc_id"], written(copies.select("set_id", "doc_id"), "copies"), "left_anti")
@@ -336,3 +371,26 @@ def _repeated(sets: DataFrame) -> DataFrame:
     named = sets.filter("n_shingles > 0 AND doc_id IS NOT NULL").select("doc_id", class_id().alias("b"))
     several = named.groupBy("doc_id").agg(F.min("b").alias("a"), F.max("b").alias("_last")).filter("a <> _last").drop("_last")
     return named.join(several, "doc_id").filter("a <> b").select("a", "b").distinct()
+
+
+NEAR_DEDUP_SQL = """
+WITH RECURSIVE w AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\\x20\\x09-\\x0D]+') AS words
+  FROM documents
+), s AS (
+  SELECT DISTINCT doc_id, array_to_string(words[i : i + 4], ' ') AS shingle
+  FROM w, unnest(range(1, greatest(len(words) - 3, 2))) AS starts(i) WHERE len(words) > 0
+), n AS (
+  SELECT doc_id, count(*) AS size FROM s GROUP BY doc_id
+), alike AS (
+  SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS common FROM s a JOIN s b ON a.shingle = b.shingle AND a.doc_id <> b.doc_id GROUP BY ALL
+), linked AS (
+  SELECT a, b FROM alike JOIN n x ON x.doc_id = a JOIN n y ON y.doc_id = b WHERE 100 * common >= 75 * (x.size + y.size - common)
+), reached AS (
+  SELECT doc_id, doc_id AS other FROM n
+  UNION
+  SELECT doc_id, b FROM reached JOIN linked ON a = other
+)
+SELECT w.doc_id, coalesce(size, 0) AS n_shingles, coalesce(component, w.doc_id) AS component_id, coalesce(component, w.doc_id) = w.doc_id AS kept
+FROM w LEFT JOIN n USING (doc_id) LEFT JOIN (SELECT doc_id, min(other) AS component FROM reached GROUP BY doc_id) USING (doc_id)
+"""

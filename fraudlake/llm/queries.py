@@ -12,7 +12,7 @@ from fraudlake.llm.decontaminate import leaks
 from fraudlake.llm.language_id import language_query
 from fraudlake.llm.license_scan import license_query
 from fraudlake.llm.merkle import MANIFEST_SQL, manifest_query
-from fraudlake.llm.near_dedup import near_duplicates
+from fraudlake.llm.near_dedup import NEAR_DEDUP_SQL, near_duplicates
 from fraudlake.llm.packing import place
 from fraudlake.llm.pii import pii_query
 from fraudlake.llm.sharding import sharding_query
@@ -53,6 +53,7 @@ QUERIES = {
 
 ORACLES = {
     "op2_chat_formatting": CHAT_SQL,
+    "op5_minhash_near_dedup": NEAR_DEDUP_SQL,
     "op8_exact_top_k": SEARCH_SQL,
     "op11_merkle_manifest": MANIFEST_SQL,
     "op12_collocations": COLLOCATION_SQL,

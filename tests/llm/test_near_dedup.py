@@ -91,6 +91,51 @@ def test_exact_threshold_and_short_texts(spark):
     assert found(spark.createDataFrame(rows, "doc_id long, text string")) == by_hand(rows)
 
 
+def test_a_text_and_its_first_seven_words_are_linked(spark):
+    text = "w581491 w662449 w586868 w205276 w199220 w803682 w891521 w410843"  # 3 of 4 shingles
+    rows = [(1, text), (2, text.rsplit(" ", 1)[0])]
+    assert found(spark.createDataFrame(rows, "doc_id long, text string")) == {1: (4, 1, True), 2: (3, 1, False)}
+
+
+def test_short_pairs_at_the_threshold_are_all_linked(spark):
+    rng = random.Random(4)
+    rows = []
+    for shingled in (4, 8, 12, 24, 48, 64, 68):
+        for _ in range(60):
+            words = [f"w{rng.randrange(10**6)}" for _ in range(shingled + 4)]
+            rows += [" ".join(words), " ".join(words[: 3 * shingled // 4 + 4])]
+    want = {k: (k - k % 2, k % 2 == 0) for k in range(len(rows))}
+    got = found(spark.createDataFrame(list(enumerate(rows)), "doc_id long, text string"))
+    assert {k: v[1:] for k, v in got.items()} == want
+
+
+@pytest.mark.parametrize("size", [65, 88, 300, 1000])
+def test_larger_sets_at_the_threshold_pass_the_sketch(size):
+    rng = np.random.default_rng(size)
+    for _ in range(400):
+        hashes = rng.integers(0, 2**64, size, dtype=np.uint64)
+        part = hashes[: -(-3 * size // 4)]
+        x, y = (bins_of(np.sort(h)) for h in (hashes, part))
+        assert equal_bins(sketch_of(x), sketch_of(y)) >= near_dedup.LEAST_EQUAL_BINS
+
+
+def test_no_step_makes_a_table_of_pairs(spark, monkeypatch):
+    """Rows of every table grow with the documents of a family, not with its pairs."""
+    sizes = {}
+
+    def counting(df, label, plain=near_dedup.written):
+        out = plain(df, label)
+        sizes.setdefault(label, []).append(out.count())
+        return out
+
+    monkeypatch.setattr(near_dedup, "written", counting)
+    rows = families(3, 1, 600, 0.1)
+    assert found(spark.createDataFrame(rows, "doc_id long, text string")) == by_hand(rows)
+    members = sum(sizes["buckets"])
+    assert all(sum(n) <= members for label, n in sizes.items() if label != "buckets")
+    assert sizes["stars"][0] <= len(rows)
+
+
 def test_odd_rows(spark):
     rows = near_duplicates(cases.documents(spark)).collect()
     assert len(rows) == len(cases.ROWS)
