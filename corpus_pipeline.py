@@ -10,13 +10,18 @@ from pyspark.sql import functions as F
 from fraudlake.llm.common import fresh, table, written
 from fraudlake.llm.decontaminate import clean
 from fraudlake.llm.language_id import UNDETERMINED, fit, has_letter, predict
-from fraudlake.llm.near_dedup import near_duplicates
+from fraudlake.llm.near_dedup import among, near_duplicates
 from fraudlake.llm.packing import place
 from fraudlake.llm.pii import mask
 
 
+#: A document whose language is less sure than this is rejected.
+LEAST_SURE = 0.5
+
+
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents whose language can be told; null text and text without a letter go.
+    """Documents whose language can be told: null text, text without a letter, and text whose predicted
+    language has a score below LEAST_SURE go.
 
     If no row is labelled and trainable there is no model: all documents with a letter stay.
     """
@@ -24,16 +29,23 @@ def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     if model is None:
         return docs.filter(has_letter(F.col("text").cast("string")))
     found = fresh(docs, "_found")
-    return predict(docs, model, found).filter(F.col(f"{found}.lang") != UNDETERMINED).drop(found)
+    told = (F.col(f"{found}.lang") != UNDETERMINED) & (F.col(f"{found}.score") >= LEAST_SURE)
+    return predict(docs, model, found).filter(told).drop(found)
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near duplicates: that of the smallest doc_id.
+    """One row of each group of near duplicates, that of the smallest doc_id; of equal or no doc_ids, any one.
 
-    Documents without doc_id stay. Rows that repeat a doc_id share its fate.
+    Rows count as documents of their own, whatever their doc_id; those without a word stay.
     """
-    drop = near_duplicates(docs).filter("NOT kept").select("doc_id").distinct()
-    return docs.join(drop, "doc_id", "left_anti").select(docs.columns)
+    row = fresh(docs, "_row")
+    docs = written(docs.withColumn(row, F.monotonically_increasing_id()), "rows")
+    ids = docs.select(F.col(row).alias("doc_id"), F.col("doc_id").alias("own"))
+    groups = written(near_duplicates(docs.select(F.col(row).alias("doc_id"), "text")).join(ids, "doc_id"), "groups")
+    first = F.struct(F.col("own").isNull().alias("unnamed"), "own", "doc_id")
+    stays = groups.groupBy("component_id").agg(F.min(first).alias("first")).select("component_id", F.col("first.doc_id").alias("stays"))
+    drop = written(groups.join(stays, "component_id").filter("doc_id <> stays").select(F.col("doc_id").alias(row)), "drop")
+    return among(docs, [row], drop, "left_anti").drop(row)
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
