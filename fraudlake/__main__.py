@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from fraudlake.config import FraudConfig
 from fraudlake.functions.times import EVENT_TIME_FORMAT
-from fraudlake.plans.day import run_day
+from fraudlake.plans.day import run_changed_days, run_day
 from fraudlake.plans.reports import run_reports
 from fraudlake.session import build_session, scratch_dir
 from fraudlake.sources import files, records
@@ -26,6 +26,9 @@ from fraudlake.synth import generate
 
 log = logging.getLogger("fraudlake")
 
+CONSOLE_ROWS = 1000
+ROWS_PER_FILE = 1_000_000
+
 
 def main(argv: Sequence[str] | None = None, spark: SparkSession | None = None) -> int:
     args = _parser().parse_args(argv)
@@ -87,7 +90,10 @@ def _day(spark: SparkSession, args) -> int:
         dedupe=args.dedupe,
         exempt_null_accounts=args.exempt_null_accounts,
     )
-    run_day(_lake(spark, args), dt, cfg)
+    if args.changed:
+        log.info("days scored: %s", ", ".join(run_changed_days(_lake(spark, args), cfg)) or "none")
+    else:
+        run_day(_lake(spark, args), dt, cfg)
     return 0
 
 
@@ -110,13 +116,17 @@ def statements(sql: str) -> list[str]:
 
 
 def _put_out(report: DataFrame, name: str, output: str | None) -> None:
-    """All rows, to a folder of CSV below ``output`` or on the console."""
+    """All rows to a folder of CSV below ``output``, in files of bounded size; or the first on the console."""
     if output:
         flat = [F.to_json(c).alias(c) if kind.startswith(("array", "map", "struct")) else F.col(c) for c, kind in report.dtypes]
-        files.write_csv(report.select(*flat).coalesce(1), f"{output}/{name}")
-    else:
-        print(name)
-        report.show(max(1, report.count()), truncate=False)
+        files.write_csv(report.select(*flat), f"{output}/{name}", ROWS_PER_FILE)
+        return
+    print(name)
+    first = report.take(CONSOLE_ROWS + 1)
+    spark = report.sparkSession
+    spark.createDataFrame(first[:CONSOLE_ROWS], report.schema).show(max(1, CONSOLE_ROWS), truncate=False)
+    if len(first) > CONSOLE_ROWS:
+        print(f"{report.count() - CONSOLE_ROWS} more rows; --output writes all")
 
 
 def _fold(spark: SparkSession, args) -> int:
@@ -126,7 +136,7 @@ def _fold(spark: SparkSession, args) -> int:
 
 def _check(spark: SparkSession, args) -> int:
     checks = Lake(spark, args.lake, args.raw_db, args.curated_db).readiness()
-    checks.show(checks.count(), truncate=False)
+    checks.show(CONSOLE_ROWS, truncate=False)  # a few for each table
     return 0 if checks.filter(~F.col("passed")).isEmpty() else 1
 
 
@@ -208,6 +218,7 @@ def _parser() -> argparse.ArgumentParser:
     usual = FraudConfig()
     sub = job("day", _day, "score one day", lake)
     sub.add_argument("--dt", help="yyyy-MM-dd, default yesterday")
+    sub.add_argument("--changed", action="store_true", help="all days that got rows since they were scored, instead of one")
     sub.add_argument("--high-amount", type=float, default=usual.high_amount)
     sub.add_argument("--velocity-window", type=int, default=usual.velocity_window_s)
     sub.add_argument("--velocity-count", type=int, default=usual.velocity_min_count)

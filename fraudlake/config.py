@@ -35,5 +35,5 @@ class FraudConfig:
     # Rows without an account are never compared with each other.
     exempt_null_accounts: bool = False
 
-    # Accounts with more rows than this are scored in slots of about so many rows (None: never).
+    # Accounts with more rows than this are scored in ranges of about so many rows (None: never).
     slice_rows: int | None = 500_000

@@ -1,11 +1,11 @@
 """What an account did before each transaction: trailing count and previous transaction.
 
 Both come from windows over one account, which Spark evaluates in one task per account. That
-is right for ordinary accounts: one shuffle and one sort. The rows of an account that holds
-very many are cut into slots of bounded size instead. A slot is a stretch of seconds of one day;
-where it begins follows from the counts per second alone, so each row's slot is a function of the
-row. What a slot needs from its neighbours (the last row before it, the counts per second) is
-brought in by joins, so the result is the same row for row. Nothing is collected.
+is right for ordinary accounts: one shuffle and one sort. The rows of accounts that hold very many
+are cut into ranges of bounded size instead, in the order of account, time and ties, so that even one
+second of one account may be in several. The ranges are written, so a lost executor cannot shift them.
+What a range needs from its neighbours (the last row before it, the counts per second) is brought in
+by joins, so the result is the same row for row. Nothing is collected.
 """
 
 from __future__ import annotations
@@ -19,7 +19,8 @@ from pyspark.sql import functions as F
 
 from fraudlake.config import FraudConfig
 from fraudlake.functions import epoch_seconds
-from fraudlake.session import scratch_dir
+from fraudlake.operators.ranks import in_ranges
+from fraudlake.session import written
 
 COUNT_COLUMN = "txn_count_5min"
 # columns of the previous transaction, and what they are taken from
@@ -54,7 +55,7 @@ def account_history(
     is_listed = _all_equal((df[k], listed[f"_heavy_{k}"]) for k in keys)
     ordinary, large = df.join(listed, is_listed, "left_anti"), df.join(listed, is_listed, "left_semi")
     return _windowed(ordinary, keys, cfg, trailing, previous).unionByName(
-        _slotted(large, keys, cfg, trailing, previous)
+        _ranged(large, keys, cfg, trailing, previous)
     )
 
 
@@ -69,9 +70,7 @@ def heavy_groups(df: DataFrame, keys: list[str], cfg: FraudConfig) -> DataFrame
     sizes = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows")).filter(F.col("_rows") > cfg.slice_rows)
     if sizes.isEmpty():
         return None
-    path = scratch_dir(df.sparkSession, "heavy")
-    sizes.write.parquet(path)
-    return df.sparkSession.read.schema(sizes.schema).parquet(path)
+    return written(sizes, "heavy")
 
 
 def _windowed(df: DataFrame, keys: list[str], cfg: FraudConfig, trailing: bool, previous: bool) -> DataFrame:
@@ -95,67 +94,61 @@ def _without_history(df: DataFrame, trailing: bool, previous: bool) -> DataFrame
     return df
 
 
-def _slotted(df: DataFrame, keys: list[str], cfg: FraudConfig, trailing: bool, previous: bool) -> DataFrame:
-    """The same columns for large accounts, with no task that holds a whole account.
-
-    A slot goes on from the first second of a day, or of the slot before, until it has
-    ``slice_rows`` rows; the rows of one second stay together.
-    """
-    rows = df.withColumn("_epoch", epoch_seconds(F.col("event_timestamp")))
-    seconds = _per_second(rows, keys, cfg, trailing)
-    named = seconds.select(*(F.col(c).alias(f"_s_{c}") if c in (*keys, "_epoch") else c for c in seconds.columns))
-    same_second = _all_equal((rows[k], named[f"_s_{k}"]) for k in (*keys, "_epoch"))
-    out = rows.join(named, same_second).drop(*(f"_s_{k}" for k in (*keys, "_epoch")))
+def _ranged(df: DataFrame, keys: list[str], cfg: FraudConfig, trailing: bool, previous: bool) -> DataFrame:
+    """The same columns for large accounts, with no task that holds a whole account, day or second."""
+    out = df.withColumn("_epoch", epoch_seconds(F.col("event_timestamp")))
+    if trailing:
+        counts = _per_second(out, keys, cfg)
+        same = _all_equal((out[k], counts[f"_n_{k}"]) for k in (*keys, "_epoch"))
+        out = out.join(counts, same).drop(*(f"_n_{k}" for k in (*keys, "_epoch")))
     if previous:
-        out = _with_previous(out, keys, ["_epoch", *_tie_order(df)])
-    return out.drop("_epoch", "_day", "_slot")
+        out = _with_previous(out, keys, ["_epoch", *_tie_order(df)], cfg.slice_rows)
+    return out.drop("_epoch")
 
 
-def _per_second(rows: DataFrame, keys: list[str], cfg: FraudConfig, trailing: bool) -> DataFrame:
-    """A row for each second of a group that has rows: its slot, and its trailing count.
+def _per_second(rows: DataFrame, keys: list[str], cfg: FraudConfig) -> DataFrame:
+    """The trailing count of each second of a group that has rows; keys are named ``_n_...``.
 
-    Seconds are cut into blocks of a day, for the count each with the tail of the block before,
-    so a window group has a bounded number of rows.
+    Seconds are cut into blocks of a day, each with the tail of the block before, so a window
+    group has a bounded number of rows.
     """
     block_s = max(SECONDS_PER_BLOCK, cfg.velocity_window_s)
 
     def block(second: Column) -> Column:
         return F.floor(second / block_s)
 
-    second = rows.groupBy(*keys, "_epoch").agg(F.count("transaction_id").alias("_n"), F.count(F.lit(1)).alias("_rows"))
-    before = Window.partitionBy(*keys, "_day").orderBy("_epoch").rowsBetween(Window.unboundedPreceding, -1)
-    slot = F.floor(F.coalesce(F.sum("_rows").over(before), F.lit(0)) / cfg.slice_rows)
-    slots = second.withColumn("_day", block(F.col("_epoch"))).withColumn("_slot", slot).select(*keys, "_epoch", "_day", "_slot")
-    if not trailing:
-        return slots
-    blocked = second.withColumn(
-        "_block", F.explode(F.array_distinct(F.array(block(F.col("_epoch")), block(F.col("_epoch") + cfg.velocity_window_s))))
+    blocked = (
+        rows.groupBy(*keys, "_epoch")
+        .agg(F.count("transaction_id").alias("_n"))
+        .withColumn(
+            "_block", F.explode(F.array_distinct(F.array(block(F.col("_epoch")), block(F.col("_epoch") + cfg.velocity_window_s))))
+        )
     )
     recent = Window.partitionBy(*keys, "_block").orderBy("_epoch").rangeBetween(-cfg.velocity_window_s, 0)
-    counts = (
+    return (
         blocked.withColumn(COUNT_COLUMN, F.sum("_n").over(recent))
         .filter(F.col("_block").eqNullSafe(block(F.col("_epoch"))))
         .select(*(F.col(k).alias(f"_n_{k}") for k in [*keys, "_epoch"]), COUNT_COLUMN)
     )
-    same = _all_equal((slots[k], counts[f"_n_{k}"]) for k in [*keys, "_epoch"])
-    return slots.join(counts, same).drop(*(f"_n_{k}" for k in [*keys, "_epoch"]))
 
 
-def _with_previous(out: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
-    """Lag inside the slot; the first row of a slot takes the last row of the slot before."""
-    slot = [*keys, "_day", "_slot"]
+def _with_previous(rows: DataFrame, keys: list[str], order: list[str], slice_rows: int) -> DataFrame:
+    """Lag inside a range of about ``slice_rows`` rows; its first row of an account takes the account's
+    last row of the ranges before. Rows of one second, or without time, are cut like any others."""
+    ranged = in_ranges(rows, [*keys, *order], slice_rows)
+    order = [*order, "_row"]
+    part = [*keys, "_range"]
     place = F.struct(*(F.col(source).alias(name) for name, source in PREVIOUS.items()))
-    last_rows = out.groupBy(*slot).agg(F.max_by(place, F.struct(*order)).alias("_last"))
-    before = Window.partitionBy(*keys).orderBy("_day", "_slot")
-    carried = last_rows.select(*(F.col(k).alias(f"_c_{k}") for k in slot), F.lag("_last").over(before).alias("_carried"))
-    in_slot = Window.partitionBy(*slot).orderBy(*order)
-    lagged = out.withColumns(
-        {name: F.lag(source).over(in_slot) for name, source in PREVIOUS.items()}
-        | {"_opens": F.row_number().over(in_slot) == 1}
+    last_rows = ranged.groupBy(*part).agg(F.max_by(place, F.struct(*order)).alias("_last"))
+    before = Window.partitionBy(*keys).orderBy("_range")  # a row for each range of the account
+    carried = last_rows.select(*(F.col(k).alias(f"_c_{k}") for k in part), F.lag("_last").over(before).alias("_carried"))
+    inside = Window.partitionBy(*part).orderBy(*order)
+    lagged = ranged.withColumns(
+        {name: F.lag(source).over(inside) for name, source in PREVIOUS.items()} | {"_opens": F.row_number().over(inside) == 1}
     )
-    same_slot = _all_equal((lagged[k], carried[f"_c_{k}"]) for k in slot)
+    same = _all_equal((lagged[k], carried[f"_c_{k}"]) for k in part)
     chosen = {name: F.when(F.col("_opens"), F.col("_carried")[name]).otherwise(F.col(name)) for name in PREVIOUS}
-    return lagged.join(carried, same_slot).withColumns(chosen).drop("_opens", "_carried", *(f"_c_{k}" for k in slot))
+    return lagged.join(carried, same).withColumns(chosen).select(*rows.columns, *PREVIOUS)
 
 
 def _tie_order(df: DataFrame) -> list[str]:

@@ -51,3 +51,21 @@ def ranked(df: DataFrame, group: list[str], order: list[str], out: str, rows_per
         .withColumn(out, F.col(out) + F.col("_start"))
         .select(*df.columns, out)
     )
+
+
+def cumulated(df: DataFrame, order: list[str], value: str, out: str, rows_per_range: int = ROWS_PER_RANGE) -> DataFrame:
+    """df with ``out``: the sum of ``value`` over all rows up to this one in the order."""
+    rows = in_ranges(df, order, rows_per_range)
+    earlier = Window.orderBy("_s_range").rowsBetween(Window.unboundedPreceding, -1)  # a row for each range
+    starts = (
+        rows.groupBy(F.col("_range").alias("_s_range"))
+        .agg(F.sum(value).alias("_sum"))
+        .select("_s_range", F.coalesce(F.sum("_sum").over(earlier), F.lit(0)).alias("_start"))
+    )
+    within = Window.partitionBy("_range").orderBy(*order, "_row").rowsBetween(Window.unboundedPreceding, 0)
+    return (
+        rows.withColumn(out, F.sum(value).over(within))
+        .join(starts, F.col("_range") == F.col("_s_range"))
+        .withColumn(out, F.col(out) + F.col("_start"))
+        .select(*df.columns, out)
+    )

@@ -31,6 +31,7 @@ def run_day(
     from the written day: it holds all they need, survives the loss of an executor, and
     costs a pruned scan instead of a cache of the whole day.
     """
+    batches = lake.batches_of(dt)  # before the rows are read: what comes meanwhile makes the day due again
     raw = lake.read(lake.raw)
     if curate.raw_day(raw, dt).isEmpty():
         log.warning("no data for %s", dt)
@@ -38,6 +39,7 @@ def run_day(
             held = lake.read(table).filter(F.col("dt") == dt)
             if not held.isEmpty():
                 lake.overwrite_day(table, lake.spark.createDataFrame([], held.schema), dt)
+        lake.note_built(dt, batches)
         return False
 
     with shuffle_sized_for(curate.raw_day(raw, dt)):
@@ -48,11 +50,31 @@ def run_day(
     lake.overwrite_day(lake.alerts, curate.fraud_alerts(written, run_at).hint("rebalance", "fraud_reason"), dt)
     lake.overwrite_day(lake.summary, curate.fraud_summary(written, run_at).hint("rebalance"), dt)
 
+    lake.note_built(dt, batches)
     totals = lake.read(lake.summary).filter(F.col("dt") == dt).agg(F.sum("total_txn"), F.sum("fraud_txn")).first()
     log.info("%s: %s transactions, %s fraudulent", dt, *totals)
     return True
 
 
+def run_changed_days(
+    lake: Lake,
+    cfg: FraudConfig = FraudConfig(),
+    run_at: Column | None = None,
+    rules: Sequence[Rule] = DEFAULT_RULES,
+) -> list[str]:
+    """Score the days that got rows since they were scored, or never were; which these are.
+
+    With ``lookback`` a day also reads the end of the day before, so the day after a changed one is due as well.
+    """
+    days = set(lake.changed_days())
+    if cfg.lookback:
+        after = {str(date.fromisoformat(d) + timedelta(days=1)) for d in days}
+        days |= {d for d in after if lake.batches_of(d)}
+    for dt in sorted(days):
+        run_day(lake, dt, cfg, run_at, rules)
+    return sorted(days)
+
+
 def score_day(
     raw: DataFrame, dt: str, cfg: FraudConfig = FraudConfig(), rules: Sequence[Rule] = DEFAULT_RULES
 ) -> DataFrame:

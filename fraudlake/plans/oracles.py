@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from fraudlake.plans.queries import AS_OF, REPORT_DAY, RUN_AT_TEXT, SEED
+from fraudlake.plans.queries import AS_OF, LATE_RUN_AT_TEXT, REPORT_DAY, RUN_AT_TEXT, SEED
 from fraudlake.schemas import CURATED_TRANSACTIONS, FRAUD_ALERTS, FRAUD_SUMMARY, QUARANTINE, RAW_TRANSACTIONS, Table
 from fraudlake.sources.lake import INGEST_BATCH
 from fraudlake.sources.reference import CHANNELS, CITIES, MERCHANT_CATEGORIES
@@ -278,6 +278,18 @@ ORACLES: dict[str, str] = {
                                  WHEN CAST(transaction_id AS BIGINT) % 11 <> 0 THEN account_id END AS account_id)
           FROM txn),{_scored("hot", "account_id")}
         SELECT {SCORED_COLUMNS} FROM scored""",
+    "score_transactions_hot_second": f"""WITH {TXN},
+        hot AS (
+          SELECT * REPLACE (CASE WHEN CAST(transaction_id AS BIGINT) % 3 = 0 THEN 'ACC_HOT' ELSE account_id END AS account_id,
+                            CASE WHEN CAST(transaction_id AS BIGINT) % 39 = 0 THEN NULL
+                                 WHEN CAST(transaction_id AS BIGINT) % 3 = 0 THEN TIMESTAMP '{REPORT_DAY} 10:00:00'
+                                 ELSE event_timestamp END AS event_timestamp)
+          FROM txn),{_scored("hot", "account_id")}
+        SELECT {SCORED_COLUMNS} FROM scored""",
+    "late_rows_rerun": f"""{DAILY}
+        SELECT dt, channel, CASE WHEN dt = '{REPORT_DAY}' THEN '{LATE_RUN_AT_TEXT}' ELSE '{RUN_AT_TEXT}' END AS processed_at,
+               COUNT(*) AS row_count, ROUND(SUM(amount), 2) AS amount, COUNT(*) FILTER (is_fraud) AS fraud_count
+        FROM scored GROUP BY dt, channel""",
     "score_transactions_null_accounts_apart": f"""WITH {TXN},
         partly AS (
           SELECT * REPLACE (CASE WHEN CAST(transaction_id AS BIGINT) % 5 <> 0 THEN account_id END AS account_id)

@@ -10,13 +10,14 @@ from __future__ import annotations
 from collections.abc import Callable
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from fraudlake.config import FraudConfig
-from fraudlake.functions import haversine_km
+from fraudlake.functions import days_before, haversine_km
 from fraudlake.operators import curate
 from fraudlake.operators.history import account_history
+from fraudlake.operators.ranks import cumulated
 from fraudlake.operators.rules import (
     flag_geo_anomaly,
     flag_high_amount,
@@ -24,8 +25,8 @@ from fraudlake.operators.rules import (
     score_transactions,
 )
 from fraudlake.plans import bridge, reports
-from fraudlake.plans.day import run_day
-from fraudlake.session import delete_path, scratch_dir
+from fraudlake.plans.day import run_changed_days, run_day
+from fraudlake.session import delete_path, scratch_dir, written
 from fraudlake.sources import files, records
 from fraudlake.sources.lake import INGEST_BATCH, Lake, append_by_name, read_evolving
 from fraudlake.sources.records import RecordSource
@@ -38,6 +39,7 @@ from fraudlake.synth.patterns import EVENT, VELOCITY_ACCOUNT, VELOCITY_AMOUNTS
 AS_OF = "2024-01-03"
 REPORT_DAY = "2024-01-02"
 RUN_AT_TEXT = "2024-01-04 01:00:00"
+LATE_RUN_AT_TEXT = "2024-01-05 01:00:00"
 DAYS = FraudConfig(isolate_days=True)
 SEED = 42
 
@@ -54,16 +56,23 @@ def run_at():
     return F.lit(RUN_AT_TEXT).cast("timestamp")
 
 
-def scored(spark: SparkSession, sf_dir: str, cfg: FraudConfig = DAYS) -> DataFrame:
-    return score_transactions(curate.usable(bridge.transactions(spark, sf_dir)), cfg)
+def scored(spark: SparkSession, sf_dir: str, cfg: FraudConfig = DAYS, days: int | None = None) -> DataFrame:
+    """Scored transactions; with ``days`` only of so many days before the day of the reports, and of that day.
+
+    Days are scored on their own, so the others are left out before anything is read or counted.
+    """
+    txns = curate.usable(bridge.transactions(spark, sf_dir))
+    if days is not None:
+        txns = txns.filter(F.col("dt").between(days_before(REPORT_DAY, days), days_before(REPORT_DAY, 0)))
+    return score_transactions(txns, cfg)
 
 
 def alerts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return curate.fraud_alerts(scored(spark, sf_dir), run_at())
 
 
-def summary(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return curate.fraud_summary(scored(spark, sf_dir), run_at())
+def summary(spark: SparkSession, sf_dir: str, days: int | None = None) -> DataFrame:
+    return curate.fraud_summary(scored(spark, sf_dir, days=days), run_at())
 
 
 def positioned(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -387,6 +396,20 @@ def score_transactions_hot_account(spark, sf_dir):
     return _comparable(score_transactions(txns, FraudConfig(slice_rows=500)))
 
 
+@query
+def score_transactions_hot_second(spark, sf_dir):
+    """A third of all rows in one second of one account, and rows of it without a time: scored in ranges."""
+    number = F.col("transaction_id").cast("long")
+    hot = {
+        "account_id": F.when(number % 3 == 0, F.lit("ACC_HOT")).otherwise(F.col("account_id")),
+        "event_timestamp": F.when(number % 39 == 0, F.lit(None))
+        .when(number % 3 == 0, F.lit(f"{REPORT_DAY} 10:00:00"))
+        .otherwise(F.col("event_timestamp"))
+        .cast("timestamp_ntz"),
+    }
+    return _comparable(score_transactions(bridge.transactions(spark, sf_dir).withColumns(hot), FraudConfig(slice_rows=500)))
+
+
 @query
 def score_transactions_null_accounts_apart(spark, sf_dir):
     """Rows without an account, never compared with each other."""
@@ -460,6 +483,25 @@ def rerun_day_idempotent(spark, sf_dir):
     return taken_out(lake, reduce(DataFrame.unionByName, parts), "held")
 
 
+@query
+def late_rows_rerun(spark, sf_dir):
+    """Some rows of one day come after all days were scored: only that day is scored again, at a later time."""
+    lake = new_lake(spark)
+    source = RecordSource.files(f"{lake.location}/records")
+    txns = positioned(spark, sf_dir)
+    late = (F.col("dt") == REPORT_DAY) & (F.col("transaction_id").cast("long") % 10 == 0)
+    for delivery, at in ((~late, RUN_AT_TEXT), (late, LATE_RUN_AT_TEXT)):
+        source.write(as_records(txns.filter(delivery)))
+        ingesting.ingest_batch(lake, source, f"{lake.location}/offsets", ingested_at=run_at())
+        run_changed_days(lake, FraudConfig(), F.lit(at).cast("timestamp"))
+    held = (
+        lake.read(lake.transactions)
+        .groupBy("dt", "channel", F.date_format("etl_processed_at", "yyyy-MM-dd HH:mm:ss").alias("processed_at"))
+        .agg(F.count(F.lit(1)).alias("row_count"), F.round(F.sum("amount"), 2).alias("amount"), F.count_if("is_fraud").alias("fraud_count"))
+    )
+    return taken_out(lake, held, "late")
+
+
 # ---- tables ---------------------------------------------------------------------------------
 
 
@@ -546,7 +588,7 @@ def report_daily_summary(spark, sf_dir):
 
 @query
 def report_channel_rate(spark, sf_dir):
-    return reports.channel_rate(summary(spark, sf_dir), REPORT_DAY)
+    return reports.channel_rate(summary(spark, sf_dir, reports.REPORT_DAYS), REPORT_DAY)
 
 
 @query
@@ -556,7 +598,7 @@ def report_fraud_type(spark, sf_dir):
 
 @query
 def report_hourly_heatmap(spark, sf_dir):
-    return reports.hourly_heatmap(summary(spark, sf_dir), REPORT_DAY)
+    return reports.hourly_heatmap(summary(spark, sf_dir, reports.REPORT_DAYS), REPORT_DAY)
 
 
 @query
@@ -578,7 +620,7 @@ def report_latest_alerts(spark, sf_dir):
 
 @query
 def report_kpi_day(spark, sf_dir):
-    return reports.kpi_day(scored(spark, sf_dir), REPORT_DAY)
+    return reports.kpi_day(scored(spark, sf_dir, days=0), REPORT_DAY)
 
 
 # ---- synthetic data -------------------------------------------------------------------------
@@ -641,10 +683,9 @@ def synth_copula_checks(spark, sf_dir):
     known = amounts.count()
     levels = [(i / STEPS, float(v)) for i, v in enumerate(model.quantiles["amount"])]
     asked = spark.createDataFrame(levels, "level DOUBLE, at DOUBLE")
-    ranks = (  # a bounded number of levels against the amounts' ranks
-        amounts.withColumn("_rank", F.cume_dist().over(Window.orderBy("amount")))
-        .groupBy("amount")
-        .agg(F.max("_rank").alias("upto"), (F.max("_rank") - F.count(F.lit(1)) / known).alias("below"))
+    counted = cumulated(amounts.groupBy("amount").count(), ["amount"], "count", "_upto")
+    ranks = counted.select(  # a bounded number of levels against the amounts' ranks
+        "amount", (F.col("_upto") / known).alias("upto"), ((F.col("_upto") - F.col("count")) / known).alias("below")
     )
     off = asked.join(ranks, F.col("at") == F.col("amount"), "left").filter(
         F.col("upto").isNull() | (F.col("upto") < F.col("level") - 0.02) | (F.col("below") > F.col("level") + 0.02)
@@ -663,7 +704,7 @@ def synth_copula_checks(spark, sf_dir):
     nulls = rows.agg(F.count_if(F.col("amount").isNull()).alias("n")).filter(
         F.abs(F.col("n") - F.lit(model.null_share["amount"]) * total) > 1e-6
     )
-    drawn = sample(_event_ids(spark, sf_dir), model, SEED)
+    drawn = written(sample(_event_ids(spark, sf_dir), model, SEED), "drawn")  # read by three checks
     low, high = model.quantiles["amount"][0], model.quantiles["amount"][-1]
     wild = int((abs(model.correlation) > 1 + 1e-9).sum())
     missing = _event_ids(spark, sf_dir).agg(F.count(F.lit(1)).alias("n")).crossJoin(drawn.agg(F.count(F.lit(1)).alias("m")))

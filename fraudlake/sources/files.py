@@ -29,8 +29,9 @@ def read_csv(
     return found.select(*named, *(rest if more else []))
 
 
-def write_csv(events: DataFrame, path: str) -> None:
-    events.write.mode("overwrite").options(header=True, quote='"', escape='"').csv(path)
+def write_csv(events: DataFrame, path: str, rows_per_file: int = 0) -> None:
+    """With ``rows_per_file`` no file has more rows than that."""
+    events.write.mode("overwrite").options(header=True, quote='"', escape='"', maxRecordsPerFile=rows_per_file).csv(path)
 
 
 def read_json(spark: SparkSession, path: str, *, array: bool = False) -> DataFrame:

@@ -142,8 +142,34 @@ class Lake:
         self.overwrite_batch(self.raw, self.spark.read.schema(rows.schema).parquet(staged), target)
         delete_path(self.spark, staged)
         self._finish_folds()
+        built = {b for b, day in self._built() if day == dt}
+        if built.issuperset(closed):  # the same rows under another name
+            self.note_built(dt, sorted(built.difference(closed) | {target}))
         return len(closed)
 
+    def batches_of(self, dt: str) -> list[str]:
+        """Ingest batches that have rows of the day."""
+        return sorted(batch for batch, day in self._raw_partitions() if day == dt)
+
+    def note_built(self, dt: str, batches: list[str]) -> None:
+        """Note down which batches the curated tables hold of the day."""
+        rows = self.spark.createDataFrame([(b,) for b in batches], "batch STRING")
+        rows.coalesce(1).write.mode("overwrite").parquet(f"{self._builds}/dt={dt}")
+
+    def changed_days(self) -> list[str]:
+        """Days whose batches are not those the curated tables were built from: new days, and days with late rows."""
+        return sorted({day for _, day in set(self._raw_partitions()) ^ self._built()})
+
+    @property
+    def _builds(self) -> str:
+        return f"{self.location}/_built_{self.curated_db}"
+
+    def _built(self) -> set[tuple[str, str]]:
+        if not path_exists(self.spark, self._builds):
+            return set()
+        noted = self.spark.read.schema("batch STRING, dt STRING").parquet(self._builds)
+        return {(r["batch"], r["dt"]) for r in noted.collect()}
+
     @property
     def _folds(self) -> str:
         return f"{self.location}/_folds_{self.raw_db}"

@@ -13,6 +13,7 @@ from fraudlake.schemas import KAFKA_RECORD
 from fraudlake.session import path_exists
 
 POSITION = ["partition", "offset"]
+PROGRESS = "partition INT, next_offset BIGINT, file STRING"
 
 
 @dataclass(frozen=True)
@@ -49,32 +50,29 @@ class RecordSource:
         options = self._subscription() | {"startingOffsets": starting_offsets, "endingOffsets": "latest"}
         return spark.read.format("kafka").options(**options).load()
 
-    def beyond(self, spark: SparkSession, progress: DataFrame | None) -> DataFrame:
-        """What is there beyond saved progress: the records, of files with their ``_file``.
+    def beyond(self, spark: SparkSession, progress: DataFrame | None) -> tuple[DataFrame | None, DataFrame | None]:
+        """What is there beyond saved progress: the records, and of files the progress they make.
 
-        A topic is read from the saved offsets on, and a partition without an entry from its
-        start. Of files those are read whose names are not saved, whatever positions they hold.
+        A topic is read from the saved offsets on, and a partition without an entry from its start; how far,
+        the records tell (``reached``). Of files only those are opened whose names are not saved, whatever
+        positions they hold; both are None if there are none.
         """
         if self.format == "kafka":
             offsets = None if progress is None else progress.select("partition", "next_offset")
-            return self.batch(spark, starting_offsets(offsets, self.options["topic"], self.partitions))
-        records = self.batch(spark).withColumn("_file", F.col("_metadata.file_path"))
-        return records if progress is None else records.join(progress.select(F.col("file").alias("_file")), "_file", "left_anti")
+            return self.batch(spark, starting_offsets(offsets, self.options["topic"], self.partitions)), None
+        listed = self.batch(spark).inputFiles()  # a listing, nothing is opened
+        files = spark.createDataFrame([(name,) for name in listed], "file STRING")
+        if progress is not None:
+            files = files.join(progress.select("file"), "file", "left_anti")
+        new = sorted(r["file"] for r in files.collect())  # at most the names listed above
+        if not new:
+            return None, None
+        reached = spark.createDataFrame([(None, None, name) for name in new], PROGRESS)
+        return spark.read.schema(KAFKA_RECORD).format(self.format).load(new), reached
 
     def reached(self, records: DataFrame) -> DataFrame:
-        """The progress after these records (from ``beyond``): next offsets, or names of files."""
-        if self.format == "kafka":
-            return next_offsets(records).withColumn("file", F.lit(None).cast("string"))
-        files = records.select(F.col("_file").alias("file")).distinct()
-        return files.select(F.lit(None).cast("int").alias("partition"), F.lit(None).cast("long").alias("next_offset"), "file")
-
-    def up_to(self, records: DataFrame, reached: DataFrame) -> DataFrame:
-        """Those of the records that ``reached`` covers, also when more have come meanwhile."""
-        if self.format != "kafka":
-            return records.join(reached.select(F.col("file").alias("_file")), "_file", "left_semi")
-        ends = reached.select(F.col("partition").alias("_partition"), "next_offset")
-        inside = (F.col("partition") == F.col("_partition")) & (F.col("offset") < F.col("next_offset"))
-        return records.join(ends, inside, "left_semi")
+        """The progress of a topic after these records: the next offset of each partition."""
+        return next_offsets(records).withColumn("file", F.lit(None).cast("string"))
 
     def stream(self, spark: SparkSession, max_per_trigger: int | None = None) -> DataFrame:
         """Records as they come; ``max_per_trigger`` limits a micro-batch, in offsets of a
@@ -136,10 +134,10 @@ def next_offsets(records: DataFrame, previous: DataFrame | None = None) -> DataF
 
 
 def saved_progress(spark: SparkSession, path: str) -> DataFrame | None:
-    """Progress saved at ``path`` by all runs (``run``, and what ``reached`` gives); None before the first."""
+    """Progress saved at ``path`` by all runs (``run``, and offsets or names of files); None before the first."""
     if not path_exists(spark, path):
         return None
-    return spark.read.schema("run INT, partition INT, next_offset BIGINT, file STRING").parquet(path)
+    return spark.read.schema(f"run INT, {PROGRESS}").parquet(path)
 
 
 def latest(progress: DataFrame) -> DataFrame:

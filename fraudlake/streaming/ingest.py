@@ -3,14 +3,16 @@
 from __future__ import annotations
 
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 from datetime import datetime, timezone
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from fraudlake.functions import day_of, parse_event_time
 from fraudlake.schemas import QUARANTINE, RAW_TRANSACTIONS, WIRE_EVENT
-from fraudlake.session import path_exists
+from fraudlake.session import delete_path, path_exists, scratch_dir
 from fraudlake.sources.lake import Lake
 from fraudlake.sources.records import RecordSource, latest, saved_progress
 
@@ -99,8 +101,10 @@ def ingest(
     def write(batch: DataFrame, batch_id: int) -> None:
         nonlocal read
         stream_id = batch.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId")
-        _store(lake, decode(batch, _now() if ingested_at is None else ingested_at), f"{stream_id}-{batch_id:08d}", nan_to_null, allow_fraction)
-        read += batch.count()
+        label = f"{stream_id}-{batch_id:08d}"
+        with _taken_in(decode(batch, _now() if ingested_at is None else ingested_at)) as (decoded, rows):
+            _store(lake, decoded, label, nan_to_null, allow_fraction)
+        read += rows
 
     query = (
         source.stream(lake.spark, max_per_trigger or source.usual_batch)
@@ -131,26 +135,42 @@ def ingest_batch(
 
     Progress is kept as files and saved after the rows are written: next offsets of a topic, or
     the names of the files taken. A run that broke in between is repeated and overwrites what it
-    had written: a batch is named after this progress folder and the number of the run. Records
-    are read for either table, up to an end that is fixed before.
+    had written: a batch is named after this progress folder and the number of the run. The source is
+    read once, and of files only the new ones.
     """
     spark = lake.spark
     saved = saved_progress(spark, offsets_path)
     run = 0 if saved is None else saved.agg(F.max("run")).first()[0] + 1
-    records = source.beyond(spark, None if saved is None else latest(saved))
-    pending = f"{offsets_path}-pending"
-    source.reached(records).withColumn("run", F.lit(run)).coalesce(1).write.mode("overwrite").parquet(pending)
-    reached = spark.read.schema("run INT, partition INT, next_offset BIGINT, file STRING").parquet(pending)
-    if reached.isEmpty():
+    records, reached = source.beyond(spark, None if saved is None else latest(saved))
+    if records is None:
         return 0
-    covered = source.up_to(records, reached)
-    label = f"{_stream_id(lake, offsets_path)}-{run:08d}"
-    _store(lake, decode(covered, _now() if ingested_at is None else ingested_at), label, nan_to_null, allow_fraction)
-    read = covered.count()
-    reached.coalesce(1).write.mode("append").parquet(offsets_path)
+    with _taken_in(decode(records, _now() if ingested_at is None else ingested_at)) as (decoded, read):
+        if read:
+            _store(lake, decoded, f"{_stream_id(lake, offsets_path)}-{run:08d}", nan_to_null, allow_fraction)
+        if reached is None:
+            place = {"partition": F.col("kafka_partition"), "offset": F.col("kafka_offset")}
+            reached = source.reached(decoded.select(*(c.alias(name) for name, c in place.items())))
+        if read or source.format != "kafka":
+            reached.withColumn("run", F.lit(run)).coalesce(1).write.mode("append").parquet(offsets_path)
     return read
 
 
+@contextmanager
+def _taken_in(decoded: DataFrame) -> Iterator[tuple[DataFrame, int]]:
+    """The decoded batch as a table of its own, as long as it is needed, and how many rows it has.
+
+    So the source is read and decoded once, whatever is made of the batch; rows are counted on the way.
+    """
+    spark = decoded.sparkSession
+    path = scratch_dir(spark, "batch")
+    counted = Observation()
+    decoded.observe(counted, F.count(F.lit(1)).alias("rows")).write.parquet(path)
+    try:
+        yield spark.read.schema(decoded.schema).parquet(path), counted.get["rows"]
+    finally:
+        delete_path(spark, path)
+
+
 def _stream_id(lake: Lake, offsets_path: str) -> str:
     """What tells the batches of this progress folder from all others; made up once and kept."""
     path = f"{offsets_path}-id"

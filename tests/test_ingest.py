@@ -150,7 +150,7 @@ def test_batch_runs_go_on_from_saved_offsets(spark, lake, folder):
     assert lake.read(lake.quarantine).count() == 1
     saved = records.saved_progress(spark, offsets)
     assert {r["run"] for r in saved.collect()} == {0, 1}
-    assert records.latest(saved).count() == source.batch(spark).select("_metadata.file_path").distinct().count()
+    assert {r["file"] for r in records.latest(saved).collect()} == set(source.batch(spark).inputFiles())
 
 
 def test_batch_run_repeated_after_a_failure(spark, lake, folder, monkeypatch):
@@ -206,13 +206,47 @@ def test_records_with_positions_seen_before_are_taken(spark, lake, folder):
     assert lake.read(lake.raw).count() == 6
 
 
-def test_topic_progress_has_a_fixed_end(spark):
-    source = RecordSource.kafka("h:1", "topic")
-    rows = sent(spark, ["a", "b", "c"])
-    reached = source.reached(rows)
+def test_topic_progress_follows_from_the_records(spark):
+    reached = RecordSource.kafka("h:1", "topic").reached(sent(spark, ["a", "b", "c"]))
     assert {(r["partition"], r["next_offset"]) for r in reached.collect()} == {(0, 3), (1, 2)}
-    more = rows.unionByName(sent(spark, ["d", "e"], first=3))
-    assert sorted(r["offset"] for r in source.up_to(more, reached).collect()) == [0, 1, 2]
+
+
+def test_only_new_files_are_read(spark, lake, folder):
+    source = RecordSource.files(f"{folder}/records")
+    for k in range(3):
+        before = set(source.batch(spark).inputFiles()) if k else set()
+        source.write(sent(spark, [event(f"{k}-{i}") for i in range(3)]))
+        saved = records.saved_progress(spark, f"{folder}/o")
+        found, reached = source.beyond(spark, None if saved is None else records.latest(saved))
+        new = set(source.batch(spark).inputFiles()) - before
+        assert set(found.inputFiles()) == {r["file"] for r in reached.collect()} == new
+        assert ingesting.ingest_batch(lake, source, f"{folder}/o") == 3
+    assert source.beyond(spark, records.latest(records.saved_progress(spark, f"{folder}/o"))) == (None, None)
+    assert ingesting.ingest_batch(lake, source, f"{folder}/o") == 0
+
+
+def test_a_batch_is_read_once(spark, lake, folder):
+    """One scan of the records fills both tables; what it was staged in is gone afterwards."""
+    source = RecordSource.files(f"{folder}/records")
+    source.write(sent(spark, [event(0), "bad"]))
+    read = spark.sparkContext.accumulator(0)
+    whole = ingesting.decode
+
+    def counting(found, at):
+        def each(rows):
+            for row in rows:
+                read.add(len(row))
+                yield row
+
+        return whole(found.mapInPandas(each, found.schema), at)
+
+    ingesting.decode = counting
+    try:
+        assert ingesting.ingest_batch(lake, source, f"{folder}/o") == 2
+    finally:
+        ingesting.decode = whole
+    assert read.value == 2  # rows, each once
+    assert (lake.read(lake.raw).count(), lake.read(lake.quarantine).count()) == (1, 1)
 
 
 def test_offsets_are_merged(spark):
