@@ -66,13 +66,13 @@ def test_whole_table(spark):
     assert any(not r[-1] for r in rows) and any(r[-1] for r in rows)
 
 
-@pytest.mark.parametrize(("fanout", "levels"), [(2, 0), (2, 1), (2, 3), (3, 1), (4, 2)])
+@pytest.mark.parametrize(("fanout", "levels"), [(2, 2), (3, 1)])
 def test_exchange_over_many_blocks_is_the_plain_tree(spark, fanout, levels):
     docs = cases.table_of(spark, "/root/testdata/sf0.001")
     assert found(manifest_query(docs, fanout=fanout, levels=levels, rows_per_range=30)) == expected(docs.collect(), fanout)
 
 
-@pytest.mark.parametrize("members", [1, 2, 3, 5, 8, 13])
+@pytest.mark.parametrize("members", [1, 3, 13])
 def test_every_member_gets_the_root_and_its_proof(spark, members):
     nodes = [digest(str(k)) for k in range(members)]
     nothing = F.expr("cast(array() as array<string>)")
