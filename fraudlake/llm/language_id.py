@@ -43,9 +43,7 @@ FAMILIES = {
 }
 FAMILY_OF = {code: family for family, codes in FAMILIES.items() for code in codes.split()}
 
-# \w also has numerals that are neither letters nor digits, such as fractions and Roman ones
-_NUMERALS = "".join(c for c in map(chr, range(0x110000)) if c.isnumeric() and not c.isalpha())
-_NOT_LETTERS = re.compile(rf"[\W\d_{_NUMERALS}]+")
+_NOT_LETTERS = re.compile(r"[\W\d_]+")
 _BLOCK = 1 << 20
 _MIX = [np.uint64(m) for m in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9)]
 
@@ -54,9 +52,18 @@ def family(lang: str) -> str:
     return FAMILY_OF.get(lang.lower().split("-")[0], lang)
 
 
+def letters_of(text: str) -> str:
+    """The text's letters with a space for each stretch of anything else, none at the ends."""
+    letters = _NOT_LETTERS.sub(" ", text)
+    # \w also has numerals that are neither letters nor digits, such as fractions and Roman ones; few texts have any
+    if not letters.replace(" ", "").isalpha():
+        letters = " ".join("".join(c if c.isalpha() else " " for c in letters).split())
+    return letters.strip()
+
+
 def features(text: str, dimensions: int = DIMENSIONS) -> np.ndarray | None:
     """Roots of hashed n-gram counts, of length 1; None if the text has no letter."""
-    letters = _NOT_LETTERS.sub(" ", text.lower()).strip()
+    letters = letters_of(text.lower())
     if not letters:
         return None
     codes = np.frombuffer(f" {letters} ".encode("utf-32-le", "surrogatepass"), dtype=np.uint32).astype(np.uint64)
@@ -160,7 +167,7 @@ def has_letter(text: Column) -> Column:
 
     @F.pandas_udf("boolean")
     def found(texts: pd.Series) -> pd.Series:
-        return pd.Series([t is not None and bool(_NOT_LETTERS.sub("", t)) for t in texts], dtype=bool)
+        return pd.Series([t is not None and bool(letters_of(t)) for t in texts], dtype=bool)
 
     return found(text)
 
