@@ -1,9 +1,9 @@
 """Collocations from count streams in prefix and suffix order.
 
-1. Counting. Words first, then pairs of frequent words, then longer phrases all of whose pairs are
-   frequent. A phrase occurs at most as often as any part of it, so what is left out cannot reach the
-   least count. Which words or pairs are frequent, tasks learn from a Bloom filter of at most 16 MB; it
-   may let more through, never less, and the counts decide.
+1. Counting. Words first, then (by hash) pairs of frequent words, then all phrases whose pairs are frequent.
+   A phrase occurs at most as often as any part of it, so what is left out cannot reach the least count.
+   Which words or pairs are frequent, tasks learn from a Bloom filter of at most 16 MB; filters and
+   hashes may let more through, never less, and the counts of the phrases themselves decide.
 2. The counts of frequent phrases are kept as a stream in prefix order (by their words) and one in
    suffix order (by their words from the last to the first). In the one a phrase follows all its
    beginnings, in the other all its ends. So one walk along each, with a stack of the phrases that the
@@ -33,7 +33,7 @@ LONGEST = 5  # words
 LEAST = 100  # occurrences
 ABSORBED = 100  # per cent of its occurrences that lie in one longer phrase
 TOP = 2000
-CHUNK_BYTES = 8 << 20
+CHUNK_BYTES = 4 << 20
 FILTER_BITS = 1 << 27
 ROWS_PER_RANGE = 20_000
 TOP_SALTS = 16
@@ -118,20 +118,18 @@ def pair_hashes(first: np.ndarray, second: np.ndarray) -> np.ndarray:
     return mixed ^ (mixed >> np.uint64(29))
 
 
-def filter_of(phrases: DataFrame, most_bits: int = FILTER_BITS) -> Filter:
-    """The filter of phrases (lang, phrase) of one or of two words, 16 bits for each as far as most_bits goes."""
+def filter_of(hashes: DataFrame, most_bits: int = FILTER_BITS) -> Filter:
+    """The filter of hashes (column h), 16 bits for each as far as most_bits goes."""
     size = 1 << 12
-    while size < min(most_bits, 16 * phrases.count()):
+    while size < min(most_bits, 16 * hashes.count()):
         size *= 2
 
     def places(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            for lang, rows in batch.groupby("lang"):
-                words = [word_hashes(lang, list(part)) for part in zip(*(p.encode().split(b" ") for p in rows["phrase"]), strict=True)]
-                yield pd.DataFrame({"place": Filter.places(words[0] if len(words) == 1 else pair_hashes(*words), size).ravel().astype(np.int64)})
+            yield pd.DataFrame({"place": Filter.places(batch["h"].to_numpy(dtype=np.int64).view(np.uint64), size).ravel().astype(np.int64)})
 
     cells = (
-        phrases.select("lang", "phrase")
+        hashes.select("h")
         .mapInPandas(places, "place bigint")
         .groupBy(F.shiftright("place", 6).alias("cell"))
         .agg(F.bit_or(F.expr("shiftleft(1L, cast(place & 63 as int))")).alias("bits"))
@@ -142,71 +140,98 @@ def filter_of(phrases: DataFrame, most_bits: int = FILTER_BITS) -> Filter:
     return Filter(bits)
 
 
-def counted(docs: DataFrame, sizes: range, allowed: Filter | None, chunk_bytes: int = CHUNK_BYTES) -> DataFrame:
-    """lang, phrase, f of the phrases of these sizes in docs (lang, text).
+def texts_of(docs: DataFrame) -> DataFrame:
+    return docs.select(F.coalesce(F.col("lang").cast("string"), F.lit("und")).alias("lang"), whole_text().cast("binary").alias("text"))
 
-    allowed holds words if sizes begins at 2, pairs if it begins at 3: phrases with others are left out.
-    """
-    shared = docs.sparkSession.sparkContext.broadcast(allowed)
+
+def _counted(lang: str, phrases: list[bytes], counts: np.ndarray) -> Iterator[pa.RecordBatch]:
+    for k in range(0, len(phrases), 100_000):
+        part = phrases[k : k + 100_000]
+        yield pa.record_batch(
+            [pa.array([lang] * len(part), pa.string()), pa.array(part, pa.string()), pa.array(counts[k : k + 100_000], pa.int64())],
+            ["lang", "phrase", "n"],
+        )
+
+
+def word_counts(texts: DataFrame, chunk_bytes: int) -> DataFrame:
+    """lang, phrase, f of all words of texts (lang, text)."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for lang, chunk in chunks(batches, chunk_bytes):
+            words, ids = word_ids(chunk)
+            yield from _counted(lang, words, np.bincount(ids[ids >= 0], minlength=len(words)))
+
+    each = texts.mapInArrow(run, "lang string, phrase string, n bigint")
+    return each.groupBy("lang", "phrase").agg(F.sum("n").alias("f"))
+
+
+def frequent_words(words: DataFrame) -> DataFrame:
+    """h of words (lang, phrase)."""
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            for lang, rows in batch.groupby("lang"):
+                yield pd.DataFrame({"h": word_hashes(lang, [p.encode() for p in rows["phrase"]]).view(np.int64)})
+
+    return words.select("lang", "phrase").mapInPandas(run, "h bigint")
+
+
+def frequent_pairs(texts: DataFrame, allowed: Filter, least: int, chunk_bytes: int) -> DataFrame:
+    """h of the pairs of allowed words that may occur least times: pairs of equal hash are counted as one."""
+    shared = texts.sparkSession.sparkContext.broadcast(allowed)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for lang, chunk in chunks(batches, chunk_bytes):
+            words, ids = word_ids(chunk)
+            hashes = word_hashes(lang, words)
+            good = np.append(shared.value.has(hashes), False)[ids]  # the last one is that of -1
+            at = np.flatnonzero(good[:-1] & good[1:])
+            code = np.sort(ids[at] * len(words) + ids[at + 1])
+            first = np.flatnonzero(np.append(True, code[1:] != code[:-1])) if len(code) else at
+            counts, code = np.diff(np.append(first, len(code))), code[first]
+            h = pair_hashes(hashes[code // len(words)], hashes[code % len(words)]).view(np.int64)
+            for k in range(0, len(h), 500_000):
+                yield pa.record_batch([pa.array(h[k : k + 500_000]), pa.array(counts[k : k + 500_000])], ["h", "n"])
+
+    each = texts.mapInArrow(run, "h bigint, n bigint")
+    return each.groupBy("h").agg(F.sum("n").alias("n")).filter(F.col("n") >= least).select("h")
+
+
+def phrase_counts(texts: DataFrame, longest: int, allowed: Filter, chunk_bytes: int) -> DataFrame:
+    """lang, phrase, f of the phrases of 2 to longest words all of whose pairs are allowed."""
+    shared = texts.sparkSession.sparkContext.broadcast(allowed)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for lang, chunk in chunks(batches, chunk_bytes):
             words, ids = word_ids(chunk)
-            for phrases, counts in _phrases(lang, words, ids, sizes, shared.value):
-                for k in range(0, len(phrases), 100_000):
-                    part = phrases[k : k + 100_000]
-                    yield pa.record_batch(
-                        [pa.array([lang] * len(part), pa.string()), pa.array(part, pa.string()), pa.array(counts[k : k + 100_000], pa.int64())],
-                        ["lang", "phrase", "n"],
-                    )
-
-    texts = docs.select(F.coalesce(F.col("lang").cast("string"), F.lit("und")).alias("lang"), whole_text().cast("binary").alias("text"))
-    return texts.mapInArrow(run, "lang string, phrase string, n bigint").groupBy("lang", "phrase").agg(F.sum("n").alias("f"))
-
-
-def _phrases(lang: str, words: list[bytes], ids: np.ndarray, sizes: range, allowed: Filter | None) -> Iterator[tuple[list[bytes], np.ndarray]]:
-    if sizes.start == 1:
-        counts = np.bincount(ids[ids >= 0], minlength=len(words))
-        yield words, counts
-        return
-    hashes = word_hashes(lang, words)
-    good = np.append(ids >= 0, False)
-    if sizes.start == 2:
-        good[:-1] &= np.append(allowed.has(hashes), False)[ids]
-    at = np.flatnonzero(good[:-1] & good[1:])
-    code, first = np.unique(ids[at] * len(words) + ids[at + 1], return_inverse=True)
-    if sizes.start == 3:  # only pairs that may be frequent
-        known = allowed.has(pair_hashes(hashes[code // len(words)], hashes[code % len(words)]))[first]
-        at, first = at[known], first[known]
-    pair = np.zeros(len(ids) + 1, dtype=bool)
-    pair[at] = True
-    for size in range(2, sizes.stop):
-        if size > 2:
-            goes_on = pair[at + size - 2]
-            at, first = at[goes_on], first[goes_on]
-            code, first = np.unique(first * len(words) + ids[at + size - 1], return_inverse=True)
-        if size in sizes:
-            counts = np.bincount(first, minlength=len(code))
-            where = np.zeros(len(code), dtype=np.int64)
-            where[first] = at
-            kept = np.flatnonzero(counts)
-            yield [b" ".join([words[i] for i in ids[p : p + size].tolist()]) for p in where[kept].tolist()], counts[kept]
+            hashes = np.append(word_hashes(lang, words), np.uint64(0))
+            at = np.flatnonzero((ids[:-1] >= 0) & (ids[1:] >= 0))
+            at = at[shared.value.has(pair_hashes(hashes[ids[at]], hashes[ids[at + 1]]))]
+            pair = np.zeros(len(ids) + longest, dtype=bool)
+            pair[at] = True
+            first = ids[at]
+            for size in range(2, longest + 1):
+                goes_on = pair[at + size - 2]
+                at, first = at[goes_on], first[goes_on]
+                code, first = np.unique(first * len(words) + ids[at + size - 1], return_inverse=True)
+                where = np.zeros(len(code), dtype=np.int64)
+                where[first] = at
+                phrases = [b" ".join([words[i] for i in ids[p : p + size].tolist()]) for p in where.tolist()]
+                yield from _counted(lang, phrases, np.bincount(first, minlength=len(code)))
+
+    each = texts.mapInArrow(run, "lang string, phrase string, n bigint")
+    return each.groupBy("lang", "phrase").agg(F.sum("n").alias("f"))
 
 
 def frequent(docs: DataFrame, least: int = LEAST, longest: int = LONGEST, chunk_bytes: int = CHUNK_BYTES) -> tuple[DataFrame, DataFrame]:
     """lang, phrase, f of all phrases of up to longest words that occur least times; and n, all words of each lang."""
-    docs = docs.select("lang", "text")
-    words = written(counted(docs, range(1, 2), None, chunk_bytes), "words")
+    texts = texts_of(docs)
+    words = written(word_counts(texts, chunk_bytes), "words")
     totals = written(words.groupBy("lang").agg(F.sum("f").alias("n")), "totals")
-    found = [words.filter(F.col("f") >= least)]
-    for sizes in (range(2, 3), range(3, longest + 1)):
-        if sizes and longest > 1:
-            more = counted(docs, sizes, filter_of(found[-1]), chunk_bytes).filter(F.col("f") >= least)
-            found.append(written(more, "phrases"))
-    out = found[0]
-    for more in found[1:]:
-        out = out.unionByName(more)
-    return out, totals
+    words = words.filter(F.col("f") >= least)
+    pairs = written(frequent_pairs(texts, filter_of(frequent_words(words)), least, chunk_bytes), "pairs")
+    phrases = phrase_counts(texts, longest, filter_of(pairs), chunk_bytes).filter(F.col("f") >= least)
+    return words.unionByName(written(phrases, "phrases")), totals
 
 
 def along(stream: DataFrame, key: str, counts: str, absorbed: int = ABSORBED, rows_per_range: int = ROWS_PER_RANGE) -> DataFrame:

@@ -65,7 +65,7 @@ def test_small_ranges_and_chunks(spark, seed):
     text = lambda: " ".join(rng.choice("a b b c the The é . , x\t y\n z!".split(" ")) for _ in range(rng.randrange(60)))
     rows = [(rng.choice(["en", "de", None]), text()) for _ in range(120)]
     docs = spark.createDataFrame(rows, "lang string, text string")
-    for options in ({"least": 3}, {"least": 5, "absorbed": 60}, {"least": 2, "longest": 3}):
+    for options in [{"least": 3}, {"least": 5, "absorbed": 60}, {"least": 2, "longest": 3}][seed : seed + 1]:
         assert found(docs, rows_per_range=11, chunk_bytes=300, **options) == brute(rows, **options)
 
 
@@ -95,16 +95,22 @@ def test_most_are_ranked_with_ties(spark):
 
 
 def test_filter_has_no_false_negative_and_stays_small(spark):
-    phrases = spark.createDataFrame([("en", f"w{k} v{k % 7}") for k in range(3000)], "lang string, phrase string")
+    hashes = pair_hashes(word_hashes("en", [b"w%d" % k for k in range(3000)]), word_hashes("en", [b"v%d" % (k % 7) for k in range(3000)]))
+    held = spark.createDataFrame([(h,) for h in hashes.view(np.int64).tolist()], "h long")
     for most in (1 << 12, 1 << 27):
-        known = filter_of(phrases, most)
+        known = filter_of(held, most)
         assert known.bits.nbytes * 8 <= max(most, 1 << 12)
-        hashes = pair_hashes(word_hashes("en", [b"w%d" % k for k in range(3000)]), word_hashes("en", [b"v%d" % (k % 7) for k in range(3000)]))
         assert known.has(hashes).all()
     assert known.has(word_hashes("en", [b"other%d" % k for k in range(3000)])).mean() < 0.1
     assert not Filter(np.zeros(64, dtype=np.uint64)).has(word_hashes("en", [b"x"])).any()
 
 
+def test_a_full_filter_changes_nothing(spark, monkeypatch):
+    docs = cases.table_of(spark, "/root/testdata/sf0.001")
+    monkeypatch.setattr(Filter, "has", lambda self, hashes: np.ones(len(hashes), dtype=bool))
+    assert found(docs, least=200) == brute(pairs(docs), least=200)
+
+
 def test_segments_keep_pieces_and_words():
     text = ("Ab cd. ef,gh\ti " * 50 + "long" * 30 + " x; y").encode()
     joined = b"".join(segments(text, 40))
