@@ -173,9 +173,10 @@ def with_sets(docs: DataFrame) -> DataFrame:
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         words = WordHashes()
         for batch in batches:
-            sets = [shingles(text, words) for text in batch["text"]]
-            rows = [(xxhash.xxh3_128_digest(hashes), hashes.tobytes()) for hashes in sets if len(hashes)]
-            yield pd.DataFrame(rows, columns=["set_id", "set"])
+            for start in range(0, len(batch), 1000):  # sets are larger than their texts
+                sets = [shingles(text, words) for text in batch["text"].iloc[start : start + 1000]]
+                rows = [(xxhash.xxh3_128_digest(hashes), hashes.tobytes()) for hashes in sets if len(hashes)]
+                yield pd.DataFrame(rows, columns=["set_id", "set"])
 
     return docs.select("doc_id", "text").mapInPandas(run, "set_id binary, set binary")
 
