@@ -26,7 +26,7 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from fraudlake.llm.common import whole_text, written
+from fraudlake.llm.common import bounded_batches, whole_text, written
 from fraudlake.operators.ranks import in_ranges
 
 LONGEST = 5  # words
@@ -307,6 +307,7 @@ def collocations(
     A phrase that a longer one absorbs is absorbed by one that is a single word longer, too: what lies
     between them occurs at least as often as the longer one.
     """
+    bounded_batches(docs.sparkSession)
     phrases, totals = frequent(docs, least, longest, chunk_bytes)
     stream = phrases.select("lang", F.split("phrase", " ").alias("words"), "f")
     firsts = along(stream, "words", "lefts", absorbed, rows_per_range).withColumnRenamed("whole", "_so_far")

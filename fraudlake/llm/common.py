@@ -10,11 +10,19 @@ from pyspark.sql import functions as F
 
 from fraudlake.session import written as written
 
+BATCH_BYTES = 4 << 20
+
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+def bounded_batches(spark: SparkSession) -> None:
+    """From here on, Arrow batches between Spark and Python end at BATCH_BYTES, not only at their 10,000 rows,
+    which may be hundreds of megabytes of texts. A longer row is a batch of its own."""
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
+
+
 def fresh(df: DataFrame, name: str) -> str:
     """A column name that df does not have, whatever its own columns are called."""
     taken = {c.lower() for c in df.columns}
