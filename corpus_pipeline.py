@@ -3,22 +3,36 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import wraps
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fraudlake.llm.common import fresh, table, written
+from fraudlake.llm.common import bounded_batches, fresh, table, written
 from fraudlake.llm.decontaminate import clean
 from fraudlake.llm.language_id import UNDETERMINED, fit, has_letter, predict
 from fraudlake.llm.near_dedup import among, near_duplicates
 from fraudlake.llm.packing import place
 from fraudlake.llm.pii import mask
 
+Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 #: A document whose language is less sure than this is rejected.
 LEAST_SURE = 0.5
 
 
+def in_bounded_batches(stage: Stage) -> Stage:
+    """The stage, with texts handed to Python in batches of bounded size."""
+
+    @wraps(stage)
+    def run_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+        bounded_batches(spark)
+        return stage(spark, docs, sf_dir)
+
+    return run_stage
+
+
+@in_bounded_batches
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose language can be told: null text, text without a letter, and text whose predicted
     language has a score below LEAST_SURE go.
@@ -33,6 +47,7 @@ def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return predict(docs, model, found).filter(told).drop(found)
 
 
+@in_bounded_batches
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One row of each group of near duplicates, that of the smallest doc_id; of equal or no doc_ids, any one.
 
@@ -48,22 +63,25 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return among(docs, [row], drop, "left_anti").drop(row)
 
 
+@in_bounded_batches
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that contain no item of the benchmark."""
     return clean(docs, table(spark, sf_dir, "benchmark"))
 
 
+@in_bounded_batches
 def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents, with personal data masked."""
     return mask(docs)
 
 
+@in_bounded_batches
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The documents' pieces and their places in sequences of the context length."""
     return place(docs, added=True)
 
 
-STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [
+STAGES: list[tuple[str, Stage]] = [
     ("language_id", language),
     ("near_dedup", near_dedup),
     ("decontamination", decontaminate),
