@@ -1,11 +1,11 @@
-"""Helpers the operators share: written tables, unclashing names, numbered groups, streamed groups."""
+"""Helpers the operators share: written tables, unclashing names, streamed groups."""
 
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from fraudlake.session import written as written
@@ -35,29 +35,6 @@ def whole_text(column: str = "text") -> Column:
     return F.coalesce(F.col(column).cast("string"), F.lit(""))
 
 
-def numbered(df: DataFrame, group: list[str], order: list[str], out: str, rows_per_task: int = 200_000) -> DataFrame:
-    """df with out: 0, 1, 2 ... within each group, without gaps.
-
-    A group of any size is spread over as many salts as the row count asks for: rows are numbered
-    within their salt, and start where the smaller salts of the group end. df is read three times
-    and should be a written table. Rows equal in order are numbered in any order.
-    """
-    salts = -(-df.count() // rows_per_task) or 1
-    salted = df.withColumn("_salt", F.pmod(F.xxhash64(*order), F.lit(salts)).cast("int"))
-    before = Window.partitionBy(*group).orderBy("_salt").rowsBetween(Window.unboundedPreceding, -1)
-    starts = (
-        salted.groupBy(*group, "_salt")
-        .count()
-        .select(*group, "_salt", F.coalesce(F.sum("count").over(before), F.lit(0)).alias("_start"))
-    )
-    place = Window.partitionBy(*group, "_salt").orderBy(*order)
-    return (
-        salted.join(starts, [*group, "_salt"])
-        .withColumn(out, F.col("_start") + F.row_number().over(place) - 1)
-        .drop("_salt", "_start")
-    )
-
-
 def by_run(batches: Iterator[pd.DataFrame], keys: list[str]) -> Iterator[pd.DataFrame]:
     """The groups of a stream that is sorted by keys; a group may go on in the next batch.
 

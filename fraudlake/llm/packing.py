@@ -16,8 +16,9 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from fraudlake.llm.common import numbered, whole_text, written
+from fraudlake.llm.common import whole_text, written
 from fraudlake.llm.tokens import RANKS, token_ids
+from fraudlake.operators.ranks import ranked
 
 CAPACITY = 2048
 END_ID = 0
@@ -126,7 +127,10 @@ def best_fit_runs(counts: dict[int, int], capacity: int = CAPACITY) -> list[tupl
 
 
 def pack(cut: DataFrame, capacity: int = CAPACITY) -> DataFrame:
-    """cut (doc_id, piece, length and more; a written table) with sequence_id and offset."""
+    """cut (doc_id, piece, length and more; a written table) with sequence_id and offset.
+
+    Pieces are numbered in ranges of bounded size, also where most rows are equal (no doc_id, no text).
+    """
     counts = {r["length"]: r["count"] for r in cut.groupBy("length").count().collect()}  # at most capacity rows
     runs = best_fit_runs(counts, capacity)
     plan = cut.sparkSession.createDataFrame(
@@ -134,10 +138,11 @@ def pack(cut: DataFrame, capacity: int = CAPACITY) -> DataFrame:
     )
     if len(runs) <= BROADCAST_RUNS:
         plan = F.broadcast(plan)
-    ranked = numbered(cut, ["length"], [c for c in ("doc_id", "piece", "start", "ids_crc32") if c in cut.columns], "_number")
+    order = [c for c in ("doc_id", "piece", "start", "ids_crc32") if c in cut.columns]
+    placed = ranked(cut, ["length"], order, "_number")
     past = F.col("_number") - F.col("_rank")
     return (
-        ranked.join(plan, (F.col("length") == F.col("_length")) & (past >= 0) & (past < F.col("_items")))
+        placed.join(plan, (F.col("length") == F.col("_length")) & (past >= 0) & (past < F.col("_items")))
         .withColumn("sequence_id", F.col("_bin") + F.floor(past / F.col("_per")))
         .withColumn("offset", F.col("_offset") + past % F.col("_per") * F.col("length"))
         .drop("_number", "_length", "_rank", "_items", "_bin", "_per", "_offset")

@@ -21,7 +21,8 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from fraudlake.llm.common import numbered, written
+from fraudlake.llm.common import written
+from fraudlake.operators.ranks import ranked
 
 SHARDS = 8
 BUCKET_ROWS = 4096
@@ -135,8 +136,8 @@ def shard(docs: DataFrame, shards: int = SHARDS) -> DataFrame:
         "sized",
     )
     groups = written(rows.groupBy("group").agg(F.sum("size").alias("weight")), "groups")
-    placed = written(rows.join(shards_of(groups, shards), "group").drop("group"), "placed")
-    return numbered(placed, ["shard"], ["doc_id", "size", "text_crc32"], "slot")
+    placed = rows.join(shards_of(groups, shards), "group").drop("group")
+    return ranked(placed, ["shard"], ["doc_id", "size", "text_crc32"], "slot")
 
 
 def sharding_query(docs: DataFrame) -> DataFrame:

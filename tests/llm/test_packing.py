@@ -8,10 +8,12 @@ import pytest
 from tokenizers import Tokenizer
 
 import corpus_pipeline
+from fraudlake.llm import packing
 from fraudlake.llm.packing import CAPACITY, OpenBins, best_fit_runs, place, sequences
 from fraudlake.llm.queries import QUERIES
 from fraudlake.llm.token_counts import context_limits, length_histogram, quantiles, token_count_query
 from fraudlake.llm.tokens import parts, token_count, token_ids
+from fraudlake.operators.ranks import in_ranges
 from tests.llm import cases
 
 SMALL = "/root/testdata/sf0.001"
@@ -128,6 +130,20 @@ def test_odd_rows_and_empty_table(spark, library):
     assert token_count_query(cases.empty(spark)).collect() == []
 
 
+def test_half_of_the_rows_are_equal(spark, library, monkeypatch):
+    plain, sizes = packing.ranked, []
+
+    def small_ranges(df, group, order, out):
+        sizes.extend(r["count"] for r in in_ranges(df, [*group, *order], 50).groupBy("_range").count().collect())
+        return plain(df, group, order, out, rows_per_range=50)
+
+    monkeypatch.setattr(packing, "ranked", small_ranges)
+    docs = [(None, None)] * 400 + [(k, f"some text {k}") for k in range(400)]
+    placed = place(spark.createDataFrame(docs, "doc_id bigint, text string")).collect()
+    assert check_places(placed, expected_pieces(docs, library)) == 1 + (len(docs) + sum(map(len, map(library, (t or "" for _, t in docs))))) // CAPACITY
+    assert max(sizes) <= 100
+
+
 def test_sequences_hold_the_ids(spark, library):
     docs = cases.table_of(spark, SMALL)
     placed = place(docs)

@@ -7,6 +7,7 @@ import pytest
 from fraudlake.llm import sharding
 from fraudlake.llm.common import written
 from fraudlake.llm.sharding import differenced, shard, sharding_query, shards_of
+from fraudlake.operators.ranks import in_ranges
 from tests.llm import cases
 
 
@@ -92,9 +93,9 @@ def test_a_heavy_group_stays_whole(spark):
     check(shard(spark.createDataFrame(rows, "doc_id long, text string")).collect(), [t for _, t in rows])
 
 
-def test_slots_over_many_salts(spark, monkeypatch):
-    plain = sharding.numbered
-    monkeypatch.setattr(sharding, "numbered", lambda *a: plain(*a, rows_per_task=50))
+def test_slots_over_many_ranges(spark, monkeypatch):
+    plain = sharding.ranked
+    monkeypatch.setattr(sharding, "ranked", lambda *a: plain(*a, rows_per_range=50))
     docs = cases.table_of(spark, "/root/testdata/sf0.001")
     check(shard(docs).collect(), [r["text"] for r in docs.collect()])
 
@@ -102,3 +103,16 @@ def test_slots_over_many_salts(spark, monkeypatch):
 def test_odd_rows_and_empty_table(spark):
     check(shard(cases.documents(spark)).collect(), [r[1] for r in cases.ROWS])
     assert sharding_query(cases.empty(spark)).collect() == []
+
+
+def test_half_of_the_rows_are_equal(spark, monkeypatch):
+    plain, sizes = sharding.ranked, []
+
+    def small_ranges(df, group, order, out):
+        sizes.extend(r["count"] for r in in_ranges(df, [*group, *order], 50).groupBy("_range").count().collect())
+        return plain(df, group, order, out, rows_per_range=50)
+
+    monkeypatch.setattr(sharding, "ranked", small_ranges)
+    rows = [(None, None)] * 400 + [(k, f"text {k}") for k in range(400)]
+    check(shard(spark.createDataFrame(rows, "doc_id bigint, text string")).collect(), [t for _, t in rows])
+    assert max(sizes) <= 100
