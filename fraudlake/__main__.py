@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from fraudlake.config import FraudConfig
+from fraudlake.functions import parse_event_time
 from fraudlake.functions.times import EVENT_TIME_FORMAT
 from fraudlake.plans.day import run_changed_days, run_day
 from fraudlake.plans.reports import run_reports
@@ -22,7 +23,7 @@ from fraudlake.sources import files, records
 from fraudlake.sources.lake import Lake
 from fraudlake.sources.records import RecordSource
 from fraudlake.streaming.ingest import ingest, ingest_batch
-from fraudlake.synth import generate
+from fraudlake.synth import fit, generate, load_model, save_model
 
 log = logging.getLogger("fraudlake")
 
@@ -43,8 +44,18 @@ def _bootstrap(spark: SparkSession, args) -> int:
     return 0
 
 
+def _learn(spark: SparkSession, args) -> int:
+    read = files.read_json if args.format == "json" else files.read_csv
+    events = read(spark, args.input)
+    model = fit(events.withColumn("event_timestamp", parse_event_time(F.col("timestamp"))))
+    save_model(spark, model, args.model)
+    log.info("learnt from %d events", model.rows)
+    return 0
+
+
 def _generate(spark: SparkSession, args) -> int:
-    events = wire_events(generate(spark, args.rows, args.seed))
+    stored = load_model(spark, args.model) if args.model else None
+    events = wire_events(generate(spark, args.rows, args.seed, stored=stored))
     (files.write_json if args.format == "json" else files.write_csv)(events, args.output)
     stored = files.read_json(spark, args.output) if args.format == "json" else files.read_csv(spark, args.output)
     total, fraud = stored.agg(F.count(F.lit(1)), F.count_if("is_fraud")).first()
@@ -194,7 +205,13 @@ def _parser() -> argparse.ArgumentParser:
         sub.add_argument("--option", action="append", default=[], metavar="KEY=VALUE", help="further Kafka option")
 
     job("bootstrap", _bootstrap, "create databases and tables", lake)
+    sub = job("learn", _learn, "learn a model from events and save it")
+    sub.add_argument("--input", required=True, help="folder or file of events")
+    sub.add_argument("--format", choices=("csv", "json"), default="csv")
+    sub.add_argument("--model", required=True, help="folder to save it in")
+
     sub = job("generate", _generate, "write synthetic events")
+    sub.add_argument("--model", help="folder of a saved model, instead of one learnt from seed rows")
     sub.add_argument("--rows", type=int, default=10_000)
     sub.add_argument("--output", required=True)
     sub.add_argument("--format", choices=("csv", "json"), default="csv")

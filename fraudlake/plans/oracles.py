@@ -6,7 +6,8 @@ from fraudlake.plans.queries import AS_OF, LATE_RUN_AT_TEXT, REPORT_DAY, RUN_AT_
 from fraudlake.schemas import CURATED_TRANSACTIONS, FRAUD_ALERTS, FRAUD_SUMMARY, QUARANTINE, RAW_TRANSACTIONS, Table
 from fraudlake.sources.lake import INGEST_BATCH
 from fraudlake.sources.reference import CHANNELS, CITIES, MERCHANT_CATEGORIES
-from fraudlake.synth import seeds
+from fraudlake.synth import STATED_MODEL, seeds, stored
+from fraudlake.synth.copula import CATEGORICAL, NUMERIC
 from fraudlake.synth.patterns import HIGH_AMOUNTS, SAMPLE_SEED
 
 _CITY_VALUES = ", ".join(f"({i}, '{c.name}', {c.lat}, {c.lon})" for i, c in enumerate(CITIES))
@@ -183,8 +184,56 @@ def _seed_rows() -> str:
         FROM wide JOIN cities ON city_id = floor(city * {len(CITIES)})"""
 
 
+def _uniform(name: str) -> str:
+    """A draw for an event; name is a SQL expression."""
+    return f"((CAST('0x' || substr(md5(event_id || ':{SEED}:' || {name}), 1, 13) AS BIGINT) + 0.5::DOUBLE) * pow(2::DOUBLE, -52))"
+
+
+def _stated_sample() -> str:
+    def value(v) -> str:
+        if v is None:
+            return "NULL"
+        return f"CAST('{v}' AS DOUBLE)" if isinstance(v, float) else repr(v)
+
+    tables = ", ".join(
+        f"{name}({', '.join(c.split()[0] for c in stored.TABLES[name].split(', '))}) AS (VALUES "
+        + ", ".join("(" + ", ".join(map(value, row)) + ")" for row in rows)
+        + ")"
+        for name, rows in stored.model_rows(STATED_MODEL).items()
+    ).replace("start, end)", 'start, "end")')
+    drawn = ", ".join(f"({j}, '{n}')" for j, n in enumerate(NUMERIC + CATEGORICAL))
+    low, high = f"greatest(low, -{stored.FARTHEST})", f"least(high, {stored.FARTHEST})"
+    (a_low, a_high), (m_low, m_high) = seeds.ACCOUNTS, seeds.MERCHANTS
+    numbers = ", ".join(f"MAX(number) FILTER (WHERE name = '{n}') AS {n}" for n in NUMERIC)
+    words = ", ".join(f"MAX(word) FILTER (WHERE name = '{n}') AS {n}" for n in CATEGORICAL)
+    return f"""WITH {tables},
+        drawn(draw, drawn_name) AS (VALUES {drawn}),
+        normals AS (
+          SELECT event_id, draw, sqrt(-2::DOUBLE * ln({_uniform("drawn_name || '/r'")})) * cos(2 * pi() * {_uniform("drawn_name || '/a'")}) AS v
+          FROM events CROSS JOIN drawn),
+        scores AS (
+          SELECT event_id, name, SUM(v * weight) AS z FROM normals JOIN weights USING (draw) GROUP BY event_id, name),
+        found AS (
+          SELECT event_id, name, NULL AS word, CASE WHEN {_uniform("name || '/known'")} >= share THEN
+                 start + greatest(0, least(1, (z - {low}) / ({high} - {low}))) * ("end" - start) END AS number
+          FROM scores JOIN steps USING (name) JOIN missing USING (name) WHERE z >= low AND z < high
+          UNION ALL
+          SELECT event_id, name, value, NULL FROM scores JOIN categories USING (name) WHERE z >= low AND z < high),
+        wide AS (SELECT event_id, md5('txn:{SEED}:' || event_id) AS digest, {numbers}, {words} FROM found GROUP BY event_id)
+        SELECT CONCAT_WS('-', substr(digest, 1, 8), substr(digest, 9, 4), substr(digest, 13, 4), substr(digest, 17, 4),
+                         substr(digest, 21, 12)) AS transaction_id,
+               'ACC' || CAST({a_low} + floor({_uniform("'account'")} * {a_high - a_low + 1}) AS BIGINT) AS account_id,
+               make_timestamp(CAST(floor(event_second) AS BIGINT) * 1000000) AS event_timestamp,
+               ROUND(amount, 2) AS amount,
+               'MER' || CAST({m_low} + floor({_uniform("'merchant'")} * {m_high - m_low + 1}) AS BIGINT) AS merchant_id,
+               merchant_cat, ROUND(location_lat, 6) AS location_lat, ROUND(location_lon, 6) AS location_lon, channel,
+               CAST(is_fraud AS BOOLEAN) AS is_fraud
+        FROM wide"""
+
+
 ORACLES: dict[str, str] = {
     "synth_seed": _seed_rows(),
+    "synth_sample_from_model": _stated_sample(),
     "synth_category_shares": f"""WITH {TXN},
         total AS (SELECT COUNT(*) AS n FROM txn),
         shares AS (

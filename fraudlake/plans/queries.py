@@ -32,7 +32,7 @@ from fraudlake.sources.lake import INGEST_BATCH, Lake, append_by_name, read_evol
 from fraudlake.sources.records import RecordSource
 from fraudlake.sources.reference import CITIES, city_table
 from fraudlake.streaming import ingest as ingesting
-from fraudlake.synth import fit, inject_patterns, sample, seed_rows
+from fraudlake.synth import STATED_MODEL, fit, inject_patterns, load_model, sample, sample_stored, save_model, seed_rows
 from fraudlake.synth.copula import CATEGORICAL, NUMERIC, STEPS
 from fraudlake.synth.patterns import EVENT, VELOCITY_ACCOUNT, VELOCITY_AMOUNTS
 
@@ -674,6 +674,14 @@ def synth_sample(spark, sf_dir):
     return inject_patterns(sample(_event_ids(spark, sf_dir), model, SEED))
 
 
+@query
+def synth_sample_from_model(spark, sf_dir):
+    """As many events as there are, sampled from a saved model."""
+    path = scratch_dir(spark, "model")
+    save_model(spark, STATED_MODEL, path)
+    return sample_stored(_event_ids(spark, sf_dir), load_model(spark, path), SEED)
+
+
 @query
 def synth_copula_checks(spark, sf_dir):
     """What must hold of a fit and of a sample, each with the number of violations in the data."""

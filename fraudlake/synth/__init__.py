@@ -4,5 +4,19 @@ from fraudlake.synth.copula import CopulaModel, fit, sample
 from fraudlake.synth.generate import generate, row_ids
 from fraudlake.synth.patterns import inject_patterns
 from fraudlake.synth.seeds import seed_rows
+from fraudlake.synth.stored import STATED_MODEL, StoredModel, load_model, sample_stored, save_model
 
-__all__ = ["CopulaModel", "fit", "generate", "inject_patterns", "row_ids", "sample", "seed_rows"]
+__all__ = [
+    "STATED_MODEL",
+    "CopulaModel",
+    "StoredModel",
+    "fit",
+    "generate",
+    "inject_patterns",
+    "load_model",
+    "row_ids",
+    "sample",
+    "sample_stored",
+    "save_model",
+    "seed_rows",
+]

@@ -8,6 +8,7 @@ with a table of their shares. Sampling is a projection of row ids with such join
 from __future__ import annotations
 
 import itertools
+from collections.abc import Callable
 from dataclasses import dataclass
 from statistics import NormalDist
 
@@ -71,10 +72,9 @@ def sample(ids: DataFrame, model: CopulaModel, seed: int) -> DataFrame:
         scores[f"_z_{name}"] = sum(terms[1:], terms[0])
     drawn = ids.select("id", *(draws.normal(row, seed, n).alias(f"_n{i}") for i, n in enumerate(names))).withColumns(scores)
     for name in NUMERIC:
-        drawn = _bucket(drawn, f"_z_{name}", f"_b_{name}", _grid(STEPS))
+        drawn = _bucket(drawn, f"_z_{name}", f"_b_{name}", grid(STEPS))
     for name in CATEGORICAL:
-        edges = list(itertools.accumulate(share for _, share in model.categories[name]))[:-1]
-        drawn = _bucket(drawn, f"_z_{name}", f"_b_{name}", [_NORMAL.inv_cdf(min(max(e, 1e-12), 1 - 1e-12)) for e in edges])
+        drawn = _bucket(drawn, f"_z_{name}", f"_b_{name}", category_edges(model.categories[name]))
 
     def numeric(name: str) -> Column:
         value = _inverse(name, model.quantiles[name])
@@ -87,9 +87,12 @@ def sample(ids: DataFrame, model: CopulaModel, seed: int) -> DataFrame:
         named = ids.sparkSession.createDataFrame(values, f"_i_{name} INT, _v_{name} STRING")
         drawn = drawn.join(named, F.col(f"_b_{name}").cast("int") == F.col(f"_i_{name}"), "left")
 
-    def category(name: str) -> Column:
-        return F.col(f"_v_{name}")
+    return events_of(drawn, seed, numeric, lambda name: F.col(f"_v_{name}"))
 
+
+def events_of(drawn: DataFrame, seed: int, numeric: Callable[[str], Column], category: Callable[[str], Column]) -> DataFrame:
+    """Events of drawn rows (column ``id``), from the values of their numeric and categorical columns."""
+    row = F.col("id")
     return drawn.select(
         draws.uuid_of(row, seed).alias("transaction_id"),
         account_id(row, seed).alias("account_id"),
@@ -159,10 +162,17 @@ def _correlation(scored: DataFrame) -> np.ndarray:
     return fixed / np.outer(scale, scale)
 
 
-def _grid(steps: int) -> list[float]:
+def grid(steps: int) -> list[float]:
+    """Normal scores between steps of equal probability."""
     return [_NORMAL.inv_cdf(i / steps) for i in range(1, steps)]
 
 
+def category_edges(categories: list[tuple[str | None, float]]) -> list[float]:
+    """Normal scores between neighbouring categories, strictly ascending."""
+    ends = list(itertools.accumulate(share for _, share in categories))[:-1]
+    return _ascending([_NORMAL.inv_cdf(min(max(e, 1e-12), 1 - 1e-12)) for e in ends])
+
+
 def _bucket(df: DataFrame, source: str, target: str, edges: list[float]) -> DataFrame:
     """Index of the interval between ``edges`` a value falls in, by binary search; NULL stays."""
     if not edges:
@@ -188,7 +198,7 @@ def _lookup(values: list[float], index: Column) -> Column:
 def _inverse(name: str, quantiles: list[float]) -> Column:
     """Value at a normal score: between the two quantiles of its step, by place in the step."""
     index = F.col(f"_b_{name}")
-    edges = [-4.0, *_grid(STEPS), 4.0]
+    edges = [-4.0, *grid(STEPS), 4.0]
     low, high = _lookup(edges[:-1], index), _lookup(edges[1:], index)
     place = F.greatest(F.lit(0.0), F.least(F.lit(1.0), (F.col(f"_z_{name}") - low) / (high - low)))
     start, end = _lookup(quantiles[:-1], index), _lookup(quantiles[1:], index)

@@ -64,6 +64,15 @@ def test_json_output(spark, folder):
     assert spark.read.json(f"{folder}/json").count() == 25
 
 
+def test_a_learnt_model_is_used_again(spark, folder):
+    assert main(["generate", "--rows", "200", "--output", f"{folder}/seen"], spark) == 0
+    assert main(["learn", "--input", f"{folder}/seen", "--model", f"{folder}/model"], spark) == 0
+    for out in ("a", "b"):
+        assert main(["generate", "--rows", "30", "--model", f"{folder}/model", "--output", f"{folder}/{out}"], spark) == 0
+    a, b = (spark.read.option("header", True).csv(f"{folder}/{out}") for out in ("a", "b"))
+    assert a.count() == 35 and a.exceptAll(b).isEmpty()
+
+
 def test_bad_arguments(spark):
     with pytest.raises(SystemExit):
         main(["produce", "--rows", "1", "--input", "x"], spark)

@@ -1,4 +1,5 @@
 import math
+from dataclasses import replace
 
 import numpy as np
 import pytest
@@ -7,8 +8,20 @@ from pyspark.sql import functions as F
 from fraudlake.functions import draws
 from fraudlake.operators.rules import score_transactions
 from fraudlake.sources.reference import CHANNELS, CITIES, MERCHANT_CATEGORIES, city_table
-from fraudlake.synth import fit, generate, inject_patterns, row_ids, sample, seed_rows
+from fraudlake.synth import (
+    STATED_MODEL,
+    fit,
+    generate,
+    inject_patterns,
+    load_model,
+    row_ids,
+    sample,
+    sample_stored,
+    save_model,
+    seed_rows,
+)
 from fraudlake.synth.patterns import EVENT, HIGH_AMOUNTS
+from fraudlake.synth.stored import _cell
 from tests.rows import by_id
 
 N = 20_000
@@ -165,3 +178,56 @@ def test_generate(spark):
     events = generate(spark, 200, seeds=500)
     assert events.count() == 205
     assert sorted(events.collect()) == sorted(generate(spark, 200, seeds=500).collect())
+
+
+def stored(spark, model, folder):
+    save_model(spark, model, folder)
+    return load_model(spark, folder)
+
+
+def test_a_saved_model_draws_the_same_events(spark, model, folder):
+    ids = row_ids(spark, 5000)
+    assert sorted(sample_stored(ids, stored(spark, model, folder), 5).collect(), key=str) == sorted(
+        sample(ids, model, 5).collect(), key=str
+    )
+
+
+def test_a_saved_model_with_nulls_constants_and_many_categories(spark, folder):
+    rows = seed_rows(row_ids(spark, 4000)).withColumns(
+        {
+            "amount": F.when(F.col("id") % 4 != 0, F.col("amount")),
+            "location_lat": F.lit(10.0),
+            "channel": F.when(F.col("id") % 3 != 0, F.lit("POS")),
+            "merchant_cat": F.when(F.col("id") % 2 == 0, "usual").otherwise(F.concat(F.lit("c"), F.col("id"))),
+        }
+    )
+    model, ids = fit(rows), row_ids(spark, 2000)
+    drawn = sample_stored(ids, stored(spark, model, folder), 3)
+    assert sorted(drawn.collect(), key=str) == sorted(sample(ids, model, 3).collect(), key=str)
+
+
+def test_intervals_of_one_cell_are_few(spark, folder):
+    """A third of all rows in one category, the others each in their own: a score meets few intervals."""
+    rows = seed_rows(row_ids(spark, 3000)).withColumn(
+        "merchant_cat", F.when(F.col("id") % 3 == 0, "usual").otherwise(F.concat(F.lit("c"), F.col("id")))
+    )
+    found = stored(spark, fit(rows), folder)
+    cells = found.categories.filter("name = 'merchant_cat'")
+    n = cells.count()
+    listed = cells.select(F.explode(F.sequence(_cell(F.col("low"), n), _cell(F.col("high"), n))).alias("cell"))
+    assert listed.count() <= 2 * n
+    assert listed.groupBy("cell").count().agg(F.max("count")).first()[0] <= 8
+
+
+def test_saving_again_replaces_the_model(spark, model, folder):
+    save_model(spark, model, folder)
+    again = stored(spark, STATED_MODEL, folder)
+    assert again.steps.count() == 4 + 7 + 6 + 6
+    assert sample_stored(row_ids(spark, 50), again, 1).count() == 50
+
+
+def test_an_incomplete_model_is_an_error(spark, model, folder):
+    found = stored(spark, model, folder)
+    for part in ({"weights": found.weights.limit(1)}, {"steps": found.steps.limit(0)}, {"categories": found.categories.limit(0)}):
+        with pytest.raises(ValueError, match="model"):
+            sample_stored(row_ids(spark, 5), replace(found, **part), 1)
