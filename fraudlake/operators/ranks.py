@@ -14,16 +14,23 @@ ROWS_PER_RANGE = 200_000
 
 
 def in_ranges(df: DataFrame, order: list[str], rows_per_range: int = ROWS_PER_RANGE) -> DataFrame:
-    """df, written, with ``_range``: ranges of the order (ascending, nulls first) numbered from 0, of
+    """df, written, with ``_range``: ranges of the order (ascending, nulls first) numbered upwards, of
     about ``rows_per_range`` rows each, and ``_row``, which tells equal rows apart.
 
     Rows that are equal in the order are split too: their row numbers are written first and end the
     order. So a range stays bounded whatever share of the rows is equal.
+
+    The driver gets a sample for each partition, so partitions have ROWS_PER_RANGE rows at least. Smaller
+    ranges are cut from sorted partitions by place, and their numbers have gaps.
     """
     rows = written(df.withColumn("_row", F.monotonically_increasing_id()), "rows")
-    ranges = -(-rows.count() // rows_per_range) or 1
-    dealt = rows.repartitionByRange(ranges, *order, "_row").withColumn("_range", F.spark_partition_id())
-    return written(dealt, "ranges")
+    partitions = -(-rows.count() // max(rows_per_range, ROWS_PER_RANGE)) or 1
+    dealt = rows.repartitionByRange(partitions, *order, "_row")
+    if rows_per_range >= ROWS_PER_RANGE:
+        return written(dealt.withColumn("_range", F.spark_partition_id().cast("long")), "ranges")
+    first = F.shiftleft(F.spark_partition_id().cast("long"), 33)  # what numbers of a partition begin with
+    cut = first + F.floor((F.monotonically_increasing_id() - first) / rows_per_range)
+    return written(dealt.sortWithinPartitions(*order, "_row").withColumn("_range", cut), "ranges")
 
 
 def ranked(df: DataFrame, group: list[str], order: list[str], out: str, rows_per_range: int = ROWS_PER_RANGE) -> DataFrame:

@@ -41,3 +41,11 @@ def test_empty_table(spark):
     df = spark.createDataFrame([], "part STRING, at INT")
     assert ranked(df, ["part"], ["at"], "place").collect() == []
     assert cumulated(df, ["part"], "at", "total").collect() == []
+
+
+def test_small_ranges_take_no_partition_each(spark):
+    """The driver gets a sample for each partition, so there are few of them however small the ranges are."""
+    ranged = in_ranges(spark.range(5000).select((F.col("id") * 37 % 5000).alias("x")), ["x"], 20)
+    assert len(ranged.inputFiles()) == 1
+    rows = ranged.groupBy("_range").agg(F.min("x").alias("low"), F.max("x").alias("high"), F.count("x").alias("n")).orderBy("_range").collect()
+    assert [(r["low"], r["high"], r["n"]) for r in rows] == [(k, k + 19, 20) for k in range(0, 5000, 20)]
