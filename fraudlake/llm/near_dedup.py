@@ -12,8 +12,10 @@
    sets and give components.
 4. A bucket whose members are still in several components has pairs that no star compared. They are compared
    in blocks of bounded size, by size and by sketch (sets of up to 64 shingles: by their hashes), and a block
-   gives a spanning forest of what may belong together, at most a row for each of its members. These
-   edges gather the components into clusters.
+   gives a spanning forest of the components that may belong together. Its edges name the components, not
+   the members, and start at the smallest one, so buckets with much the same members give the same edges.
+   Buckets larger than a block are first compared within parts of a block's size, so few of their components
+   are apart when all their blocks meet. These edges gather the components into clusters.
 5. In a cluster of several components all pairs across components are compared on their full sets, again in
    blocks that give spanning forests. So no link is lost to the choice of centres, and no step makes a table
    of all pairs. In steps 4 and 5 the largest component of a group is never compared with itself.
@@ -250,11 +252,37 @@ def blocked(rows: DataFrame, group: str, row_bytes: Column) -> DataFrame:
     )
 
 
+def joined(rows: DataFrame, group: str, row_bytes: Column, seen: DataFrame, exactly: bool) -> DataFrame:
+    """Edges (a, b; written) between components of rows (group, id, component, more; written), which join those of
+    a group as far as they are alike. seen: id and what a comparison reads.
+
+    Groups larger than a block are compared within parts of a block's size first, and what is joined then counts as
+    one component when their blocks meet. So there are not as many edges as pairs of blocks could give.
+    """
+
+    def forests(blocks: DataFrame) -> DataFrame:
+        runs = sorted_runs(blocks.join(seen, "id"), [group, "block_a", "block_b"], lambda b: _forest(b, exactly), "a bigint, b bigint")
+        return written(runs.distinct(), "near")
+
+    parts = F.ceil(F.greatest(F.col("_n") / BLOCK_ROWS, F.col("_size") / BLOCK_BYTES)).cast("int")
+    sizes = rows.groupBy(group).agg(F.count(F.lit(1)).alias("_n"), F.sum(row_bytes).alias("_size"), F.min("component").alias("_least"), F.max("component").alias("_last"))
+    large = written(sizes.filter("_least <> _last").select(group, parts.alias("_parts")).filter("_parts > 1"), "large")
+    if large.isEmpty():
+        return forests(blocked(rows, group, row_bytes))
+    part = F.pmod(F.xxhash64("id"), "_parts").cast("int")
+    within = rows.join(large, group).withColumns({"block_a": part, "block_b": part, "half": F.lit(0)}).drop("_parts")
+    edges = forests(within)
+    labels = component_labels(edges).select(F.col("id").alias("component"), F.col("component").alias("_joined"))
+    others = rows.join(labels, "component", "left").withColumn("component", F.coalesce("_joined", "component")).drop("_joined")
+    return edges.unionByName(forests(blocked(written(others, "joined"), group, row_bytes)))
+
+
 def _forest(block: pd.DataFrame, exactly: bool) -> pd.DataFrame | None:
-    """Edges that join the components of a block as far as pairs across them are alike: by size and sketch, or
+    """Edges between the components of a block as far as pairs across them are alike: by size and sketch, or
     also by their full sets. No edge is between what components and earlier edges join already."""
-    size, ids, half = (block[c].to_numpy() for c in ("n", "id", "half"))
-    root = block["component"].to_numpy().copy()
+    block = block.sort_values(["component", "id"])
+    size, components, half = (block[c].to_numpy() for c in ("n", "component", "half"))
+    root = components.copy()
     sketch = np.frombuffer(b"".join(block["sketch"]), dtype=np.uint8).reshape(len(block), -1)
     if exactly:
         sets = [np.frombuffer(x, dtype=np.uint64) for x in block["set"]]
@@ -285,7 +313,7 @@ def _forest(block: pd.DataFrame, exactly: bool) -> pd.DataFrame | None:
             alike[~by_hash] = equal_bins(sketch[rows[~by_hash]], sketch[k]) >= LEAST_EQUAL_BINS
         for i in rows[alike]:
             if root[i] != root[k] and (not exactly or small[i] & small[k] or similar(sets[k], sets[i])):
-                found.append((min(ids[k], ids[i]), max(ids[k], ids[i])))
+                found.append((min(components[k], components[i]), max(components[k], components[i])))
                 root[root == root[i]] = root[k]
     return pd.DataFrame(found, columns=["a", "b"]) if found else None
 
@@ -302,21 +330,19 @@ def links(classes: DataFrame, docs: DataFrame) -> DataFrame:
     first = written(confirmed(written(stars.select("a", "b"), "stars"), docs, classes), "links")
     labels = component_labels(first)
 
-    component = F.coalesce("component", "id").alias("component")
-    placed = written(members.join(labels, "id", "left").select("bucket", "id", component), "placed")
-    compared = blocked(placed, "bucket", F.lit(0)).join(classes.select("id", "n", "sketch", "small"), "id")
-    keys = ["block_a", "block_b"]
-    near = written(sorted_runs(compared, ["bucket", *keys], lambda b: _forest(b, False), "a bigint, b bigint").distinct(), "near")
+    placed = written(members.join(labels, "id", "left").select("bucket", "id", F.coalesce("component", "id").alias("component")), "placed")
+    near = joined(placed, "bucket", F.lit(0), classes.select("id", "n", "sketch", "small"), False)
+    stars = labels.select(F.col("id").alias("a"), F.col("component").alias("b")).filter("a <> b")
     if near.isEmpty():
-        return first
-
-    clusters = component_labels(first.unionByName(near)).withColumnRenamed("component", "cluster")
-    several = clusters.join(labels, "id", "left").select("cluster", "id", component)
-    several = written(several.join(classes.select("id", "n", "sketch"), "id"), "clusters")
-    met = blocked(several, "cluster", 8 * F.col("n"))
-    sets = sets_of(written(met.select("id").distinct(), "wanted"), docs, classes)
-    exact = sorted_runs(met.join(sets, "id"), ["cluster", *keys], lambda b: _forest(b, True), "a bigint, b bigint").distinct()
-    return first.unionByName(written(exact, "links"))
+        return stars
+
+    clusters = component_labels(near).select(F.col("id").alias("component"), F.col("component").alias("cluster"))
+    several = clusters.join(labels, "component", "left").select("cluster", F.coalesce("id", "component").alias("id"), "component")
+    sketches = classes.select("id", "n", "sketch")
+    several = written(several.join(sketches.select("id", "n"), "id"), "clusters")
+    wanted = written(blocked(several, "cluster", 8 * F.col("n")).select("id").distinct(), "wanted")
+    sets = sets_of(wanted, docs, classes).join(sketches.drop("n"), "id")
+    return stars.unionByName(joined(several, "cluster", 8 * F.col("n"), sets, True))
 
 
 def near_duplicates(docs: DataFrame) -> DataFrame:

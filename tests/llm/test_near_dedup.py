@@ -1,6 +1,7 @@
 import random
 
 import numpy as np
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
@@ -136,6 +137,18 @@ def test_no_step_makes_a_table_of_pairs(spark, monkeypatch):
     assert sizes["stars"][0] <= len(rows)
 
 
+def test_buckets_of_the_same_components_give_the_same_edges():
+    """Whichever members meet, and in whatever order, so the edges of many buckets are not as many tables of edges."""
+    hashes = np.sort(np.random.default_rng(1).integers(0, 2**64, 40, dtype=np.uint64))
+
+    def edges(ids, components):
+        block = pd.DataFrame({"id": ids, "component": components, "n": 40, "half": 0, "block_a": 0, "block_b": 0})
+        block["sketch"], block["small"] = sketch_of(bins_of(hashes)).tobytes(), hashes.tobytes()
+        return sorted(near_dedup._forest(block, False).itertuples(index=False, name=None))
+
+    assert edges([1, 5, 9], [1, 5, 9]) == edges([9, 6, 2], [9, 5, 1]) == edges([7, 2, 9, 1], [5, 1, 9, 1]) == [(1, 5), (1, 9)]
+
+
 def test_odd_rows(spark):
     rows = near_duplicates(cases.documents(spark)).collect()
     assert len(rows) == len(cases.ROWS)
