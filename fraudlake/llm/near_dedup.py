@@ -210,71 +210,81 @@ def confirmed(pairs: DataFrame, docs: DataFrame, classes: DataFrame) -> DataFram
     )
 
 
-def blocked(rows: DataFrame, group: str, row_bytes: Column) -> DataFrame:
-    """rows (group, id, component, more; written) of groups with several components, copied to blocks.
+def counted(rows: DataFrame, group: str, row_bytes: Column) -> DataFrame:
+    """group, component, joined (the component itself), _n, _size (written) of those groups of rows (group, id, component,
+    more; written) that have several components. The others have nothing to compare."""
+    each = rows.groupBy(group, "component").agg(F.count(F.lit(1)).alias("_n"), F.sum(row_bytes).alias("_size"))
+    several = rows.groupBy(group).agg(F.min("component").alias("_least"), F.max("component").alias("_last")).filter("_least <> _last")
+    return written(each.join(several.select(group), group, "left_semi").withColumn("joined", F.col("component")), "counted")
 
-    A block (group, block_a, block_b) has two halves of bounded size, or one if block_a = block_b. Every two rows
-    of different components of a group meet in a block. The largest component has blocks of its own, which
-    only meet those of the others: it is copied once for each block of these.
-    """
 
-    def blocks(count: str, size: str) -> Column:
-        return F.ceil(F.greatest(F.col(count) / BLOCK_ROWS, F.col(size) / BLOCK_BYTES)).cast("int")
+def block_count(rows: str, size: str) -> Column:
+    return F.ceil(F.greatest(F.col(rows) / BLOCK_ROWS, F.col(size) / BLOCK_BYTES)).cast("int")
+
 
-    each = rows.groupBy(group, "component").agg(F.count(F.lit(1)).alias("n"), F.sum(row_bytes).alias("size"))
+def blocked(rows: DataFrame, group: str, counts: DataFrame) -> DataFrame:
+    """rows (group, id, component, more; written) of groups with several components, copied to blocks.
+
+    counts (as counted gives them; written) says by joined which components are one by now. A block (group, block_a,
+    block_b) has two halves of bounded size, or one if block_a = block_b. Every two rows of different components of a
+    group meet in a block. The largest component has blocks of its own, which only meet those of the others: it is
+    copied once for each block of these.
+    """
+    each = counts.groupBy(group, "joined").agg(F.sum("_n").alias("n"), F.sum("_size").alias("size"))
     mixed = (
         each.groupBy(group)
         .agg(
-            F.max(F.struct("n", "component", "size")).alias("_largest"), F.sum("n").alias("_rows"), F.sum("size").alias("_size")
+            F.max(F.struct("n", "joined", "size")).alias("_largest"), F.sum("n").alias("_rows"), F.sum("size").alias("_total")
         )
         .filter(F.col("_rows") > F.col("_largest.n"))
         .select(
             group,
-            F.col("_largest.component").alias("_large"),
+            F.col("_largest.joined").alias("_large"),
             F.col("_largest.n").alias("_n"),
-            F.col("_largest.size").alias("_s"),
+            F.col("_largest.size").alias("_size"),
             (F.col("_rows") - F.col("_largest.n")).alias("_rest"),
-            (F.col("_size") - F.col("_largest.size")).alias("_rest_size"),
+            (F.col("_total") - F.col("_largest.size")).alias("_rest_size"),
         )
-        .select(group, "_large", blocks("_n", "_s").alias("_theirs"), blocks("_rest", "_rest_size").alias("_blocks"))
+        .select(group, "_large", block_count("_n", "_size").alias("_theirs"), block_count("_rest", "_rest_size").alias("_blocks"))
     )
-    is_large = F.col("component") == F.col("_large")
+    is_large = F.col("joined") == F.col("_large")
     own = F.when(is_large, F.col("_blocks") + F.pmod(F.xxhash64("id"), F.col("_theirs"))).otherwise(F.pmod(F.xxhash64("id"), F.col("_blocks")))
     last = F.when(is_large, F.col("_blocks")).otherwise(F.col("_blocks") + F.col("_theirs")) - 1
     return (
-        rows.join(mixed, group)
+        rows.join(counts.select(group, "component", "joined").join(mixed, group), [group, "component"])
         .withColumn("_own", own.cast("int"))
         .withColumn("_other", F.explode(F.sequence(F.lit(0), last)))
         .withColumn("block_a", F.least("_own", "_other"))
         .withColumn("block_b", F.greatest("_own", "_other"))
         .withColumn("half", (F.col("_own") > F.col("_other")).cast("int"))
-        .drop("_large", "_theirs", "_blocks", "_own", "_other")
+        .withColumn("component", F.col("joined"))
+        .drop("joined", "_large", "_theirs", "_blocks", "_own", "_other")
     )
 
 
-def joined(rows: DataFrame, group: str, row_bytes: Column, seen: DataFrame, exactly: bool) -> DataFrame:
+def joined(rows: DataFrame, group: str, counts: DataFrame, seen: DataFrame, exactly: bool) -> DataFrame:
     """Edges (a, b; written) between components of rows (group, id, component, more; written), which join those of
-    a group as far as they are alike. seen: id and what a comparison reads.
+    a group as far as they are alike. counts: what counted gives of rows. seen: id and what a comparison reads.
 
     Groups larger than a block are compared within parts of a block's size first, and what is joined then counts as
-    one component when their blocks meet. So there are not as many edges as pairs of blocks could give.
+    one component when their blocks meet. So there are not as many edges as pairs of blocks could give. The new
+    labels go to the components of each group, not to its rows, and groups of one component by then are left out.
     """
 
     def forests(blocks: DataFrame) -> DataFrame:
         runs = sorted_runs(blocks.join(seen, "id"), [group, "block_a", "block_b"], lambda b: _forest(b, exactly), "a bigint, b bigint")
         return written(runs.distinct(), "near")
 
-    parts = F.ceil(F.greatest(F.col("_n") / BLOCK_ROWS, F.col("_size") / BLOCK_BYTES)).cast("int")
-    sizes = rows.groupBy(group).agg(F.count(F.lit(1)).alias("_n"), F.sum(row_bytes).alias("_size"), F.min("component").alias("_least"), F.max("component").alias("_last"))
-    large = written(sizes.filter("_least <> _last").select(group, parts.alias("_parts")).filter("_parts > 1"), "large")
+    sizes = counts.groupBy(group).agg(F.sum("_n").alias("_n"), F.sum("_size").alias("_size"))
+    large = written(sizes.select(group, block_count("_n", "_size").alias("_parts")).filter("_parts > 1"), "large")
     if large.isEmpty():
-        return forests(blocked(rows, group, row_bytes))
+        return forests(blocked(rows, group, counts))
     part = F.pmod(F.xxhash64("id"), "_parts").cast("int")
     within = rows.join(large, group).withColumns({"block_a": part, "block_b": part, "half": F.lit(0)}).drop("_parts")
     edges = forests(within)
     labels = component_labels(edges).select(F.col("id").alias("component"), F.col("component").alias("_joined"))
-    others = rows.join(labels, "component", "left").withColumn("component", F.coalesce("_joined", "component")).drop("_joined")
-    return edges.unionByName(forests(blocked(written(others, "joined"), group, row_bytes)))
+    relabelled = counts.join(labels, "component", "left").withColumn("joined", F.coalesce("_joined", "component")).drop("_joined")
+    return edges.unionByName(forests(blocked(rows, group, written(relabelled, "joined"))))
 
 
 def _forest(block: pd.DataFrame, exactly: bool) -> pd.DataFrame | None:
@@ -331,7 +341,7 @@ def links(classes: DataFrame, docs: DataFrame) -> DataFrame:
     labels = component_labels(first)
 
     placed = written(members.join(labels, "id", "left").select("bucket", "id", F.coalesce("component", "id").alias("component")), "placed")
-    near = joined(placed, "bucket", F.lit(0), classes.select("id", "n", "sketch", "small"), False)
+    near = joined(placed, "bucket", counted(placed, "bucket", F.lit(0)), classes.select("id", "n", "sketch", "small"), False)
     stars = labels.select(F.col("id").alias("a"), F.col("component").alias("b")).filter("a <> b")
     if near.isEmpty():
         return stars
@@ -340,9 +350,10 @@ def links(classes: DataFrame, docs: DataFrame) -> DataFrame:
     several = clusters.join(labels, "component", "left").select("cluster", F.coalesce("id", "component").alias("id"), "component")
     sketches = classes.select("id", "n", "sketch")
     several = written(several.join(sketches.select("id", "n"), "id"), "clusters")
-    wanted = written(blocked(several, "cluster", 8 * F.col("n")).select("id").distinct(), "wanted")
+    counts = counted(several, "cluster", 8 * F.col("n"))
+    wanted = written(blocked(several, "cluster", counts).select("id").distinct(), "wanted")
     sets = sets_of(wanted, docs, classes).join(sketches.drop("n"), "id")
-    return stars.unionByName(joined(several, "cluster", 8 * F.col("n"), sets, True))
+    return stars.unionByName(joined(several, "cluster", counts, sets, True))
 
 
 def near_duplicates(docs: DataFrame) -> DataFrame:

@@ -149,6 +149,32 @@ def test_buckets_of_the_same_components_give_the_same_edges():
     assert edges([1, 5, 9], [1, 5, 9]) == edges([9, 6, 2], [9, 5, 1]) == edges([7, 2, 9, 1], [5, 1, 9, 1]) == [(1, 5), (1, 9)]
 
 
+def test_new_labels_go_to_components_not_to_rows(spark, monkeypatch):
+    """A large family needs them; small ones, whose buckets are of one component, and the rows of its own have no part."""
+    monkeypatch.setattr(near_dedup, "BLOCK_ROWS", 16)
+    sizes = {}
+
+    def counting(df, label, plain=near_dedup.written):
+        out = plain(df, label)
+        sizes.setdefault(label, []).append(out.count())
+        return out
+
+    monkeypatch.setattr(near_dedup, "written", counting)
+    rows = families(9, 1, 120, 0.12) + [(1000 + k, t) for k, t in families(5, 40, 5, 0.01)]
+    assert found(spark.createDataFrame(rows, "doc_id long, text string")) == by_hand(rows)
+    assert 0 < sizes["joined"][0] == sizes["counted"][0] < sizes["placed"][0] / 2
+
+
+def test_groups_that_their_parts_join_meet_in_no_block(spark):
+    rows = spark.createDataFrame([(g, k, k % 3) for g in (1, 2) for k in range(30)], "bucket long, id long, component long")
+    counts = near_dedup.counted(rows, "bucket", F.lit(0))
+    assert near_dedup.blocked(rows, "bucket", counts).select("bucket", "id").distinct().count() == 60
+    in_one = counts.withColumn("joined", F.when(F.col("bucket") == 1, 0).when(F.col("component") == 2, 1).otherwise(F.col("component")))
+    left = near_dedup.blocked(rows, "bucket", in_one).collect()
+    assert {r["bucket"] for r in left} == {2}
+    assert {(r["id"], r["component"]) for r in left} == {(k, min(k % 3, 1)) for k in range(30)}
+
+
 def test_odd_rows(spark):
     rows = near_duplicates(cases.documents(spark)).collect()
     assert len(rows) == len(cases.ROWS)
