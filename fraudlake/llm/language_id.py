@@ -45,6 +45,7 @@ FAMILY_OF = {code: family for family, codes in FAMILIES.items() for code in code
 
 _NOT_LETTERS = re.compile(r"[\W\d_]+")
 _BLOCK = 1 << 20
+_ROWS = 256
 _MIX = [np.uint64(m) for m in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9)]
 
 
@@ -200,20 +201,26 @@ def fit(docs: DataFrame, sample_rows: int = SAMPLE_ROWS, dimensions: int = DIMEN
         ids.join(counts, "lang").filter(low).withColumn("_place", F.row_number().over(by_hash)).filter(F.col("_place") <= share).select("doc_id", "lang"),
         "sample",
     )
+    places = chosen.count()
 
     def vectors(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            made = [features(t, dimensions) for t in batch["text"]]
-            yield pd.DataFrame(
-                {"doc_id": batch["doc_id"], "lang": batch["lang"], "x": [None if v is None else v.tobytes() for v in made]}
-            ).dropna(subset=["x"])
+            for start in range(0, len(batch), _ROWS):
+                part = batch.iloc[start : start + _ROWS]
+                made = [features(t, dimensions) for t in part["text"]]
+                yield pd.DataFrame(
+                    {"doc_id": part["doc_id"], "lang": part["lang"], "x": [None if v is None else v.tobytes() for v in made]}
+                ).dropna(subset=["x"])
 
     def trained(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        rows = [b for b in batches if len(b)]
-        if rows:
-            sample = pd.concat(rows, ignore_index=True).sort_values(["lang", "doc_id"], ignore_index=True)
-            x = np.frombuffer(b"".join(sample["x"]), dtype=np.float32).reshape(len(sample), dimensions)
-            yield pd.DataFrame({"model": [pickle.dumps(Hierarchy.fit(x, sample["lang"].to_numpy()))]})
+        """The model of a stream sorted by lang and doc_id; holds the sample's matrix and one batch."""
+        x, labels = np.empty((places, dimensions), dtype=np.float32), []
+        for batch in batches:
+            for lang, row in zip(batch["lang"], batch["x"], strict=True):
+                x[len(labels)] = np.frombuffer(row, dtype=np.float32)
+                labels.append(lang)
+        if labels:
+            yield pd.DataFrame({"model": [pickle.dumps(Hierarchy.fit(x[: len(labels)], np.array(labels, dtype=object)))]})
 
     kind = docs.schema["doc_id"].dataType.simpleString()
     found = (
@@ -222,6 +229,7 @@ def fit(docs: DataFrame, sample_rows: int = SAMPLE_ROWS, dimensions: int = DIMEN
         .groupBy("doc_id")
         .agg(F.min("lang").alias("lang"), F.min("x").alias("x"))
         .repartition(1)  # at most sample_rows rows
+        .sortWithinPartitions("lang", "doc_id")
         .mapInPandas(trained, "model binary")
         .collect()
     )
@@ -241,8 +249,8 @@ def predict(docs: DataFrame, model: Hierarchy | None, out: str, dimensions: int
         for texts in batches:
             langs = np.full(len(texts), UNDETERMINED, dtype=object)
             scores = np.zeros(len(texts))
-            for start in range(0, len(texts) if machine else 0, 256):
-                made = [None if t is None else features(t, dimensions) for t in texts.iloc[start : start + 256]]
+            for start in range(0, len(texts) if machine else 0, _ROWS):
+                made = [None if t is None else features(t, dimensions) for t in texts.iloc[start : start + _ROWS]]
                 rows = [k for k, v in enumerate(made) if v is not None]
                 if rows:
                     where = start + np.array(rows)

@@ -1,7 +1,10 @@
 import inspect
+import pickle
+import tracemalloc
 import zlib
 
 import numpy as np
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
@@ -94,3 +97,30 @@ def test_families_come_first():
 
 def test_the_sample_is_not_halved():
     assert inspect.signature(fit).parameters["sample_rows"].default == 4000
+
+
+def test_tasks_hold_the_sample_once(spark, monkeypatch):
+    docs = cases.table_of(spark, SF).filter("doc_id is not null and text rlike '[a-z]'")
+    frame, tasks = type(docs), []
+    usual = frame.mapInPandas
+    monkeypatch.setattr(frame, "mapInPandas", lambda self, task, *a, **b: tasks.append(task) or usual(self, task, *a, **b))
+    rows = 300
+    fit(docs, sample_rows=rows)
+    vectors, trained = tasks
+    sample = docs.filter(~language_id.held_out()).dropDuplicates(["doc_id"]).select("doc_id", "lang", "text").toPandas()
+    sample = sample.dropna().groupby("lang").head(rows // sample["lang"].nunique()).sort_values(["lang", "doc_id"], ignore_index=True)
+
+    frames = list(vectors(iter([pd.concat([sample] * 4, ignore_index=True)])))
+    assert sum(map(len, frames)) == 4 * len(sample) > 900
+    assert max(map(len, frames)) <= 256
+
+    made = next(vectors(iter([sample])))["x"].tolist()[:256]
+    langs = sample["lang"].tolist()
+    tracemalloc.start()
+    batches = (pd.DataFrame({"doc_id": [k], "lang": [langs[k]], "x": [bytes(bytearray(made[k]))]}) for k in range(len(made)))
+    model = pickle.loads(next(trained(batches))["model"][0])
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 1.5 * 4 * DIMENSIONS * len(made) + 2e6
+    want = Hierarchy.fit(np.stack([np.frombuffer(v, dtype=np.float32) for v in made]), np.array(langs[: len(made)], dtype=object))
+    assert np.array_equal(model.families.weights, want.families.weights)
